@@ -32,7 +32,7 @@ KEYWORD_STOPWORDS = (
 # the sentence boundary, and the openings that mark a title as generic.
 KEYWORD_PATTERN = r"\b[a-zA-Z0-9\-']+\b"
 METRIC_PATTERN = r"\b[a-zA-Z0-9']+\b"
-SENTENCE_BREAK = r"(?<=[.!?])\s+"
+SENTENCE_BREAK = rf"(?<=[.!?])[{SPACE}]+"
 GENERIC_TITLE = r"^(list of|this is|a list of|the list of|bullets|list:)"
 LIST_MARKERS = r"^[-•*\s]+"
 BULLETS_PREFIX = "bullets:"
