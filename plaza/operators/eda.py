@@ -8,8 +8,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plaza.operators.keys import top_per_key
-
 # Hash buckets of the term features, length of the term list.
 TERM_BUCKETS = 1 << 18
 TOP_TERMS = 40
@@ -102,9 +100,8 @@ def top_communities(activity: DataFrame, k: int) -> DataFrame:
 
 def graph_stats(users: DataFrame, follows: DataFrame) -> DataFrame:
     """Nodes and edges of the follow graph."""
-    nodes = users.agg(F.countDistinct("user_id").alias("n_nodes"))
     edges = follows.agg(F.count(F.lit(1)).alias("n_edges"))
-    return nodes.crossJoin(edges)
+    return users.agg(F.countDistinct("user_id").alias("n_nodes")).withColumn("n_edges", edges.scalar())
 
 
 def out_degree(follows: DataFrame) -> DataFrame:
@@ -114,9 +111,3 @@ def out_degree(follows: DataFrame) -> DataFrame:
 def list_users(users: DataFrame) -> DataFrame:
     return users.select("user_id", "username", "personas", "subreddits").orderBy("user_id")
 
-
-__all__ = [
-    "avg_post_length", "eda_inputs", "global_eda", "graph_stats", "list_users", "number_stats",
-    "out_degree", "post_count", "posts_by_subreddit", "subreddit_eda", "term_features",
-    "term_pipeline", "terms", "top_communities", "top_per_key", "top_terms",
-]
