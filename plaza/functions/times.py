@@ -15,11 +15,13 @@ def as_instant(value: str | dt.datetime | Column) -> Column:
 
 def to_instant(c: Column, run_ts: str | dt.datetime | Column) -> Column:
     """Text or time to an instant: naive means UTC, unreadable means ``run_ts``."""
-    return F.coalesce(F.try_to_timestamp(c.cast("string")), as_instant(run_ts))
+    written = c.cast("string")
+    dated = F.when(written.rlike(r"^\d{4}-\d{2}-\d{2}"), written)
+    return F.coalesce(F.try_to_timestamp(dated), as_instant(run_ts))
 
 
 def epoch_to_instant(seconds: Column) -> Column:
-    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
+    return F.timestamp_micros(F.rint(seconds * 1_000_000).cast("bigint"))
 
 
 def age_days(created: Column, as_of: Column) -> Column:

@@ -25,8 +25,12 @@ def latest_per_key(df: DataFrame, by: Sequence[str], ts: str, tie: str) -> DataF
 
 
 def first_occurrence(df: DataFrame, by: Sequence[str], key: Column, order: Sequence[Column | str]) -> DataFrame:
-    """First row of each key within its group, rows with an empty key dropped."""
-    keyed = df.withColumn("_key", key).filter(F.col("_key") != "")
+    """First row of each key within its group, rows with an empty key dropped.
+
+    The generator works the key out once per row; a filter on it would be
+    pushed down and work it out again.
+    """
+    keyed = df.select("*", F.explode(F.filter(F.array(key), lambda k: k != "")).alias("_key"))
     return top_per_key(keyed, [*by, "_key"], order).drop("_key")
 
 

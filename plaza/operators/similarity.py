@@ -54,7 +54,10 @@ def similarity_join(df: DataFrame, by: Sequence[str], id: str, vector: str, thre
     by = list(by)
     distinct, copies = distinct_vectors(df.filter(vec.norm(F.col(vector)) > 0), by, id, vector)
     units = distinct.select(*by, id, _unit(vector).alias("u"))
-    lots = top_per_key(units.withColumn("_lot", F.md5(F.col(id).cast("string"))), by, ["_lot", id], k=PIVOTS)
+    # A group that fits in one block needs no more than one cell.
+    wanted = units.groupBy(*by).agg(F.least(F.lit(PIVOTS), F.ceil(F.count(F.lit(1)) / block_rows)).alias("_n"))
+    lots = top_per_key(units.withColumn("_lot", F.md5(F.col(id).cast("string"))), by, ["_lot", id], k=PIVOTS, rank="_rank")
+    lots = lots.join(wanted, by).filter("_rank <= _n")
     pivots = lots.groupBy(*by).agg(F.array_sort(F.collect_list("u")).alias("pivots"))
     near = F.array_min(F.transform("pivots", lambda p, i: F.struct(_angle(F.col("u"), p).alias("angle"), i.alias("cell"))))
     celled = materialize(
