@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -13,13 +14,18 @@ SPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 
-# The cleaning steps, in the order in which they apply.
+ASCII_SPACE = r"\t-\r\x1c-\x20"
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+WIDE_SPACES = [c for c in SPACE_CHARS if ord(c) > 0x7F]
+
+# The cleaning steps, in the order in which they apply; ``{s}``
+# stands for the white space characters.
 CLEANING_STEPS = [
-    (rf"http[^{SPACE}]+", " "),
-    (rf"www\.[^{SPACE}]+", " "),
-    (r"([a-z])([A-Z])", "$1 $2"),
-    (rf"[{SPACE}]{{2,}}", " "),
-    (r"[^\x00-\x7F]", ""),
+    ("http[^{s}]+", " "),
+    (r"www\.[^{s}]+", " "),
+    ("[a-z](?=[A-Z])", "$0 "),
+    ("[{s}]{{2,}}", " "),
+    (r"[^\x00-\x7F]+", ""),
 ]
 
 # Words that never count as keywords.
@@ -35,11 +41,20 @@ METRIC_PATTERN = r"\b[a-zA-Z0-9']+\b"
 SENTENCE_BREAK = rf"(?<=[.!?])[{SPACE}]+"
 GENERIC_TITLE = r"^(list of|this is|a list of|the list of|bullets|list:)"
 LIST_MARKERS = r"^[-•*\s]+"
-BULLETS_PREFIX = "bullets:"
+BULLETS_LABEL = r"(?i)^bullets:"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(SPACE_CHARS))
+
+
+def by_charset(c: Column, build: Callable[[str], Column]) -> Column:
+    """The expression ``build`` makes from a white space class. The whole class is
+    several times slower to match than its ASCII part, so it serves only text
+    that has such a character: a search for the characters as plain bytes."""
+    wide = reduce(lambda found, w: found | F.contains(c, F.lit(w)), WIDE_SPACES, F.lit(False))
+    narrow = (F.octet_length(c) == F.length(c)) | ~wide
+    return F.when(narrow, build(ASCII_SPACE)).otherwise(build(SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -48,8 +63,12 @@ def blank_to_null(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Readable ASCII text: no links, camelCase split, runs of space collapsed."""
-    steps = reduce(lambda t, step: F.regexp_replace(t, *map(F.lit, step)), CLEANING_STEPS, F.coalesce(c, F.lit("")))
-    return strip(steps)
+    whole = F.coalesce(c, F.lit(""))
+
+    def replaced(space: str) -> Column:
+        return reduce(lambda t, step: F.regexp_replace(t, F.lit(step[0].format(s=space)), F.lit(step[1])), CLEANING_STEPS, whole)
+
+    return strip(by_charset(whole, replaced))
 
 
 def post_content(content: Column, title: Column, selftext: Column) -> Column:
@@ -79,7 +98,14 @@ def title_case(c: Column) -> Column:
 def as_sentence(c: Column) -> Column:
     """Trimmed text that ends in a full stop and starts with a capital."""
     t = strip(c)
-    return capitalize_first(F.when(t.rlike(r"[.!?]$"), t).otherwise(F.concat(t, F.lit("."))))
+    end = F.when(F.right(t, F.lit(1)).isin(".", "!", "?"), F.lit("")).otherwise(F.lit("."))
+    return F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2)), end)
+
+
+def sentence_length(c: Column) -> Column:
+    """Length of ``as_sentence``, without making it."""
+    t = strip(c)
+    return F.length(t) + F.when(F.right(t, F.lit(1)).isin(".", "!", "?"), F.lit(0)).otherwise(F.lit(1))
 
 
 def split_sentences(c: Column) -> Column:
@@ -94,7 +120,7 @@ def chunks(c: Column, size: int) -> Column:
 
 
 def dedupe_key(c: Column) -> Column:
-    return F.regexp_replace(F.lower(strip(c)), rf"[{SPACE}]+", " ")
+    return by_charset(c, lambda space: F.regexp_replace(F.lower(strip(c)), f"[{space}]+", " "))
 
 
 def keyword_tokens(c: Column) -> Column:

@@ -31,7 +31,8 @@ def age_days(created: Column, as_of: Column) -> Column:
 def recency(created: Column, as_of: Column) -> Column:
     """1 / (1 + age in days), floored at 0; 0.1 where it has no value."""
     value = F.try_divide(F.lit(1.0), F.lit(1.0) + age_days(created, as_of))
-    return F.coalesce(F.greatest(F.lit(0.0), value), F.lit(0.1))
+    # greatest() skips nulls, so the missing value has to be replaced inside it.
+    return F.greatest(F.lit(0.0), F.coalesce(value, F.lit(0.1)))
 
 
 def newer_than(created: Column, since: Column) -> Column:

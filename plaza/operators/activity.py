@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plaza.functions import times
+from plaza.functions.arrays import let, unnest
 from plaza.operators.keys import top_per_key
 
 # Weights of score, comments and recency; floors; the activity of a
@@ -24,7 +25,7 @@ def user_subreddits(users: DataFrame) -> DataFrame:
     listed = F.array_distinct(F.transform(named, F.lower))
     default = F.array(*[F.lit(s) for s in DEFAULT_SUBREDDITS])
     chosen = F.when(F.size(listed) == 0, default).otherwise(listed)
-    return users.select("user_id", F.posexplode(chosen).alias("pos", "subreddit"))
+    return unnest(users, ["user_id"], chosen, "subreddit", "pos")
 
 
 def community_activity(posts: DataFrame, communities: DataFrame, as_of: str | Column, sample: int = 12) -> DataFrame:
@@ -82,21 +83,31 @@ def _fill(base: Column, missing: Column, high: int) -> Column:
     either it ends with a community filled up or the posts run out. A user
     with n communities therefore needs at most n steps, whatever the budget.
     """
-    def step(state: Column, _: Column) -> Column:
-        alloc, turn, left = state["alloc"], state["turn"], state["left"]
-        spots = F.sequence(F.lit(0), F.size(alloc) - 1)
-        circle = F.filter(spots, lambda i: F.get(alloc, i) < high)
+    zero = F.lit(0).cast("bigint")
+
+    def serve(alloc: Column, turn: Column, left: Column, circle: Column) -> Column:
         m = F.size(circle).cast("bigint")
-        first = F.pmod(turn, m)
         # Turns to wait until a member is served, and until it is full.
-        waits = F.transform(circle, lambda _i, j: F.pmod(j.cast("bigint") - first, m))
-        full = F.zip_with(circle, waits, lambda i, w: w + (high - F.get(alloc, i) - 1) * m + 1)
-        turns = F.least(left, F.array_min(full))
-        gains = F.transform(waits, lambda w: F.when(turns > w, F.floor((turns - 1 - w) / m) + 1).otherwise(F.lit(0)).cast("bigint"))
-        gained = F.map_from_arrays(circle, gains)
-        served = F.transform(alloc, lambda a, i: a + F.coalesce(F.element_at(gained, i), F.lit(0).cast("bigint")))
-        after = F.struct(served.alias("alloc"), (turn + turns).alias("turn"), (left - turns).alias("left"))
-        return F.when((left > 0) & (m > 0), after).otherwise(state)
+        waits = F.transform(circle, lambda _, j: F.pmod(j.cast("bigint") - F.pmod(turn, m), m))
+
+        def with_waits(waits: Column) -> Column:
+            full = F.zip_with(circle, waits, lambda i, w: w + (high - F.get(alloc, i) - 1) * m + 1)
+
+            def with_turns(turns: Column) -> Column:
+                gains = F.transform(waits, lambda w: F.when(turns > w, F.floor((turns - 1 - w) / m) + 1).otherwise(zero).cast("bigint"))
+                return let(F.map_from_arrays(circle, gains), lambda gained: F.struct(
+                    F.transform(alloc, lambda a, i: a + F.coalesce(F.element_at(gained, i), zero)).alias("alloc"),
+                    (turn + turns).alias("turn"), (left - turns).alias("left")))
+
+            return let(F.least(left, F.array_min(full)), with_turns)
+
+        return let(waits, with_waits)
+
+    def step(state: Column, _: Column) -> Column:
+        spots = F.sequence(F.lit(0), F.size(state["alloc"]) - 1)
+        circle = F.filter(spots, lambda i: F.get(state["alloc"], i) < high)
+        return let(circle, lambda c: F.when(
+            (state["left"] > 0) & (F.size(c) > 0), serve(state["alloc"], state["turn"], state["left"], c)).otherwise(state))
 
     start = F.struct(base.alias("alloc"), F.lit(0).cast("bigint").alias("turn"), missing.alias("left"))
     return F.aggregate(F.sequence(F.lit(1), F.size(base)), start, step)["alloc"]
@@ -126,7 +137,7 @@ def allocate_budget(subscriptions: DataFrame, top_n_total: int = 100, min_per_su
     )
     out = gap.withColumn("split", split)
     paired = F.zip_with("subs", "split", lambda s, n: F.struct(s.alias("sub"), n.alias("n")))
-    return out.select("user_id", F.explode(paired).alias("e")).select(
+    return unnest(out, ["user_id"], paired, "e").select(
         "user_id", "e.sub.pos", "e.sub.subreddit", "e.sub.activity", F.col("e.n").cast("int").alias("allocated"))
 
 

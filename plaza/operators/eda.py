@@ -8,6 +8,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plaza.functions.arrays import unnest
+
 # Hash buckets of the term features, length of the term list.
 TERM_BUCKETS = 1 << 18
 TOP_TERMS = 40
@@ -52,10 +54,9 @@ def global_eda(posts: DataFrame) -> DataFrame:
 
 def terms(posts: DataFrame, column: str = "content", stopwords: Sequence[str] | None = None) -> DataFrame:
     """One row per counted term: lower-cased, split on white space, English
-    stopwords and empty tokens dropped. The stopword test runs as a join-free
-    predicate after the split, so the rows never leave generated code."""
+    stopwords and empty tokens dropped."""
     stop = list(stopwords or StopWordsRemover.loadDefaultStopWords("english"))
-    tokens = posts.select(F.explode(F.split(F.lower(column), r"\s")).alias("token"))
+    tokens = unnest(posts, [], F.split(F.lower(column), r"\s"), "token")
     return tokens.filter((F.col("token") != "") & ~F.col("token").isin(stop))
 
 

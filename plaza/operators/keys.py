@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from plaza.functions.arrays import unnest
+
 
 def top_per_key(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], k: int = 1, rank: str | None = None) -> DataFrame:
     """The first ``k`` rows per key.
@@ -27,19 +29,19 @@ def latest_per_key(df: DataFrame, by: Sequence[str], ts: str, tie: str) -> DataF
 def first_occurrence(df: DataFrame, by: Sequence[str], key: Column, order: Sequence[Column | str]) -> DataFrame:
     """First row of each key within its group, rows with an empty key dropped.
 
-    The generator works the key out once per row; a filter on it would be
-    pushed down and work it out again.
+    As an unnested array the key is worked out once per row; a filter on it
+    would be pushed down and work it out again.
     """
-    keyed = df.select("*", F.explode(F.filter(F.array(key), lambda k: k != "")).alias("_key"))
+    keyed = unnest(df, ["*"], F.array(F.nullif(key, F.lit(""))), "_key")
     return top_per_key(keyed, [*by, "_key"], order).drop("_key")
 
 
 def anti_existing(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    return df.join(existing.select(key), key, "left_anti")
+    return df.join(existing.select(key), key, "left_anti").select(*df.columns)
 
 
 def semi_referential(df: DataFrame, parents: DataFrame, key: str, parent_key: str) -> DataFrame:
-    return df.join(parents.select(F.col(parent_key).alias(key)), key, "left_semi")
+    return df.join(parents.select(F.col(parent_key).alias(key)), key, "left_semi").select(*df.columns)
 
 
 def point_lookup(df: DataFrame, **equals: object) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plaza.functions import text as tx
+from plaza.functions.arrays import unnest
 from plaza.operators.keys import first_occurrence, top_per_key
 from plaza.session import materialize
 
@@ -28,13 +29,13 @@ SUMMARY_SENTENCES = 5
 
 def chunk_text(df: DataFrame, text: str = "topic_text", size: int = CHUNK_CHARS) -> DataFrame:
     kept = [c for c in df.columns if c != text]
-    return df.select(*kept, F.posexplode(tx.chunks(F.col(text), size)).alias("chunk_index", "chunk"))
+    return unnest(df, kept, tx.chunks(F.col(text), size), "chunk", "chunk_index")
 
 
 def sentences(df: DataFrame, text: str = "topic_text") -> DataFrame:
     """One row per sentence with its position in the text."""
     kept = [c for c in df.columns if c != text]
-    return df.select(*kept, F.posexplode(tx.split_sentences(F.col(text))).alias("sentence_index", "sentence"))
+    return unnest(df, kept, tx.split_sentences(F.col(text)), "sentence", "sentence_index")
 
 
 def dedupe_exact(df: DataFrame, by: Sequence[str], text: str, order: Sequence[str]) -> DataFrame:
@@ -50,14 +51,14 @@ def keywords(df: DataFrame, by: Sequence[str], text: str, k: int = TITLE_KEYWORD
     One text per group. Counts are combined before the shuffle and the rank
     is bounded, so a long text costs no more than its distinct words.
     """
-    tokens = df.select(*by, F.posexplode(tx.keyword_tokens(F.col(text))).alias("_pos", "keyword"))
+    tokens = unnest(df, by, tx.keyword_tokens(F.col(text)), "keyword", "_pos")
     counts = tokens.groupBy(*by, "keyword").agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("_first"))
     return top_per_key(counts, by, [F.col("n").desc(), "_first"], k=k, rank="keyword_rank").drop("_first")
 
 
 def topk_terms(df: DataFrame, by: Sequence[str], text: str, k: int = TITLE_KEYWORDS) -> DataFrame:
     """The ``k`` most frequent keywords over all texts of a group, ties by word."""
-    tokens = df.select(*by, F.explode(tx.keyword_tokens(F.col(text))).alias("keyword"))
+    tokens = unnest(df, by, tx.keyword_tokens(F.col(text)), "keyword")
     counts = tokens.groupBy(*by, "keyword").agg(F.count(F.lit(1)).alias("n"))
     return top_per_key(counts, by, [F.col("n").desc(), "keyword"], k=k, rank="keyword_rank")
 
@@ -79,8 +80,9 @@ def extractive_summary(topic_texts: DataFrame, by: Sequence[str], text: str = "t
     has one row per word; no topic is collected, only its ``n`` winners.
     """
     by = list(by)
-    rows = materialize(dedupe_exact(sentences(topic_texts.select(*by, text), text), by, "sentence", ["sentence_index"]), "sentences")
-    per_word = rows.select(*by, "sentence_index", F.explode(F.array_distinct(tx.keyword_tokens(F.col("sentence")))).alias("word"))
+    once = dedupe_exact(sentences(topic_texts.select(*by, text), text), by, "sentence", ["sentence_index"])
+    rows = materialize(once.withColumn("words", F.array_distinct(tx.keyword_tokens(F.col("sentence")))), "sentences")
+    per_word = unnest(rows, [*by, "sentence_index"], F.col("words"), "word")
     spread = per_word.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = rows.agg(F.count(F.lit(1))).scalar()
     rarity = F.round(F.log((total + 1.0) / (F.col("df") + 1.0)) * 1000).cast("bigint")
@@ -88,7 +90,7 @@ def extractive_summary(topic_texts: DataFrame, by: Sequence[str], text: str = "t
     weighed = used.join(spread.select("word", rarity.alias("rarity")), "word")
     scores = weighed.groupBy(*by, "sentence_index").agg(
         F.floor(F.sum(F.col("tf") * F.col("rarity")) / F.count(F.lit(1))).cast("bigint").alias("score"))
-    scored = rows.join(scores, [*by, "sentence_index"], "left").withColumn("score", F.coalesce("score", F.lit(0)))
+    scored = rows.drop("words").join(scores, [*by, "sentence_index"], "left").withColumn("score", F.coalesce("score", F.lit(0)))
     best = top_per_key(scored, by, [F.col("score").desc(), "sentence_index"], k=n)
     listed = best.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("sentence_index", "sentence"))).alias("_s"))
     joined = F.array_join(F.transform("_s", lambda e: e["sentence"]), " ")
@@ -137,23 +139,22 @@ def topic_bullets(summary: Column, n: int = BULLETS) -> Column:
 
 
 def clean_bullet(line: Column) -> Column:
+    """No list markers, no leading label, single spaces."""
     bare = F.regexp_replace(tx.strip(line), tx.LIST_MARKERS, "")
-    head = F.length(F.lit(tx.BULLETS_PREFIX))
-    unprefixed = F.when(F.startswith(F.lower(bare), F.lit(tx.BULLETS_PREFIX)), tx.strip(F.substr(bare, head + 1))).otherwise(bare)
-    return tx.collapse_spaces(unprefixed)
+    return tx.collapse_spaces(F.regexp_replace(bare, tx.BULLETS_LABEL, ""))
 
 
 def bullet_clean(df: DataFrame, text: str) -> DataFrame:
     """Non-empty lines of a bullet list without markers, in order."""
     kept = [c for c in df.columns if c != text]
-    lines = df.select(*kept, F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("line_index", "_line"))
-    return lines.select(*kept, "line_index", clean_bullet(F.col("_line")).alias("bullet")).filter("bullet <> ''")
+    lines = F.transform(F.split(text, r"\r\n|\r|\n"), lambda line: F.nullif(clean_bullet(line), F.lit("")))
+    return unnest(df, kept, lines, "bullet", "line_index")
 
 
 def token_intersection(a: DataFrame, b: DataFrame, by: Sequence[str], text: str) -> DataFrame:
     """Distinct tokens that both sides of a group use."""
     def tokens(df: DataFrame) -> DataFrame:
-        return df.select(*by, F.explode(F.array_distinct(tx.metric_tokens(F.col(text)))).alias("token")).distinct()
+        return unnest(df, by, F.array_distinct(tx.metric_tokens(F.col(text))), "token").distinct()
 
     return tokens(a).join(tokens(b), [*by, "token"])
 
@@ -167,7 +168,7 @@ def summary_metrics(originals: DataFrame, summaries: DataFrame, by: Sequence[str
     by = list(by)
 
     def tagged(df: DataFrame, column: str, o: int) -> DataFrame:
-        tokens = df.select(*by, F.explode(tx.metric_tokens(F.col(column))).alias("token"))
+        tokens = unnest(df, by, tx.metric_tokens(F.col(column)), "token")
         return tokens.select(*by, "token", F.lit(o).alias("o"), F.lit(1 - o).alias("s"))
 
     both = tagged(originals, text, 1).unionByName(tagged(summaries, summary, 0))

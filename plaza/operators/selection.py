@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plaza.functions import times
+from plaza.functions.arrays import unnest
 from plaza.operators.keys import top_per_key
 
 _PICK = "array<struct<post_id:string,created_at:timestamp>>"
@@ -66,7 +67,7 @@ def select_posts(posts: DataFrame, budgets: DataFrame, max_per_sub: int = 40) ->
         lambda e: fresh(e) & ~F.exists("first", lambda t: t["post_id"] == e["post_id"]),
     )
     taken = F.slice(F.concat("first", extra), 1, F.col("allocated"))
-    rows = picked.select("user_id", "subreddit", "allocated", F.posexplode(taken).alias("position", "post"))
+    rows = unnest(picked, ["user_id", "subreddit", "allocated"], taken, "post", "position")
     return rows.select("user_id", "subreddit", "allocated", "position", "post.post_id", "post.created_at")
 
 

@@ -138,8 +138,8 @@ def topic_members(assigned: DataFrame, by: Sequence[str], order: Sequence[str])
 def unique_texts(df: DataFrame, by: Sequence[str], order: Sequence[str], text: str = "text") -> DataFrame:
     """First post of each distinct text per topic, without the text itself:
     copies are told apart by digest and dropped before the shuffle."""
-    slim = df.select(*by, *order, F.sha2(text, 256).alias("_digest"), F.length(tx.as_sentence(F.col(text))).alias("n_chars"))
-    return top_per_key(slim.filter("n_chars > 0"), [*by, "_digest"], list(order)).drop("_digest")
+    slim = df.filter(F.col(text) != "").select(*by, *order, F.sha2(text, 256).alias("_digest"), tx.sentence_length(F.col(text)).alias("n_chars"))
+    return top_per_key(slim, [*by, "_digest"], list(order)).drop("_digest")
 
 
 def leading_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], size: Column, budget: int, salts: int = 32) -> DataFrame:
@@ -166,7 +166,7 @@ def topic_text(df: DataFrame, by: Sequence[str], order: Sequence[str], text: str
     if unique:
         lengths = unique_texts(df, by, order, text)
     else:
-        lengths = df.filter(F.col(text) != "").select(*by, *order, F.length(tx.as_sentence(F.col(text))).alias("n_chars"))
+        lengths = df.filter(F.col(text) != "").select(*by, *order, tx.sentence_length(F.col(text)).alias("n_chars"))
     lead = leading_rows(lengths, by, order, F.col("n_chars") + 1, max_chars).select(*by, *order)
     entry = F.struct(*order, tx.as_sentence(F.col(text)).alias("s"))
     listed = df.join(lead, [*by, *order]).groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_parts"))

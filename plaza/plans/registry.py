@@ -59,8 +59,8 @@ def topic_texts(spark: SparkSession, root: str) -> DataFrame:
     return materialize(rows, "topic-posts")
 
 
-def topic_summaries(spark: SparkSession, root: str) -> DataFrame:
-    texts = topics.topic_text(topic_texts(spark, root), TOPIC, ORDER)
+def topic_summaries(spark: SparkSession, root: str, posts: DataFrame | None = None) -> DataFrame:
+    texts = topics.topic_text(posts or topic_texts(spark, root), TOPIC, ORDER)
     return materialize(products.extractive_summary(materialize(texts, "topic-texts"), TOPIC), "summaries")
 
 
@@ -480,7 +480,7 @@ def global_top_terms(spark, root):
 
 @query
 def term_features(spark, root):
-    rows = readable(views.posts(spark, root)).select("post_id", "text")
+    rows = materialize(readable(views.posts(spark, root)).select("post_id", "text"), "texts")
     made = eda.term_features(rows, "text")
     return made.select("post_id", fixed(vec.norm(vector_values("features"))).alias("norm"), F.size(vector_values("tf")).alias("n_terms"))
 
@@ -801,7 +801,8 @@ def bullet_clean(spark, root):
 
 @query
 def summary_metrics(spark, root):
-    return products.summary_metrics(topic_texts(spark, root), topic_summaries(spark, root), TOPIC)
+    texts = topic_texts(spark, root)
+    return products.summary_metrics(texts, topic_summaries(spark, root, texts), TOPIC)
 
 
 @query

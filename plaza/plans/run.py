@@ -59,10 +59,12 @@ def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> Data
     measured = single.select(*TOPIC, "text").unionByName(
         clustered.join(topics.unique_texts(clustered, TOPIC, ["position"]).select(*TOPIC, "position"), [*TOPIC, "position"])
         .select(*TOPIC, "text"))
+    listed = products.keyword_list(summaries, TOPIC, "summary", products.TITLE_KEYWORDS)
     out = (
-        products.keyword_list(summaries, TOPIC, "summary", products.KEYWORDS_STORED)
-        .withColumn("bullets", products.topic_bullets(F.col("summary")))
-        .join(products.topic_title(summaries, TOPIC), TOPIC)
+        listed.withColumns({
+            "title": products.title_from(F.lit(None).cast("string"), F.col("keywords"), F.col("summary")),
+            "bullets": products.topic_bullets(F.col("summary")),
+            "keywords": F.slice("keywords", 1, products.KEYWORDS_STORED)})
         .join(products.summary_metrics(measured, summaries, TOPIC), TOPIC)
         .join(samples, TOPIC, "left")
     )
