@@ -32,7 +32,7 @@ def first_occurrence(df: DataFrame, by: Sequence[str], key: Column, order: Seque
     As an unnested array the key is worked out once per row; a filter on it
     would be pushed down and work it out again.
     """
-    keyed = unnest(df, ["*"], F.array(F.nullif(key, F.lit(""))), "_key")
+    keyed = unnest(df, ["*"], F.array(key), "_key").filter("_key <> ''")
     return top_per_key(keyed, [*by, "_key"], order).drop("_key")
 
 

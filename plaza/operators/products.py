@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plaza.functions import text as tx
 from plaza.functions.arrays import unnest
 from plaza.operators.keys import first_occurrence, top_per_key
-from plaza.session import materialize
+from plaza.session import materialize, spread
 
 # Sizes of the products and the texts that stand in for a missing one.
 CHUNK_CHARS = 2800
@@ -41,8 +41,8 @@ def sentences(df: DataFrame, text: str = "topic_text") -> DataFrame:
 def dedupe_exact(df: DataFrame, by: Sequence[str], text: str, order: Sequence[str]) -> DataFrame:
     """First row of each text per group, up to case and white space. Texts are
     compared by digest, so what is ranked stays narrow."""
-    key = tx.dedupe_key(F.col(text))
-    return first_occurrence(df, by, F.when(key != "", F.sha2(key, 256)).otherwise(key), order)
+    filled = df.filter(tx.strip(F.col(text)) != "")
+    return first_occurrence(filled, by, F.sha2(tx.dedupe_key(F.col(text)), 256), order)
 
 
 def keywords(df: DataFrame, by: Sequence[str], text: str, k: int = TITLE_KEYWORDS) -> DataFrame:
@@ -82,12 +82,13 @@ def extractive_summary(topic_texts: DataFrame, by: Sequence[str], text: str = "t
     by = list(by)
     once = dedupe_exact(sentences(topic_texts.select(*by, text), text), by, "sentence", ["sentence_index"])
     rows = materialize(once.withColumn("words", F.array_distinct(tx.keyword_tokens(F.col("sentence")))), "sentences")
+    rows = spread(rows)
     per_word = unnest(rows, [*by, "sentence_index"], F.col("words"), "word")
-    spread = per_word.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    corpus = per_word.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = rows.agg(F.count(F.lit(1))).scalar()
     rarity = F.round(F.log((total + 1.0) / (F.col("df") + 1.0)) * 1000).cast("bigint")
     used = per_word.withColumn("tf", F.count(F.lit(1)).over(Window.partitionBy(*by, "word")))
-    weighed = used.join(spread.select("word", rarity.alias("rarity")), "word")
+    weighed = used.join(corpus.select("word", rarity.alias("rarity")), "word")
     scores = weighed.groupBy(*by, "sentence_index").agg(
         F.floor(F.sum(F.col("tf") * F.col("rarity")) / F.count(F.lit(1))).cast("bigint").alias("score"))
     scored = rows.drop("words").join(scores, [*by, "sentence_index"], "left").withColumn("score", F.coalesce("score", F.lit(0)))

@@ -24,6 +24,8 @@ TOPIC_TEXT_CHARS = 3500
 SAMPLE_POSTS = 3
 
 SEED_CANDIDATES = 64
+# Numbers in a centroid table (32 MB) that may travel with every task.
+CENTROID_LIMIT = 4_000_000
 
 
 def num_topics(n: Column) -> Column:
@@ -64,6 +66,26 @@ def assign_nearest_centroid(vectors: DataFrame, centroids: DataFrame, by: Sequen
     return paired.withColumn("topic_index", F.array_min(ranked)["t"]).drop("_centroids")
 
 
+def _assign_in_batches(data: DataFrame, centroids: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``assign_nearest_centroid`` for a centroid table of checked size: it goes
+    out with the tasks and whole Arrow batches are compared at once."""
+    key = F.to_json(F.struct(*by))
+    known = centroids.select(key.alias("key"), "topic_index", "centroid").orderBy("key", "topic_index").toPandas()
+    table = {k: (np.stack(g["centroid"].to_numpy()), g["topic_index"].to_numpy()) for k, g in known.groupby("key")}
+
+    @F.pandas_udf("int")
+    def nearest(keys: pd.Series, points: pd.Series) -> pd.Series:
+        out = np.zeros(len(keys), dtype=np.int32)
+        rows = np.stack(points.to_numpy()) if len(points) else None
+        for k, at in keys.groupby(keys).indices.items():
+            places, labels = table[k]
+            gaps = np.stack([((rows[at] - c) ** 2).sum(axis=1) for c in places])
+            out[at] = labels[gaps.argmin(axis=0)]
+        return pd.Series(out)
+
+    return data.withColumn("topic_index", nearest(key, F.col("embedding")))
+
+
 def _spread_seeds(by: Sequence[str]):
     """Farthest-first choice of k centroids from a group's bounded candidates."""
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -82,13 +104,15 @@ def _spread_seeds(by: Sequence[str]):
 def kmeans_topics(
     vectors: DataFrame, by: Sequence[str], id: str = "post_id", vector: str = "embedding",
     threshold: int = SINGLE_TOPIC_LIMIT, max_iter: int = 20, tol: float = 1e-4, seed: int = 42,
+    centroid_limit: int = CENTROID_LIMIT,
 ) -> DataFrame:
     """Cluster every group with more than ``threshold`` rows, all at once.
 
     One fit per community would be a driver loop over communities. Here each
-    Lloyd step is one job for all groups: a join with the group's centroid
-    array, then a partial-aggregated mean per (group, topic), so neither many
-    communities nor one huge community is a bottleneck. Returns ``by..., id,
+    Lloyd step is one job for all groups: the nearest centroid of every row,
+    then a partial-aggregated mean per (group, topic), so neither many
+    communities nor one huge community is a bottleneck. Centroids go out with
+    the tasks up to ``centroid_limit`` numbers and by join beyond it. Returns ``by..., id,
     topic_index``; topics that win no row do not appear.
     """
     by = list(by)
@@ -103,8 +127,10 @@ def kmeans_topics(
               T.StructField("centroid", T.ArrayType(T.DoubleType()))]
     seeds = candidates.groupBy(*by).applyInPandas(_sorted_by("_rank", _spread_seeds(by)), T.StructType(fields))
     centroids = materialize(seeds, "kmeans-centroids")
+    numbers = centroids.agg(F.sum(F.size("centroid"))).first()[0] or 0
+    assign = _assign_in_batches if numbers <= centroid_limit else assign_nearest_centroid
     for _ in range(max_iter):
-        assigned = assign_nearest_centroid(data, centroids, by)
+        assigned = assign(data, centroids, by)
         means = assigned.groupBy(*by, "topic_index").agg(
             vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("mean"))
         moved = centroids.join(means, [*by, "topic_index"], "left")
@@ -115,7 +141,7 @@ def kmeans_topics(
         centroids = moved.drop("shift")
         if largest is None or largest <= tol * tol:
             break
-    return assign_nearest_centroid(data, centroids, by).select(*by, id, "topic_index")
+    return assign(data, centroids, by).select(*by, id, "topic_index")
 
 
 def _sorted_by(column: str, fn):
@@ -142,7 +168,7 @@ def unique_texts(df: DataFrame, by: Sequence[str], order: Sequence[str], text: s
     return top_per_key(slim, [*by, "_digest"], list(order)).drop("_digest")
 
 
-def leading_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], size: Column, budget: int, salts: int = 32) -> DataFrame:
+def leading_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], size: Column, budget: int, salts: int = 1024) -> DataFrame:
     """Rows before which less than ``budget`` of ``size`` lies, per group in order.
 
     What lies before a row within a slice of its group is at most what lies

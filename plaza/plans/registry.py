@@ -16,7 +16,7 @@ from plaza.operators import (
     activity, eda, graph, keys, polarity, products, ranking, reports, results, selection, similarity, topics,
 )
 from plaza.plans import run, views
-from plaza.session import materialize, new_path
+from plaza.session import materialize, new_path, spread
 from plaza.sources import readers, writers
 from plaza.streaming import streams
 
@@ -56,12 +56,12 @@ def readable(posts: DataFrame) -> DataFrame:
 def topic_texts(spark: SparkSession, root: str) -> DataFrame:
     """Posts by (community, topic) with readable text, written once."""
     rows = readable(views.topic_posts(spark, root)).select("post_id", "created_at", *TOPIC, "text")
-    return materialize(rows, "topic-posts")
+    return spread(materialize(rows, "topic-posts"))
 
 
 def topic_summaries(spark: SparkSession, root: str, posts: DataFrame | None = None) -> DataFrame:
     texts = topics.topic_text(posts or topic_texts(spark, root), TOPIC, ORDER)
-    return materialize(products.extractive_summary(materialize(texts, "topic-texts"), TOPIC), "summaries")
+    return spread(materialize(products.extractive_summary(spread(materialize(texts, "topic-texts")), TOPIC), "summaries"))
 
 
 def budgets(spark: SparkSession, root: str, n: int, users: DataFrame | None = None) -> DataFrame:
@@ -474,7 +474,7 @@ def top_terms(spark, root):
 
 @query
 def global_top_terms(spark, root):
-    return eda.top_terms(readable(views.table(spark, root, "documents").select(
+    return eda.top_terms(readable(documents(spark, root).select(
         F.lit(None).cast("string").alias("content"), F.lit("").alias("title"), F.col("text").alias("selftext"))), "text")
 
 
@@ -641,7 +641,7 @@ def topk_terms_per_topic(spark, root):
 def scalar_text(spark, root):
     c = tx.clean_text(F.col("text"))
     word = F.col("title_words")
-    rows = views.table(spark, root, "documents").select("doc_id", c.alias("clean"), "source").withColumn(
+    rows = documents(spark, root).select("doc_id", c.alias("clean"), "source").withColumn(
         "title_words", F.concat(F.lit("fine-tuning "), F.lower("clean"), F.lit(" 3d")))
     return rows.select(
         "doc_id", F.lower("clean").alias("lowered"), F.upper("source").alias("uppered"),
@@ -737,8 +737,12 @@ def topic_text_single(spark, root):
     return topics.topic_text(rows, ["subreddit"], ORDER, unique=False)
 
 
+def documents(spark, root) -> DataFrame:
+    return spread(views.table(spark, root, "documents"))
+
+
 def clean_documents(spark, root) -> DataFrame:
-    return views.table(spark, root, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("topic_text"))
+    return documents(spark, root).select("doc_id", tx.clean_text(F.col("text")).alias("topic_text"))
 
 
 @query
@@ -795,7 +799,7 @@ def topic_bullets(spark, root):
 def bullet_clean(spark, root):
     """Document lines as a marked bullet list, cleaned again."""
     marked = F.concat(F.lit("- "), F.regexp_replace("text", "\n", "\n*  Bullets: "))
-    rows = views.table(spark, root, "documents").select("doc_id", marked.alias("text"))
+    rows = documents(spark, root).select("doc_id", marked.alias("text"))
     return products.bullet_clean(rows, "text")
 
 
@@ -807,8 +811,8 @@ def summary_metrics(spark, root):
 
 @query
 def topic_polarity(spark, root):
-    documents = views.table(spark, root, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("text"))
-    labelled = documents.join(views.table(spark, root, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    rows = clean_documents(spark, root).withColumnRenamed("topic_text", "text")
+    labelled = rows.join(views.table(spark, root, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
     return polarity.topic_polarity(topic_summaries(spark, root), polarity.fit_polarity(labelled)).drop("summary")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plaza.functions import text as tx
 from plaza.operators import activity, eda, polarity, products, results, selection, topics
-from plaza.session import materialize
+from plaza.session import materialize, spread
 
 GROUP = ["user_id", "subreddit"]
 TOPIC = [*GROUP, "topic_index"]
@@ -37,9 +37,13 @@ def budgets(posts: DataFrame, users: DataFrame, runs: DataFrame, s: RunSettings)
 
 
 def selected_texts(posts: DataFrame, picked: DataFrame) -> DataFrame:
-    """The picked posts with their readable text."""
+    """The picked posts with their readable text. Picks come from two short lists
+    per community, so the text of most posts need not be cleaned. What is
+    cleaned is written before the join: in one generated stage with it, the
+    text would be worked out again for every user who picked the post."""
     content = tx.post_content(F.col("content"), F.col("title"), F.col("selftext"))
-    body = posts.select("post_id", tx.clean_text(content).alias("text"), "score", "num_comments")
+    wanted = posts.join(picked.select("post_id").distinct(), "post_id", "left_semi")
+    body = materialize(wanted.select("post_id", tx.clean_text(content).alias("text"), "score", "num_comments"), "picked-texts")
     return picked.join(body, "post_id")
 
 
@@ -54,8 +58,8 @@ def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> Data
     blobs = selection.union_posts(*[topics.topic_text(p, TOPIC, ["position"], unique=u) for p, u in parts])
     samples = selection.union_posts(*[topics.sample_posts(p, TOPIC, ["position"], unique=u) for p, u in parts])
     every = texts.select(*TOPIC).distinct().join(blobs, TOPIC, "left")
-    every = materialize(every.withColumn("topic_text", F.coalesce("topic_text", F.lit(""))), "topic-texts")
-    summaries = materialize(products.extractive_summary(every, TOPIC), "summaries")
+    every = spread(materialize(every.withColumn("topic_text", F.coalesce("topic_text", F.lit(""))), "topic-texts"))
+    summaries = spread(materialize(products.extractive_summary(every, TOPIC), "summaries"))
     measured = single.select(*TOPIC, "text").unionByName(
         clustered.join(topics.unique_texts(clustered, TOPIC, ["position"]).select(*TOPIC, "position"), [*TOPIC, "position"])
         .select(*TOPIC, "text"))
@@ -90,7 +94,7 @@ def run_analysis(posts: DataFrame, users: DataFrame, runs: DataFrame, vectors: D
     texts = materialize(selected_texts(posts, picked), "texts")
     placed = topics.assign_topics(picked.join(vectors, "post_id"), picked.join(vectors, "post_id"), [*GROUP], threshold=s.threshold)
     placed = placed.join(topics.topic_plan(picked, GROUP, s.threshold).select(*GROUP, "mode"), GROUP)
-    placed = materialize(texts.join(placed, [*GROUP, "post_id"]), "placed")
+    placed = spread(materialize(texts.join(placed, [*GROUP, "post_id"]), "placed"))
     made = topic_products(placed, model)
     members = placed.groupBy(*TOPIC).agg(F.array_sort(F.collect_list("position")).alias("post_indices"))
     source = selection.source_of(F.col("subreddit"), s.platform).alias("source")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plaza.session import use_utc
+from plaza.session import spread, use_utc
 
 AS_OF = "2024-01-31 00:00:00"
 LAST_RUN = "2024-01-15 00:00:00"
@@ -19,13 +19,6 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{root}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Text work follows the scan in the same task. A table of few file splits
-    is dealt out to all cores first; a large one has splits enough."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def row_count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
@@ -41,10 +34,10 @@ def events(spark: SparkSession, root: str) -> DataFrame:
 def posts_of(event_rows: DataFrame, root: str) -> DataFrame:
     """Posts of the given events."""
     spark = event_rows.sparkSession
-    documents, pages = spread(table(spark, root, "documents")), table(spark, root, "pages")
+    documents, pages = table(spark, root, "documents"), table(spark, root, "pages")
     keyed = event_rows.withColumns({
         "doc_id": F.col("event_id") % row_count(documents), "page_id": F.col("event_id") % row_count(pages)})
-    joined = keyed.join(documents, "doc_id").join(pages.select("page_id", "url"), "page_id")
+    joined = keyed.join(spread(documents), "doc_id").join(pages.select("page_id", "url"), "page_id")
     title = F.substring("text", 1, 80)
     selftext = F.concat(F.substr("text", F.lit(81)), F.lit(" "), "url")
     return joined.select(

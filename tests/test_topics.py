@@ -77,13 +77,14 @@ def test_dedupe_similar_top_k(spark, clouds):
     assert {r["id"] for r in kept.collect()} == {i for points in clouds.values() for i in greedy(points, 0.5)[:3]}
 
 
-def test_kmeans_reaches_a_fixed_point(spark):
+@pytest.mark.parametrize("limit", [topics.CENTROID_LIMIT, 0])
+def test_kmeans_reaches_a_fixed_point(spark, limit):
     rnd = np.random.default_rng(9)
     centers = {"a": rnd.normal(size=(4, 6)) * 10, "b": rnd.normal(size=(4, 6)) * 10}
     rows = [(g, f"{g}{i}", [float(x) for x in c[i % 4] + rnd.normal(size=6)]) for g, c in centers.items() for i in range(60)]
     rows += [("tiny", f"t{i}", [float(i)] * 6) for i in range(20)]
     df = spark.createDataFrame(rows, "g string, post_id string, embedding array<double>")
-    made = topics.kmeans_topics(df, ["g"]).collect()
+    made = topics.kmeans_topics(df, ["g"], centroid_limit=limit).collect()
     assert Counter(r["g"] for r in made) == {"a": 60, "b": 60}
     value = {r[1]: np.array(r[2]) for r in rows}
     for g in centers:
