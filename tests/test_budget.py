@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from plaza.operators import activity, selection
 
