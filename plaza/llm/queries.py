@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import exact_dedup, packing, pii, quality
+from plaza.llm import exact_dedup, langid, packing, pii, quality
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "left_chars")
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = langid.predicted(docs.select("doc_id", "text"), langid.train(docs))
+    return judged.select(
+        F.col("row.doc_id").alias("doc_id"), langid.held_out(F.col("row.doc_id")).alias("held_out"),
+        "lang_pred", "score", "accepted")
