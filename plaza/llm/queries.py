@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import exact_dedup, langid, packing, pii, quality
+from plaza.llm import exact_dedup, langid, minhash, packing, pii, quality
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         F.col("row.doc_id").alias("doc_id"), langid.held_out(F.col("row.doc_id")).alias("held_out"),
         "lang_pred", "score", "accepted")
+
+
+@query()
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), Scratch(spark, "op10"), size=3, percent=85)
