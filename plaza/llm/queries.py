@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import exact_dedup, langid, minhash, packing, pii, quality, suffix_dedup
+from plaza.llm import exact_dedup, html_text, langid, minhash, packing, pii, quality, suffix_dedup
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,21 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred", "score", "accepted")
 
 
+# The pages of the tables mark their articles, hold paragraphs and headings in them, and use few references.
+_PLAIN = "replace(replace(replace(replace(b, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+@query(f"""
+    SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (
+        SELECT page_id, url, array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(
+                regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(p|h1)>', chr(1), 'g'), '<br>', ' ', 'g'), chr(1)),
+            lambda b: trim(regexp_replace({_PLAIN.replace("(b,", "(regexp_replace(b, '<[^>]*>', '', 'g'),")}, '[\\x20\\x09-\\x0D]+', ' ', 'g'))),
+            lambda b: b <> ''), chr(10)) AS text FROM pages)
+""")
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"), Scratch(spark, "op9"))
+
+
 @query()
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), Scratch(spark, "op10"), size=3, percent=85)
