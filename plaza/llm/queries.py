@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import exact_dedup, html_text, langid, minhash, packing, pii, quality, suffix_dedup
+from plaza.llm import chat, exact_dedup, html_text, langid, minhash, packing, pii, quality, sentencepiece, suffix_dedup
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "left_chars")
 
 
+@query()
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.turns(table(spark, sf_dir, "conversations"), Scratch(spark, "op6"))
+
+
+@query()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=3)
+
+
 @query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
