@@ -29,6 +29,8 @@ from plaza.llm.common import SPACE, Scratch, pieces_of, whole_text
 
 ROWS_PER_OWNER = 250_000
 SALTS = 16
+# The marked fingerprints as bits: at most BITS / 8 bytes (32 MiB) go to every task.
+BITS, BITS_PER_BUCKET = 1 << 28, 32_768
 
 _SENT = "part int, doc_id long, text_sha256 string, fp long, owner int, slot int, again boolean, n int, width int, unary binary, rest binary"
 
@@ -91,6 +93,22 @@ def _marked(rows: pd.DataFrame, bitmaps: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"fp": rows.fp[twice].unique().astype(np.int64)})
 
 
+def _bit(fp: Column) -> tuple[Column, Column]:
+    """Bucket and place of a fingerprint's bit."""
+    bit = F.pmod(fp, F.lit(BITS))
+    return F.floor(bit / BITS_PER_BUCKET).cast("int"), bit % BITS_PER_BUCKET
+
+
+def _suspected(texts: DataFrame, suspects: DataFrame) -> DataFrame:
+    """The texts whose fingerprint's bit is set: all suspects, and hardly any other text
+    as long as there are far fewer suspects than bits. Its size is bounded by BITS."""
+    bucket, place = _bit(F.col("fp"))
+    bitmaps = suspects.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bitmap"))
+    byte = F.conv(F.hex(F.substr("bitmap", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return texts.withColumn("bucket", bucket).join(F.broadcast(bitmaps), "bucket").filter(
+        byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) > 0).drop("bucket", "bitmap")
+
+
 def exact_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(whole_text()).alias("norm"))
@@ -109,7 +127,7 @@ def exact_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # each sends on one row per text.
     salt = F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt")
     wanted = suspects.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    whole = texts.select("*", salt).join(wanted, ["fp", "salt"], "left_semi")
+    whole = _suspected(texts, suspects).select("*", salt).join(wanted.hint("merge"), ["fp", "salt"], "left_semi")
     equal = (
         whole.groupBy("fp", "salt", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
         .groupBy("fp", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("n"))
