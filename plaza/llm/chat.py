@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from plaza.llm.common import Scratch, pieces_of
+from plaza.llm.common import Scratch, named, pieces_of, unnamed
 from plaza.llm.grouping import in_runs
 
 # Roles, the names they go by, and how often markers and the role column are right.
@@ -88,9 +88,7 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for conv, turn, role, text in zip(frame.conv_id.tolist(), frame.turn.tolist(), frame.role.tolist(), frame.text.tolist()):
             out += [(conv, turn, k, *s) for k, s in enumerate(segments(role, text or ""))]
-        rows = pd.DataFrame(out, columns=["conv_id", "turn", "part", "marker", "given", "seen", "text"])
-        rows["conv_id"], rows["turn"] = rows.conv_id.astype("Int64"), rows.turn.astype("Int64")
-        yield rows
+        yield pd.DataFrame(out, columns=["conv_id", "turn", "part", "marker", "given", "seen", "text"])
 
 
 def _known(marker: int, given: int) -> int:
@@ -104,10 +102,9 @@ def _placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     before = -2
     for frame in frames:
         runs, befores = [], []
-        for conv, known, marker, given in zip(frame.conv_id.tolist(), frame.conv_id.notna().tolist(), frame.marker.tolist(), frame.given.tolist()):
-            key = (known, conv if known else None)
-            if key != last:
-                run, last, before = run + 1, key, -2
+        for conv, marker, given in zip(frame.conv_id.tolist(), frame.marker.tolist(), frame.given.tolist()):
+            if conv != last:
+                run, last, before = run + 1, conv, -2
             runs.append(run)
             befores.append(before)
             before = _known(marker, given)
@@ -174,7 +171,7 @@ def _counts(placed: DataFrame) -> Hmm:
     ends = placed.groupBy("block").agg(F.max(F.struct("run", "conv_id")).alias("last")).select(
         (F.col("block") + 1).alias("block"), F.col("last.conv_id").alias("ended"), F.lit(True).alias("has_end"))
     begun = firsts.join(ends, "block", "left").filter(
-        (F.col("run") > 0) | F.col("has_end").isNull() | ~F.col("ended").eqNullSafe(F.col("conv_id")))
+        (F.col("run") > 0) | F.col("has_end").isNull() | (F.col("ended") != F.col("conv_id")))
     for r in begun.filter("role >= 0").groupBy("role").count().collect():
         starts[r["role"]] += r["count"]
     return Hmm(starts, steps, features)
@@ -190,9 +187,7 @@ def _matrices(model: Hmm):
         emitted = model.emissions(*_arrays(frame))
         out = [(int(frame.block.iloc[lo]), int(frame.run.iloc[lo]), frame.conv_id.iloc[lo], model.matrix(emitted[lo:hi]).ravel())
                for lo, hi in zip(starts, [*starts[1:], len(frame)])]
-        rows = pd.DataFrame(out, columns=["block", "run", "conv_id", "best"])
-        rows["conv_id"] = rows.conv_id.astype("Int64")
-        return rows
+        return pd.DataFrame(out, columns=["block", "run", "conv_id", "best"])
 
     return in_runs(["block", "run"], work)
 
@@ -221,7 +216,6 @@ def _rendered(model: Hmm):
             model.viterbi(emitted[lo:hi], _or_none(frame.entry.iloc[lo]), _or_none(frame.exit.iloc[lo]))
             for lo, hi in zip(starts, [*starts[1:], len(frame)])])
         out = frame[["conv_id", "turn", "part"]].copy()
-        out["conv_id"], out["turn"] = out.conv_id.astype("Int64"), out.turn.astype("Int64")
         out["role"] = [ROLES[s] for s in states]
         out["rendered"] = [canonical(r, t) for r, t in zip(out.role, frame.text)]
         return out
@@ -240,7 +234,7 @@ def canonical(role: str, text: str) -> str:
 
 def turns(conversations: DataFrame, scratch: Scratch) -> DataFrame:
     """``conv_id, turn, part, role, rendered`` of every turn."""
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+    rows = conversations.select(named("conv_id"), named("turn"),
                                 F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     cut = scratch.write(rows.mapInPandas(_cut, _SEGMENT), "cut")
     blocks = pieces_of(cut.count(), ROWS_PER_BLOCK, 1)
@@ -254,12 +248,13 @@ def turns(conversations: DataFrame, scratch: Scratch) -> DataFrame:
     span = placed.groupBy("conv_id").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi")
     edge = placed.groupBy("block").agg(F.max("run").alias("last"))
     across = placed.select("block", "run", "conv_id").distinct().join(edge, "block").filter("run = 0 OR run = last")
-    across = scratch.write(across.join(span.withColumnRenamed("conv_id", "id"), F.col("conv_id").eqNullSafe(F.col("id"))).select("block", "run"), "across")
+    across = scratch.write(across.join(span.withColumnRenamed("conv_id", "id"), F.col("conv_id") == F.col("id")).select("block", "run"), "across")
     parts = placed.join(F.broadcast(across), ["block", "run"], "left_semi").sortWithinPartitions("block", "run")
     matrices = _in_order(parts).mapInPandas(_matrices(model), "block int, run int, conv_id long, best array<double>")
     borders = scratch.write(matrices.groupBy("conv_id").applyInPandas(_borders, "block int, run int, entry int, exit int"), "borders")
     with_borders = placed.join(F.broadcast(borders), ["block", "run"], "left")
-    return _in_order(with_borders).mapInPandas(_rendered(model), "conv_id long, turn long, part int, role string, rendered string")
+    made = _in_order(with_borders).mapInPandas(_rendered(model), "conv_id long, turn long, part int, role string, rendered string")
+    return made.withColumns({"conv_id": unnamed("conv_id"), "turn": unnamed("turn")})
 
 
 def _in_order(rows: DataFrame) -> DataFrame:

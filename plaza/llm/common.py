@@ -19,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Stands for a null id in Python, where a column of whole numbers with nulls would turn into
+# floats; an id of this value counts as null.
+NO_ID = -(1 << 63)
+
+
+def named(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID)).alias(column)
+
+
+def unnamed(column: str) -> Column:
+    return F.when(F.col(column) != NO_ID, F.col(column)).alias(column)
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

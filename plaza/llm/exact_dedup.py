@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plaza.llm import golomb
-from plaza.llm.common import SPACE, Scratch, pieces_of, whole_text
+from plaza.llm.common import SPACE, Scratch, named, pieces_of, unnamed, whole_text
 
 ROWS_PER_OWNER = 250_000
 SALTS = 16
@@ -114,11 +114,11 @@ def exact_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(whole_text()).alias("norm"))
     texts = texts.select("doc_id", "norm", F.xxhash64("norm").alias("fp"))
     owners = pieces_of(docs.count(), ROWS_PER_OWNER)
-    prints = texts.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "fp")
+    prints = texts.select(named("doc_id"), F.sha2("norm", 256).alias("text_sha256"), "fp")
     sent = scratch.write(prints.mapInPandas(_send(owners), _SENT), "sent")
     answers = sent.filter("n IS NOT NULL").select("part", "owner", "n", "width", "unary", "rest").groupBy("owner").applyInPandas(
         _answer, "part int, owner int, bits binary")
-    rows = sent.filter("n IS NULL")
+    rows = sent.filter("n IS NULL").withColumn("doc_id", unnamed("doc_id"))
     marked = rows.select("part", "fp", "owner", "slot", "again").groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(
         _marked, "fp long")
     suspects = scratch.write(marked.distinct(), "suspects")

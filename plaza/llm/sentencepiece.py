@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from plaza.llm.common import batches_of, whole_text
+from plaza.llm.common import batches_of, named, unnamed, whole_text
 from plaza.llm.shingles import mixed, powers
 
 BLANK = "▁"
@@ -296,11 +296,9 @@ def encode(docs: DataFrame, path: str, n: int) -> DataFrame:
         for frame in batches_of(frames, "text", SLICE_CHARS):
             out = [(doc, ids, total, scores, [ids.tolist(), *more]) for doc, (ids, total, scores, more) in
                    zip(frame.doc_id.tolist(), own.encode(frame.text.tolist(), n))]
-            rows = pd.DataFrame(out, columns=["doc_id", "ids", "best_score", "nbest_scores", "nbest_ids"])
-            rows["doc_id"] = rows.doc_id.astype("Int64")
-            yield rows
+            yield pd.DataFrame(out, columns=["doc_id", "ids", "best_score", "nbest_scores", "nbest_ids"])
 
-    return _texts(docs).mapInPandas(run, ENCODED)
+    return _texts(docs).mapInPandas(run, ENCODED).withColumn("doc_id", unnamed("doc_id"))
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -312,7 +310,7 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": frame.doc_id, "text": [
                 own.decode(np.asarray(i, dtype=np.int64)).decode("utf-8", "replace") for i in frame.ids]})
 
-    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
+    return rows.select(named("doc_id"), "ids").mapInPandas(run, "doc_id long, text string").withColumn("doc_id", unnamed("doc_id"))
 
 
 def digest(docs: DataFrame, path: str, n: int) -> DataFrame:
@@ -326,13 +324,12 @@ def digest(docs: DataFrame, path: str, n: int) -> DataFrame:
             for doc, text, (ids, total, scores, _) in zip(frame.doc_id.tolist(), texts, own.encode(texts, n)):
                 back = own.decode(ids) == text.replace(BLANK, " ").encode("utf-8", "surrogatepass")
                 out.append((doc, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, scores, back))
-            rows = pd.DataFrame(out, columns=["doc_id", "n_pieces", "ids_crc32", "best_score", "nbest_scores", "round_trip"])
-            rows["doc_id"] = rows.doc_id.astype("Int64")
-            yield rows
+            yield pd.DataFrame(out, columns=["doc_id", "n_pieces", "ids_crc32", "best_score", "nbest_scores", "round_trip"])
 
-    return _texts(docs).mapInPandas(
+    made = _texts(docs).mapInPandas(
         run, "doc_id long, n_pieces long, ids_crc32 long, best_score double, nbest_scores array<double>, round_trip boolean")
+    return made.withColumn("doc_id", unnamed("doc_id"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    return docs.select(named("doc_id"), whole_text().alias("text"))

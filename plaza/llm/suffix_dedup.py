@@ -47,7 +47,7 @@ WIDTH = REACH + LENGTH          # bytes of a context
 SLAB_BYTES = 2_000_000
 BYTES_PER_OWNER = 8_000_000
 FP_BITS = 48
-NO_ID = (1 << 63) - 1
+LAST_ID = (1 << 63) - 1
 
 _SLAB = "slab long, doc_ids array<long>, ends array<long>, prints array<binary>, body binary"
 
@@ -56,7 +56,7 @@ def _slabs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     part, n = TaskContext.get().partitionId(), 0
     for frame in batches_of(frames, "text", SLAB_BYTES):
         raw = [t.encode("utf-8", "surrogatepass") for t in frame.text]
-        ids = frame.doc_id.fillna(NO_ID).astype(np.int64).to_numpy()
+        ids = frame.doc_id.to_numpy()
         yield pd.DataFrame([((part << 32) + n, ids, np.cumsum([len(r) for r in raw]), [hashlib.sha256(r).digest() for r in raw], b"".join(raw))],
                            columns=["slab", "doc_ids", "ends", "prints", "body"])
         n += 1
@@ -153,7 +153,7 @@ class Contexts:
         self.right = np.minimum(LENGTH, self.ends[self.doc] - self.place)
         key = self._keys()
         self.unique, self.group = np.unique(key, return_inverse=True)
-        self.least = np.full(len(self.unique), NO_ID)
+        self.least = np.full(len(self.unique), LAST_ID)
         np.minimum.at(self.least, self.group, self.doc_ids[self.doc])
         self.owner_of = np.zeros(len(self.unique), dtype=np.int64)
         self.owner_of[self.group] = self.owner
@@ -175,7 +175,7 @@ def _in_two(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     _, place = np.unique(hashes, return_inverse=True)
     if not len(place):
         return np.zeros(0, dtype=bool)
-    low, high = np.full(place.max() + 1, NO_ID), np.full(place.max() + 1, -NO_ID)
+    low, high = np.full(place.max() + 1, LAST_ID), np.full(place.max() + 1, -LAST_ID)
     np.minimum.at(low, place, doc)
     np.maximum.at(high, place, doc)
     return (low < high)[place]
@@ -260,7 +260,7 @@ def repeats_around(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.n
         _, group = np.unique(node * (n + 1) + cls[member], return_inverse=True)
         if not len(group):
             continue
-        least = np.full(group.max() + 1, NO_ID)
+        least = np.full(group.max() + 1, LAST_ID)
         np.minimum.at(least, group, docs[member])
         hit = member[least[group] < docs[member]]
         left[hit], right[hit] = np.maximum(left[hit], d), np.maximum(right[hit], e)
@@ -273,7 +273,7 @@ def _owner(rows: pd.DataFrame) -> pd.DataFrame:
     ids = np.frombuffer(b"".join(rows.ids), dtype="<u4")
     slab = np.repeat(rows.slab.to_numpy(), rows.n.to_numpy())
     unique, group = np.unique(keys, return_inverse=True)
-    least = np.full(len(unique), NO_ID)
+    least = np.full(len(unique), LAST_ID)
     np.minimum.at(least, group, docs)
     table = unique.view(np.uint8).reshape(len(unique), WIDTH + 2)
     left, right = repeats_around(table, least)
@@ -328,7 +328,7 @@ def _removed(owners: int, keep_text: bool):
 
 def without_repeats(docs: DataFrame, scratch: Scratch, keep_text: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), whole_text().alias("text"))
     slabs = scratch.write(texts.mapInPandas(_slabs, _SLAB), "slabs")
     total = slabs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     owners = pieces_of(total, BYTES_PER_OWNER)
@@ -354,4 +354,4 @@ def without_repeats(docs: DataFrame, scratch: Scratch, keep_text: bool = True) -
     both = marks.join(answers, "slab", "left")
     out = slabs.drop("prints").join(both.hint("merge"), "slab", "left").mapInPandas(
         _removed(owners, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return out.withColumn("doc_id", F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")))
