@@ -4,8 +4,7 @@ Rows of a conversation are cut into segments at lines that begin with a speaker
 (``User:``, ``### Assistant:``, ``<|im_start|>system`` and the like). The hidden states are the
 roles. What is seen of a segment: the marker, the role column where it names a role, and
 features of its lines (a question at the end, length, number of lines, code or lists).
-Transitions, starts and features are counted over all segments whose role is given (the one
-transition over the border of two blocks is left out); markers and the role column are right with fixed probabilities. Viterbi finds the roles.
+Transitions, starts and features are counted over all segments whose role is given; markers and the role column are right with fixed probabilities. Viterbi finds the roles.
 
 A conversation may hold most of the rows. Segments are therefore sorted by range into
 blocks of bounded size. A block reduces its part of a conversation that goes on in other
@@ -18,7 +17,7 @@ Contract
 - Order is by ``turn``, then place in the row; rows that share a turn come by their text, equal rows
   in any order (they are the same). Null turns come first, null texts count as empty; a null
   ``conv_id`` is a conversation like others. A segment without any text is still a turn.
-- Every row gives one turn at least. Ties go to the first role in ROLES. An empty table gives
+- Every row gives one turn at least. Ties are settled by a hash of the place. An empty table gives
   no rows; without any known role the counts are even. Only ``conv_id``, ``turn``, ``role`` and
   ``text`` are read.
 """
@@ -31,10 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from plaza.llm.common import Scratch, named, pieces_of, unnamed
 from plaza.llm.grouping import in_runs
+from plaza.llm.shingles import mixed
 
 # Roles, the names they go by, and how often markers and the role column are right.
 ROLES = ["system", "user", "assistant", "tool"]
@@ -45,6 +45,7 @@ NAMES = {
     "tool": 3, "function": 3, "observation": 3,
 }
 COLUMN_RIGHT, MARKER_RIGHT = 0.999, 0.98
+SCALE_BITS, TIE_BITS = 20, 20
 ROWS_PER_BLOCK = 20_000
 
 _LONG_NAMES = "|".join(n for n in NAMES if len(n) > 1)
@@ -112,15 +113,21 @@ def _placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame[[c.split()[0] for c in _PLACED.split(", ")]]
 
 
+def _whole(logs: np.ndarray) -> np.ndarray:
+    """Log probabilities as whole numbers, so that sums do not depend on how blocks are cut."""
+    return np.rint(logs * 2.0 ** SCALE_BITS).astype(np.int64) << TIE_BITS
+
+
 class Hmm:
     """Log probabilities from counts (one imagined count each)."""
 
     def __init__(self, starts: np.ndarray, steps: np.ndarray, features: list[np.ndarray]):
-        self.start = np.log((starts + 1) / (starts + 1).sum())
-        self.step = np.log((steps + 1) / (steps + 1).sum(axis=1, keepdims=True))
+        self.start = _whole(np.log((starts + 1) / (starts + 1).sum()))
+        self.step = _whole(np.log((steps + 1) / (steps + 1).sum(axis=1, keepdims=True)))
         self.features = [np.log((f + 1) / (f + 1).sum(axis=1, keepdims=True)) for f in features]
 
-    def emissions(self, marker: np.ndarray, given: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    def emissions(self, marker: np.ndarray, given: np.ndarray, seen: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """A row per segment. The lowest bits settle ties by the segment's ``place`` and the role."""
         n = len(marker)
         out = np.zeros((n, len(ROLES)))
         for name, right in ((marker, MARKER_RIGHT), (given, COLUMN_RIGHT)):
@@ -129,7 +136,8 @@ class Hmm:
             out[some, name[some]] += np.log(right) - np.log((1 - right) / (len(ROLES) - 1))
         for k, table in enumerate(self.features):
             out += table[:, seen[:, k]].T
-        return out
+        tie = mixed(mixed(place.astype(np.int64).view(np.uint64))[:, None] + np.arange(len(ROLES), dtype=np.uint64))
+        return _whole(out) + (tie >> np.uint64(64 - TIE_BITS)).astype(np.int64)
 
     def viterbi(self, emitted: np.ndarray, entry: int = -1, exit: int = -1) -> np.ndarray:
         """Best states; ``entry`` is the state before (-1: the conversation begins here)."""
@@ -140,6 +148,7 @@ class Hmm:
             ways = score[:, None] + self.step
             back[t] = ways.argmax(axis=0)
             score = ways.max(axis=0) + emitted[t]
+            score -= score.max()
         out = np.zeros(n, dtype=np.int64)
         out[-1] = exit if exit >= 0 else score.argmax()
         for t in range(n - 1, 0, -1):
@@ -151,6 +160,7 @@ class Hmm:
         best = np.vstack([self.step, self.start[None, :]]) + emitted[0]
         for row in emitted[1:]:
             best = (best[:, :, None] + self.step[None]).max(axis=1) + row
+            best -= best.max()
         return best
 
 
@@ -167,19 +177,25 @@ def _counts(placed: DataFrame) -> Hmm:
     for r in seen.groupBy("role", "k", "v").count().collect():
         features[r["k"]][r["role"], r["v"]] += r["count"]
     # A conversation's first segment in a block starts it, unless the block before ends with it.
-    firsts = rows.filter("before = -2").select("block", "run", "conv_id", "role")
-    ends = placed.groupBy("block").agg(F.max(F.struct("run", "conv_id")).alias("last")).select(
-        (F.col("block") + 1).alias("block"), F.col("last.conv_id").alias("ended"), F.lit(True).alias("has_end"))
-    begun = firsts.join(ends, "block", "left").filter(
-        (F.col("run") > 0) | F.col("has_end").isNull() | (F.col("ended") != F.col("conv_id")))
-    for r in begun.filter("role >= 0").groupBy("role").count().collect():
-        starts[r["role"]] += r["count"]
+    # One row per block: the conversation and role it ends with, set beside the next block.
+    last = F.max_by(F.struct("conv_id", known), F.struct("run", "turn", "part", F.xxhash64("text"))).alias("last")
+    ends = placed.groupBy("block").agg(last).select(
+        F.lead("block").over(Window.orderBy("block")).alias("block"), F.col("last.conv_id").alias("ended"), F.col("last.role").alias("ended_as"))
+    firsts = rows.filter("before = -2").select("block", "run", "conv_id", "role").join(ends, "block", "left")
+    goes_on = (F.col("run") == 0) & F.coalesce(F.col("ended") == F.col("conv_id"), F.lit(False))
+    joined = firsts.filter("role >= 0").withColumn("from", F.when(goes_on, F.col("ended_as")).otherwise(-2))
+    for r in joined.groupBy("from", "role").count().collect():
+        if r["from"] == -2:
+            starts[r["role"]] += r["count"]
+        elif r["from"] >= 0:
+            steps[r["from"], r["role"]] += r["count"]
     return Hmm(starts, steps, features)
 
 
-def _arrays(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _arrays(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     seen = np.stack(frame.seen.to_numpy()) if len(frame) else np.zeros((0, len(FEATURES)), np.int64)
-    return frame.marker.to_numpy().astype(np.int64), frame.given.to_numpy().astype(np.int64), seen.astype(np.int64)
+    return frame.marker.to_numpy().astype(np.int64), frame.given.to_numpy().astype(np.int64), seen.astype(np.int64), (
+        frame.turn.to_numpy().astype(np.int64) * 1024 + frame.part.to_numpy())
 
 
 def _matrices(model: Hmm):
@@ -202,6 +218,7 @@ def _borders(parts: pd.DataFrame) -> pd.DataFrame:
         ways = score[:, None] + m[:n]
         back.append(ways.argmax(axis=0))
         score = ways.max(axis=0)
+        score = score - score.max()
     ends = [int(score.argmax())]
     for b in reversed(back):
         ends.append(int(b[ends[-1]]))
@@ -250,7 +267,7 @@ def turns(conversations: DataFrame, scratch: Scratch) -> DataFrame:
     across = placed.select("block", "run", "conv_id").distinct().join(edge, "block").filter("run = 0 OR run = last")
     across = scratch.write(across.join(span.withColumnRenamed("conv_id", "id"), F.col("conv_id") == F.col("id")).select("block", "run"), "across")
     parts = placed.join(F.broadcast(across), ["block", "run"], "left_semi").sortWithinPartitions("block", "run")
-    matrices = _in_order(parts).mapInPandas(_matrices(model), "block int, run int, conv_id long, best array<double>")
+    matrices = _in_order(parts).mapInPandas(_matrices(model), "block int, run int, conv_id long, best array<long>")
     borders = scratch.write(matrices.groupBy("conv_id").applyInPandas(_borders, "block int, run int, entry int, exit int"), "borders")
     with_borders = placed.join(F.broadcast(borders), ["block", "run"], "left")
     made = _in_order(with_borders).mapInPandas(_rendered(model), "conv_id long, turn long, part int, role string, rendered string")

@@ -55,7 +55,38 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op4"), keep_text=False).drop("kept")
 
 
-@query()
+_SOLID = "regexp_replace({}, '[\\x20\\x09-\\x0D]+', '', 'g')"
+_LINE_SYMBOLS = quality.SYMBOLS + r"{}\[\]=\\/_~^"
+_BAD_LINE = f"""(length({_SOLID.format("x")}) > 0 AND (
+    length(regexp_replace(x, '[^\\p{{L}}]+', '', 'g')) = 0
+    OR (length(x) - length(regexp_replace(x, '[{_LINE_SYMBOLS}]', '', 'g'))) * 100
+        > length({_SOLID.format("x")}) * {quality.PUNCTUATION_PERCENT}
+    OR regexp_matches(x, '{quality.MENU}') OR regexp_matches(x, '{quality.NOTICES}')))"""
+
+
+@query(f"""
+    WITH d AS (
+        SELECT doc_id, t, string_split(t, chr(10)) AS lines,
+            list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+        FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+    windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS n
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+    covered AS (
+        SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY doc_id),
+    measured AS (
+        SELECT doc_id, len(words) AS n_words, length({_SOLID.format("t")}) AS word_chars,
+            length(t) - length(regexp_replace(t, '[{quality.SYMBOLS}]', '', 'g')) AS n_symbols,
+            len(list_filter(lines, lambda x: {_SOLID.format("x")} <> ''))
+                - len(list_distinct(list_filter(lines, lambda x: {_SOLID.format("x")} <> ''))) AS n_dup_lines,
+            coalesce(covered.n, 0) AS n_repeat_words,
+            length({_SOLID.format(f"array_to_string(list_filter(lines, lambda x: NOT {_BAD_LINE}), '')")}) AS left_chars
+        FROM d LEFT JOIN covered USING (doc_id))
+    SELECT *, n_words < {quality.LEAST_WORDS} OR n_repeat_words * 100 > n_words * {quality.REPEATED_PERCENT} AS base_failed,
+        NOT (n_words < {quality.LEAST_WORDS} OR n_repeat_words * 100 > n_words * {quality.REPEATED_PERCENT})
+            AND left_chars * 100 >= word_chars * {100 - quality.LOST_PERCENT} AS kept
+    FROM measured
+""")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "left_chars")
