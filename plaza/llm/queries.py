@@ -126,6 +126,22 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"), Scratch(spark, "op9"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
+        UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) IN (1, 2)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)),
+    reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+    least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+    SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+    FROM w JOIN least ON least.x = w.doc_id LEFT JOIN sizes ON sizes.doc_id = w.doc_id
+""")
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), Scratch(spark, "op10"), size=3, percent=85)
