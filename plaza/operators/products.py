@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plaza.functions import text as tx
 from plaza.functions.arrays import unnest
 from plaza.operators.keys import first_occurrence, top_per_key
-from plaza.session import materialize, spread
+from plaza.session import materialize
 
 # Sizes of the products and the texts that stand in for a missing one.
 CHUNK_CHARS = 2800
-SUMMARY_CHARS = 1600
 KEYWORDS_STORED = 6
 TITLE_KEYWORDS = 8
 TITLE_WORDS = 7
@@ -71,33 +70,41 @@ def keyword_list(df: DataFrame, by: Sequence[str], text: str, k: int) -> DataFra
         "keywords", F.coalesce("keywords", F.array().cast("array<string>")))
 
 
-def extractive_summary(topic_texts: DataFrame, by: Sequence[str], text: str = "topic_text", n: int = SUMMARY_SENTENCES) -> DataFrame:
-    """The ``n`` weightiest distinct sentences of every topic text, in text order.
+def topic_sentences(texts: DataFrame, by: Sequence[str], order: Sequence[str], text: str = "text") -> DataFrame:
+    """Every distinct sentence of a topic at its first place: ``by..., order..., sentence_index,
+    sentence``. ``texts`` has one row per post; all of them are read whole."""
+    by, order = list(by), list(order)
+    rows = texts.filter(F.col(text) != "").select(*by, *order, tx.as_sentence(F.col(text)).alias("_whole"))
+    return dedupe_exact(sentences(rows, "_whole"), by, "sentence", [*order, "sentence_index"])
 
-    A sentence weighs the mean over its keywords of (sentences of the topic
-    that use it) x (inverse sentence frequency in the corpus). Weights are
-    whole numbers, so equal texts rank alike everywhere. The corpus table
-    has one row per word; no topic is collected, only its ``n`` winners.
+
+def extractive_summary(texts: DataFrame, by: Sequence[str], order: Sequence[str], text: str = "text", n: int = SUMMARY_SENTENCES) -> DataFrame:
+    """The ``n`` weightiest distinct sentences of every topic, in text order.
+
+    All sentences of all posts of a topic are ranked. A sentence weighs the mean over its
+    keywords of (sentences of the topic that use it) x (inverse sentence frequency in the
+    corpus). Weights are whole numbers, so equal texts rank alike everywhere. Uses are
+    counted and joined, so a word that most sentences of a large topic use is not
+    gathered in one task; no topic is collected, only its ``n`` winners.
     """
-    by = list(by)
-    once = dedupe_exact(sentences(topic_texts.select(*by, text), text), by, "sentence", ["sentence_index"])
+    by, order = list(by), list(order)
+    place = [*order, "sentence_index"]
+    once = topic_sentences(texts, by, order, text)
     rows = materialize(once.withColumn("words", F.array_distinct(tx.keyword_tokens(F.col("sentence")))), "sentences")
-    rows = spread(rows)
-    per_word = unnest(rows, [*by, "sentence_index"], F.col("words"), "word")
+    per_word = unnest(rows, [*by, *place], F.col("words"), "word")
     corpus = per_word.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = rows.agg(F.count(F.lit(1))).scalar()
     rarity = F.round(F.log((total + 1.0) / (F.col("df") + 1.0)) * 1000).cast("bigint")
-    used = per_word.withColumn("tf", F.count(F.lit(1)).over(Window.partitionBy(*by, "word")))
-    weighed = used.join(corpus.select("word", rarity.alias("rarity")), "word")
-    scores = weighed.groupBy(*by, "sentence_index").agg(
+    uses = per_word.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("tf")).join(corpus.select("word", rarity.alias("rarity")), "word")
+    scores = per_word.join(uses, [*by, "word"]).groupBy(*by, *place).agg(
         F.floor(F.sum(F.col("tf") * F.col("rarity")) / F.count(F.lit(1))).cast("bigint").alias("score"))
-    scored = rows.drop("words").join(scores, [*by, "sentence_index"], "left").withColumn("score", F.coalesce("score", F.lit(0)))
-    best = top_per_key(scored, by, [F.col("score").desc(), "sentence_index"], k=n)
-    listed = best.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("sentence_index", "sentence"))).alias("_s"))
-    joined = F.array_join(F.transform("_s", lambda e: e["sentence"]), " ")
-    made = listed.select(*by, F.substring(joined, 1, SUMMARY_CHARS).alias("summary"))
-    missing = F.when(F.coalesce(F.col(text), F.lit("")) == "", F.lit(NO_CONTENT)).otherwise(F.lit(NO_SUMMARY))
-    return topic_texts.join(made, by, "left").select(*by, F.coalesce(tx.blank_to_null(F.col("summary")), missing).alias("summary"))
+    scored = rows.drop("words").join(scores, [*by, *place], "left").withColumn("score", F.coalesce("score", F.lit(0)))
+    best = top_per_key(scored, by, [F.col("score").desc(), *place], k=n)
+    listed = best.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*place, "sentence"))).alias("_s"))
+    made = listed.select(*by, F.array_join(F.transform("_s", lambda e: e["sentence"]), " ").alias("summary"))
+    topics = texts.groupBy(*by).agg(F.max(F.coalesce(F.col(text), F.lit("")) != "").alias("_had"))
+    missing = F.when(F.col("_had"), F.lit(NO_SUMMARY)).otherwise(F.lit(NO_CONTENT))
+    return topics.join(made, by, "left").select(*by, F.coalesce(tx.blank_to_null(F.col("summary")), missing).alias("summary"))
 
 
 def is_generic_title(title: Column) -> Column:

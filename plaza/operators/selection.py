@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plaza.functions import times
 from plaza.functions.arrays import unnest
@@ -34,7 +34,7 @@ def _head(posts: DataFrame, order: list[Column], k: int, name: str) -> DataFrame
     return listed.withColumn(name, F.transform(name, lambda e: F.struct(e["post_id"], e["created_at"])))
 
 
-def select_posts(posts: DataFrame, budgets: DataFrame, max_per_sub: int = 40) -> DataFrame:
+def select_posts(posts: DataFrame, budgets: DataFrame) -> DataFrame:
     """Posts for every (user, community) budget of ``allocated`` posts.
 
     The best ``allocated`` by score that are newer than ``since`` come first;
@@ -42,9 +42,9 @@ def select_posts(posts: DataFrame, budgets: DataFrame, max_per_sub: int = 40) ->
     than ``since`` and not yet taken are added. Both limits apply before the
     time filter.
 
-    The two candidate lists are built once per community and hold at most
-    ``max_per_sub`` ids (a budget never exceeds it), so a user row needs one
-    equi-join and row-local array work, whatever the community's size.
+    The two candidate lists are built once per community and hold as many ids as
+    the largest budget asks for, so a user row needs one equi-join and row-local
+    array work, whatever the community's size.
 
     ``budgets``: ``user_id, subreddit, allocated`` and optionally ``since``.
     Returns ids with their ``position`` in the pick; join posts for content.
@@ -53,7 +53,8 @@ def select_posts(posts: DataFrame, budgets: DataFrame, max_per_sub: int = 40) ->
         budgets = budgets.withColumn("since", F.lit(None).cast("timestamp"))
     newest = [F.col("created_at").desc_nulls_last(), F.col("post_id")]
     best = [F.col("score").desc_nulls_last(), *newest]
-    heads = _head(posts, best, max_per_sub, "top").join(_head(posts, newest, max_per_sub, "new"), "subreddit")
+    largest = budgets.agg(F.max("allocated")).first()[0] or 0
+    heads = _head(posts, best, largest, "top").join(_head(posts, newest, largest, "new"), "subreddit")
     wanted = budgets.select("user_id", "subreddit", "allocated", "since").filter(F.col("allocated") > 0)
     paired = wanted.join(heads, "subreddit")
 
@@ -102,8 +103,3 @@ def union_posts(*branches: DataFrame) -> DataFrame:
         out = out.unionByName(branch)
     return out
 
-
-def renumbered(selected: DataFrame, order: list[Column]) -> DataFrame:
-    """Positions of a bounded pick after rows were joined or filtered."""
-    window = Window.partitionBy("user_id", "subreddit").orderBy(*order)
-    return selected.withColumn("position", F.row_number().over(window) - 1)

@@ -253,26 +253,27 @@ SELECT {by}, substr(string_agg({as_sentence('text')}, ' ' ORDER BY {order}), 1,
 FROM ({once if unique else plain}) GROUP BY {by}"""
 
 
-def summary_blocks(tag: str, rows: str, by: str) -> str:
-    """Extractive summary of ``rows`` (``by..., topic_text``); returns the last block."""
+def summary_blocks(tag: str, rows: str, by: str, order: str) -> str:
+    """Extractive summary of ``rows`` (``by..., order..., text``, one per post); returns the last block."""
+    place = f"{order}, si"
     CTES[f"sent_{tag}"] = f"""
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by}, {key_of('sentence')} ORDER BY si) AS copy FROM (
-  SELECT {by}, i - 1 AS si, l[i] AS sentence FROM (SELECT {by}, l, unnest(range(1, len(l) + 1)) AS i FROM (
-    SELECT {by}, {sentence_list('topic_text')} AS l FROM {rows})))) WHERE copy = 1"""
-    CTES[f"words_{tag}"] = f"SELECT {by}, si, unnest(list_distinct({keyword_tokens('sentence')})) AS word FROM sent_{tag}"
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by}, {key_of('sentence')} ORDER BY {place}) AS copy FROM (
+  SELECT {by}, {order}, i - 1 AS si, l[i] AS sentence FROM (SELECT {by}, {order}, l, unnest(range(1, len(l) + 1)) AS i FROM (
+    SELECT {by}, {order}, {sentence_list(as_sentence('text'))} AS l FROM {rows} WHERE text <> '')))) WHERE copy = 1"""
+    CTES[f"words_{tag}"] = f"SELECT {by}, {place}, unnest(list_distinct({keyword_tokens('sentence')})) AS word FROM sent_{tag}"
     CTES[f"rare_{tag}"] = f"""
 SELECT word, CAST(round(ln(((SELECT count(*) FROM sent_{tag}) + 1.0) / (count(*) + 1.0)) * 1000) AS BIGINT) AS rarity FROM words_{tag} GROUP BY word"""
     CTES[f"uses_{tag}"] = f"SELECT {by}, word, count(*) AS tf FROM words_{tag} GROUP BY ALL"
     CTES[f"scored_{tag}"] = f"""
-SELECT {by}, si, CAST(floor(sum(tf * rarity) / count(*)) AS BIGINT) AS score
-FROM words_{tag} JOIN uses_{tag} USING ({by}, word) JOIN rare_{tag} USING (word) GROUP BY {by}, si"""
+SELECT {by}, {place}, CAST(floor(sum(tf * rarity) / count(*)) AS BIGINT) AS score
+FROM words_{tag} JOIN uses_{tag} USING ({by}, word) JOIN rare_{tag} USING (word) GROUP BY {by}, {place}"""
     CTES[f"made_{tag}"] = f"""
-SELECT {by}, substr(string_agg(sentence, ' ' ORDER BY si), 1, {products.SUMMARY_CHARS}) AS summary FROM (
-  SELECT s.*, row_number() OVER (PARTITION BY {by} ORDER BY coalesce(score, 0) DESC, si) AS rn
-  FROM sent_{tag} s LEFT JOIN scored_{tag} USING ({by}, si)) WHERE rn <= {products.SUMMARY_SENTENCES} GROUP BY {by}"""
+SELECT {by}, string_agg(sentence, ' ' ORDER BY {place}) AS summary FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY {by} ORDER BY coalesce(score, 0) DESC, {place}) AS rn
+  FROM sent_{tag} s LEFT JOIN scored_{tag} USING ({by}, {place})) WHERE rn <= {products.SUMMARY_SENTENCES} GROUP BY {by}"""
     CTES[f"summary_{tag}"] = f"""
-SELECT {by}, coalesce(nullif(m.summary, ''), CASE WHEN r.topic_text = '' THEN '{products.NO_CONTENT}' ELSE '{products.NO_SUMMARY}' END) AS summary
-FROM {rows} r LEFT JOIN made_{tag} m USING ({by})"""
+SELECT {by}, coalesce(nullif(m.summary, ''), CASE WHEN r.had THEN '{products.NO_SUMMARY}' ELSE '{products.NO_CONTENT}' END) AS summary
+FROM (SELECT {by}, max(coalesce(text, '') <> '') AS had FROM {rows} GROUP BY {by}) r LEFT JOIN made_{tag} m USING ({by})"""
     return f"summary_{tag}"
 
 
@@ -306,7 +307,7 @@ def bullet_list(x: str) -> str:
 
 
 CTES["topic_text_v"] = topic_text_of("topic_posts_v", "subreddit, topic_index", "created_at, post_id", True)
-SUMMARY = summary_blocks("topics", "topic_text_v", "subreddit, topic_index")
+SUMMARY = summary_blocks("topics", "topic_posts_v", "subreddit, topic_index", "created_at, post_id")
 
 # ---- oracles ---------------------------------------------------------------------
 
@@ -350,7 +351,7 @@ SELECT sha256(user_id || '|reddit|{RUN_TS}') AS cache_id, user_id, 'reddit' AS p
        string_agg(post_id, '|' ORDER BY subreddit, post_id) AS post_ids, count(*) || ' posts' AS summary, 0 AS n_topics, '100' AS requested FROM {P100} GROUP BY user_id""")
 oracle("append_run_log", f"""
 SELECT sha256(u.user_id || '|reddit|{RUN_TS}') AS run_id, u.user_id, 'reddit' AS platform, CASE WHEN n >= 100 THEN 'success' ELSE 'failed' END AS run_status,
-       epoch_us({_RUN}) AS fetched_us, CASE WHEN n >= 100 THEN 'cache_id=' || sha256(u.user_id || '|reddit|{RUN_TS}') ELSE 'ingest_live_cache error' END AS notes
+       epoch_us({_RUN}) AS fetched_us, CASE WHEN n >= 100 THEN 'cache_id=' || sha256(u.user_id || '|reddit|{RUN_TS}') ELSE 'no cache row stored' END AS notes
 FROM users_v u LEFT JOIN (SELECT user_id, count(*) AS n FROM {P100} GROUP BY 1) p USING (user_id)""")
 CTES["samples_v"] = """
 SELECT subreddit, topic_index, count(*) AS n_samples, string_agg(text, ' ||| ' ORDER BY created_at, post_id) AS sample_posts FROM (
@@ -578,8 +579,7 @@ FROM {SUMMARY} LEFT JOIN (
 
 # The run: one topic per (user, community), summaries weighed over all of them.
 CTES["run_rows_v"] = f"SELECT k.user_id, k.subreddit, k.position, c.text, c.post_id FROM {P100} k JOIN clean_posts_v c USING (post_id)"
-CTES["run_text_v"] = topic_text_of("run_rows_v", "user_id, subreddit", "position", False)
-RUN_SUMMARY = summary_blocks("run", "run_text_v", "user_id, subreddit")
+RUN_SUMMARY = summary_blocks("run", "run_rows_v", "user_id, subreddit", "position")
 RUN_TITLE = title_blocks("run", RUN_SUMMARY, "user_id, subreddit")
 CTES["run_bullets_v"] = f"""
 SELECT user_id, subreddit, array_to_string(list_transform(

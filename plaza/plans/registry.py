@@ -16,7 +16,7 @@ from plaza.operators import (
     activity, eda, graph, keys, polarity, products, ranking, reports, results, selection, similarity, topics,
 )
 from plaza.plans import run, views
-from plaza.session import materialize, new_path, spread
+from plaza.session import materialize, new_path
 from plaza.sources import readers, writers
 from plaza.streaming import streams
 
@@ -56,12 +56,12 @@ def readable(posts: DataFrame) -> DataFrame:
 def topic_texts(spark: SparkSession, root: str) -> DataFrame:
     """Posts by (community, topic) with readable text, written once."""
     rows = readable(views.topic_posts(spark, root)).select("post_id", "created_at", *TOPIC, "text")
-    return spread(materialize(rows, "topic-posts"))
+    return materialize(rows, "topic-posts")
 
 
 def topic_summaries(spark: SparkSession, root: str, posts: DataFrame | None = None) -> DataFrame:
-    texts = topics.topic_text(posts or topic_texts(spark, root), TOPIC, ORDER)
-    return spread(materialize(products.extractive_summary(spread(materialize(texts, "topic-texts")), TOPIC), "summaries"))
+    posts = posts or topic_texts(spark, root)
+    return materialize(products.extractive_summary(posts, TOPIC, ORDER), "summaries")
 
 
 def budgets(spark: SparkSession, root: str, n: int, users: DataFrame | None = None) -> DataFrame:
@@ -738,7 +738,7 @@ def topic_text_single(spark, root):
 
 
 def documents(spark, root) -> DataFrame:
-    return spread(views.table(spark, root, "documents"))
+    return views.dealt_out(views.table(spark, root, "documents"))
 
 
 def clean_documents(spark, root) -> DataFrame:

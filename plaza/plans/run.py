@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plaza.functions import text as tx
 from plaza.operators import activity, eda, polarity, products, results, selection, topics
-from plaza.session import materialize, spread
+from plaza.session import materialize
 
 GROUP = ["user_id", "subreddit"]
 TOPIC = [*GROUP, "topic_index"]
@@ -55,11 +55,8 @@ def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> Data
     """
     single, clustered = texts.filter("mode = 'single'"), texts.filter("mode = 'cluster'")
     parts = [(single, False), (clustered, True)]
-    blobs = selection.union_posts(*[topics.topic_text(p, TOPIC, ["position"], unique=u) for p, u in parts])
     samples = selection.union_posts(*[topics.sample_posts(p, TOPIC, ["position"], unique=u) for p, u in parts])
-    every = texts.select(*TOPIC).distinct().join(blobs, TOPIC, "left")
-    every = spread(materialize(every.withColumn("topic_text", F.coalesce("topic_text", F.lit(""))), "topic-texts"))
-    summaries = spread(materialize(products.extractive_summary(every, TOPIC), "summaries"))
+    summaries = materialize(products.extractive_summary(texts, TOPIC, ["position"]), "summaries")
     measured = single.select(*TOPIC, "text").unionByName(
         clustered.join(topics.unique_texts(clustered, TOPIC, ["position"]).select(*TOPIC, "position"), [*TOPIC, "position"])
         .select(*TOPIC, "text"))
@@ -90,11 +87,11 @@ def topic_struct():
 def run_analysis(posts: DataFrame, users: DataFrame, runs: DataFrame, vectors: DataFrame, s: RunSettings, model: PipelineModel | None = None) -> dict[str, DataFrame]:
     """All result tables of one run. ``vectors``: ``post_id, embedding``."""
     split = materialize(budgets(posts, users, runs, s), "budgets")
-    picked = materialize(selection.select_posts(posts, split, s.max_per_sub), "picked")
+    picked = materialize(selection.select_posts(posts, split), "picked")
     texts = materialize(selected_texts(posts, picked), "texts")
     placed = topics.assign_topics(picked.join(vectors, "post_id"), picked.join(vectors, "post_id"), [*GROUP], threshold=s.threshold)
     placed = placed.join(topics.topic_plan(picked, GROUP, s.threshold).select(*GROUP, "mode"), GROUP)
-    placed = spread(materialize(texts.join(placed, [*GROUP, "post_id"]), "placed"))
+    placed = materialize(texts.join(placed, [*GROUP, "post_id"]), "placed")
     made = topic_products(placed, model)
     members = placed.groupBy(*TOPIC).agg(F.array_sort(F.collect_list("position")).alias("post_indices"))
     source = selection.source_of(F.col("subreddit"), s.platform).alias("source")

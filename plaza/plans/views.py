@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from plaza.session import spread, use_utc
+from plaza.session import use_utc
 
 AS_OF = "2024-01-31 00:00:00"
 LAST_RUN = "2024-01-15 00:00:00"
@@ -19,6 +19,11 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{root}/{name}.parquet")
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The test tables may be one small file each, which a single task would read."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def row_count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
@@ -28,7 +33,7 @@ def user_name(c: Column) -> Column:
 
 
 def events(spark: SparkSession, root: str) -> DataFrame:
-    return spread(table(spark, root, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    return dealt_out(table(spark, root, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def posts_of(event_rows: DataFrame, root: str) -> DataFrame:
@@ -37,7 +42,7 @@ def posts_of(event_rows: DataFrame, root: str) -> DataFrame:
     documents, pages = table(spark, root, "documents"), table(spark, root, "pages")
     keyed = event_rows.withColumns({
         "doc_id": F.col("event_id") % row_count(documents), "page_id": F.col("event_id") % row_count(pages)})
-    joined = keyed.join(spread(documents), "doc_id").join(pages.select("page_id", "url"), "page_id")
+    joined = keyed.join(dealt_out(documents), "doc_id").join(pages.select("page_id", "url"), "page_id")
     title = F.substring("text", 1, 80)
     selftext = F.concat(F.substr("text", F.lit(81)), F.lit(" "), "url")
     return joined.select(

@@ -61,9 +61,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Text work follows a scan in the same task. A table of fewer file splits
-    than cores is dealt out to all cores first; a large one has splits enough."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
