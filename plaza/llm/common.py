@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plaza.session import shared_dir
@@ -41,6 +42,14 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, f"{SPACE}+", -1), lambda w: w != "")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: a worker is to hold a few megabytes of them at a time, not ten thousand rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 class Scratch:
     """Written intermediates of one run, in the folder all executors share.
 
@@ -50,6 +59,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        small_batches(spark)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -67,6 +77,15 @@ class Scratch:
         self.spark._jvm.System.gc()
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Bytes that are written and shuffled as one value, packed tighter than Spark's own codecs do."""
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def unsqueezed(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def pieces_of(rows: int, each: int, least: int = 16) -> int:
     """How many groups to deal ``rows`` into, so that one holds about ``each``."""
     return max(least, -(-rows // each))

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from plaza.llm import golomb
-from plaza.llm.common import Scratch, batches_of, pieces_of, whole_text
+from plaza.llm.common import Scratch, batches_of, pieces_of, squeezed, unsqueezed, whole_text
 from plaza.llm.shingles import mixed
 
 LENGTH, KEY = 50, 20
@@ -57,7 +57,7 @@ def _slabs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches_of(frames, "text", SLAB_BYTES):
         raw = [t.encode("utf-8", "surrogatepass") for t in frame.text]
         ids = frame.doc_id.to_numpy()
-        yield pd.DataFrame([((part << 32) + n, ids, np.cumsum([len(r) for r in raw]), [hashlib.sha256(r).digest() for r in raw], b"".join(raw))],
+        yield pd.DataFrame([((part << 32) + n, ids, np.cumsum([len(r) for r in raw]), [hashlib.sha256(r).digest() for r in raw], squeezed(b"".join(raw)))],
                            columns=["slab", "doc_ids", "ends", "prints", "body"])
         n += 1
 
@@ -110,7 +110,7 @@ def _send(owners: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                _, hashes = anchors(np.frombuffer(row.body, np.uint8), np.asarray(row.ends, dtype=np.int64))
+                _, hashes = anchors(np.frombuffer(unsqueezed(row.body), np.uint8), np.asarray(row.ends, dtype=np.int64))
                 out = [(row.slab, o, len(own), *golomb.encode(own // np.uint64(owners), FP_BITS + 2 - owners.bit_length()))
                        for o, own in _by_owner(hashes, owners)]
                 if out:
@@ -133,7 +133,7 @@ class Contexts:
     """The shared anchors of a slab and their surroundings; the same each time it is made."""
 
     def __init__(self, body: bytes, doc_ids, ends, bits: dict[int, bytes], copies: set[int], owners: int):
-        self.body = np.frombuffer(body, np.uint8)
+        self.body = np.frombuffer(unsqueezed(body), np.uint8)
         self.doc_ids, self.ends = np.asarray(doc_ids, dtype=np.int64), np.asarray(ends, dtype=np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]])
         place, hashes = anchors(self.body, self.ends)
@@ -197,7 +197,7 @@ def _contexts(owners: int):
                 for o in range(owners):
                     own = order[cuts[o]:cuts[o + 1]]
                     if len(own):
-                        out.append((o, row.slab, len(own), c.unique[own].tobytes(), c.least[own].tobytes(), own.astype("<u4").tobytes()))
+                        out.append((o, row.slab, len(own), squeezed(c.unique[own].tobytes()), c.least[own].tobytes(), own.astype("<u4").tobytes()))
                 if out:
                     yield pd.DataFrame(out, columns=["owner", "slab", "n", "keys", "docs", "ids"])
 
@@ -268,7 +268,7 @@ def repeats_around(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _owner(rows: pd.DataFrame) -> pd.DataFrame:
-    keys = np.frombuffer(b"".join(rows["keys"]), dtype=f"V{WIDTH + 2}")
+    keys = np.frombuffer(b"".join(map(unsqueezed, rows["keys"])), dtype=f"V{WIDTH + 2}")
     docs = np.frombuffer(b"".join(rows.docs), dtype="<i8")
     ids = np.frombuffer(b"".join(rows.ids), dtype="<u4")
     slab = np.repeat(rows.slab.to_numpy(), rows.n.to_numpy())
@@ -330,7 +330,7 @@ def without_repeats(docs: DataFrame, scratch: Scratch, keep_text: bool = True) -
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), whole_text().alias("text"))
     slabs = scratch.write(texts.mapInPandas(_slabs, _SLAB), "slabs")
-    total = slabs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    total = slabs.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
     owners = pieces_of(total, BYTES_PER_OWNER)
 
     sent = slabs.select("slab", "ends", "body").mapInPandas(_send(owners), "slab long, owner int, n int, width int, unary binary, rest binary")
