@@ -52,12 +52,16 @@ def global_eda(posts: DataFrame) -> DataFrame:
     )
 
 
-def terms(posts: DataFrame, column: str = "content", stopwords: Sequence[str] | None = None) -> DataFrame:
-    """One row per counted term: lower-cased, split on white space, English
+def term_list(column: str, stopwords: Sequence[str] | None = None) -> Column:
+    """The counted terms of a text: lower-cased, split on white space, English
     stopwords and empty tokens dropped."""
     stop = list(stopwords or StopWordsRemover.loadDefaultStopWords("english"))
-    tokens = unnest(posts, [], F.split(F.lower(column), r"\s"), "token")
-    return tokens.filter((F.col("token") != "") & ~F.col("token").isin(stop))
+    return F.filter(F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), r"\s"), lambda t: (t != "") & ~t.isin(stop))
+
+
+def terms(posts: DataFrame, column: str = "content", stopwords: Sequence[str] | None = None) -> DataFrame:
+    """One row per counted term."""
+    return unnest(posts, [], term_list(column, stopwords), "token")
 
 
 def top_terms(posts: DataFrame, column: str = "content", k: int = TOP_TERMS) -> DataFrame:
@@ -66,20 +70,20 @@ def top_terms(posts: DataFrame, column: str = "content", k: int = TOP_TERMS) ->
     return counts.orderBy(F.desc("term_count"), "token").limit(k)
 
 
-def term_pipeline(column: str = "content") -> Pipeline:
+def term_pipeline() -> Pipeline:
     return Pipeline(stages=[
-        Tokenizer(inputCol=column, outputCol="_raw"),
-        StopWordsRemover(inputCol="_raw", outputCol="_tokens"),
-        HashingTF(inputCol="_tokens", outputCol="tf", numFeatures=TERM_BUCKETS),
+        HashingTF(inputCol="terms", outputCol="tf", numFeatures=TERM_BUCKETS),
         IDF(inputCol="tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="features"),
     ])
 
 
 def term_features(posts: DataFrame, column: str = "content", model: PipelineModel | None = None) -> DataFrame:
-    """Hashed term counts (``tf``) and unit-length TF-IDF vectors (``features``)."""
-    model = model or term_pipeline(column).fit(posts)
-    return model.transform(posts).drop("_raw", "_tokens", "_tfidf")
+    """The counted ``terms`` of each post, their hashed counts (``tf``) and unit-length TF-IDF
+    vectors (``features``)."""
+    listed = posts.withColumn("terms", term_list(column))
+    model = model or term_pipeline().fit(listed)
+    return model.transform(listed).drop("_tfidf")
 
 
 def eda_inputs(posts: DataFrame) -> DataFrame:

@@ -1,15 +1,11 @@
-"""The follow graph: how personas overlap, and whom a user might follow."""
+"""The follow graph: how personas overlap."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from plaza.operators.ranking import positions
-
-# Weight of a user with a shared persona and of any other user;
-# how far the number of draws strays from its average.
+# Weight of a user with a shared persona and of any other user.
 OVERLAP_WEIGHT, OTHER_WEIGHT = 5, 1
-DRAW_SPREAD = 3
 
 
 def _persona_set() -> Column:
@@ -48,68 +44,3 @@ def persona_overlap_pairs(users: DataFrame) -> DataFrame:
         "set_a", F.lit(None).cast("array<string>").alias("set_b"), F.lit(OTHER_WEIGHT).alias("weight"),
         (F.col("n_users") * (n - 1) - F.coalesce("_shared", F.lit(0))).alias("n_pairs"))
     return shared.unionByName(rest).filter("n_pairs > 0")
-
-
-def _draw(seed: int, *parts: Column) -> Column:
-    """A whole number below 2^60 that depends on nothing but its arguments."""
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-
-
-def follow_candidates(users: DataFrame, existing: DataFrame | None = None, average: int = 8, seed: int = 42) -> DataFrame:
-    """Weighted follow targets: every user draws ``average`` ± 3 others with
-    replacement, weight 5 with a shared persona and 1 without; repeats collapse
-    and edges in ``existing`` are left out.
-
-    No user pairs are formed. Users are numbered so that a persona set is a
-    contiguous range. Weight 1 for everybody plus 4 for the overlapping sets
-    gives the same odds, so a draw is either a number among all other users or
-    a number among the overlapping ranges, resolved by one equi-join.
-    """
-    keyed = users.select("user_id", _persona_set().alias("pset"))
-    placed = positions(keyed, ["pset"], ["user_id"])
-    sizes = placed.groupBy("pset").agg(F.count(F.lit(1)).alias("n_users"))
-    before = Window.orderBy("pset").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("start", F.coalesce(F.sum("n_users").over(before), F.lit(0)))
-    numbered = placed.join(starts.select("pset", "start"), "pset").withColumn("g", F.col("start") + F.col("position")).drop("start")
-
-    close = overlapping_sets(sizes.withColumnRenamed("pset", "personas")).drop("n_a", "n_b")
-    ranges = close.join(starts.withColumnRenamed("pset", "set_b"), "set_b").groupBy(F.col("set_a").alias("pset")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "n_users"))).alias("ranges"), F.sum("n_users").alias("n_close"))
-    n = users.agg(F.count(F.lit(1))).scalar()
-    sources = numbered.join(ranges, "pset", "left").withColumns({
-        "others": n - 1, "close": F.greatest(F.coalesce(F.col("n_close"), F.lit(0)) - 1, F.lit(0))})
-
-    extra = OVERLAP_WEIGHT - OTHER_WEIGHT
-    n_draws = F.greatest(F.lit(1), F.lit(average - DRAW_SPREAD) + F.pmod(_draw(seed, F.col("user_id")), F.lit(2 * DRAW_SPREAD + 1)))
-    draws = sources.filter("others > 0").withColumn("draw", F.explode(F.sequence(F.lit(1).cast("bigint"), n_draws)))
-    draws = draws.withColumn("r", F.pmod(_draw(seed, F.col("user_id"), F.col("draw")), F.col("others") + extra * F.col("close")))
-
-    def skip_self(i: Column, own: Column) -> Column:
-        return F.when(i >= own, i + 1).otherwise(i)
-
-    # The user's own place among the overlapping ranges, then the range a draw falls in.
-    def ahead(limit: Column) -> Column:
-        earlier = F.filter("ranges", lambda x: x["start"] < limit)
-        return F.aggregate(earlier, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n_users"])
-
-    own_close = ahead(F.col("g") - F.col("position")) + F.col("position")
-    spot = skip_self(F.floor((F.col("r") - F.col("others")) / extra).cast("bigint"), own_close)
-
-    def locate(spot: Column) -> Column:
-        seek = F.struct(spot.alias("left"), F.lit(None).cast("bigint").alias("g"))
-
-        def step(state: Column, x: Column) -> Column:
-            here = (state["left"] >= 0) & (state["left"] < x["n_users"])
-            return F.struct((state["left"] - x["n_users"]).alias("left"),
-                            F.when(state["g"].isNull() & here, x["start"] + state["left"]).otherwise(state["g"]).alias("g"))
-
-        return F.aggregate("ranges", seek, step)["g"]
-
-    target = F.when(F.col("r") < F.col("others"), skip_self(F.col("r"), F.col("g"))).otherwise(locate(spot))
-    hits = draws.select(F.col("user_id").alias("follower_id"), target.alias("g"))
-    named = hits.join(numbered.select("g", F.col("user_id").alias("followed_id")), "g")
-    edges = named.select("follower_id", "followed_id").distinct()
-    if existing is not None:
-        edges = edges.join(existing.select("follower_id", "followed_id"), ["follower_id", "followed_id"], "left_anti")
-    return edges

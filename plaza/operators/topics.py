@@ -11,6 +11,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from plaza.functions import text as tx, vectors as vec
+from plaza.functions.arrays import unnest
+from plaza.operators import eda
 from plaza.operators.keys import top_per_key
 from plaza.operators.ranking import positions
 from plaza.session import materialize
@@ -22,10 +24,10 @@ TOPIC_TIERS = [(10, 1), (20, 2), (40, 3), (80, 4)]
 TOPICS_MIN, TOPICS_MAX, POSTS_PER_TOPIC = 4, 6, 20
 TOPIC_TEXT_CHARS = 3500
 SAMPLE_POSTS = 3
+TEXT_DIMS = 64
 
-SEED_CANDIDATES = 64
-# Numbers in a centroid table (32 MB) that may travel with every task.
-CENTROID_LIMIT = 4_000_000
+# Seeding: rounds, rows drawn per round and topic on average, tries at reducing them.
+SEED_ROUNDS, DRAWN, SEED_ATTEMPTS = 4, 2, 8
 
 
 def num_topics(n: Column) -> Column:
@@ -47,8 +49,27 @@ def topic_plan(posts: DataFrame, by: Sequence[str], threshold: int = SINGLE_TOPI
 
 
 def embed_posts(posts: DataFrame, embeddings: DataFrame, key: str) -> DataFrame:
-    """Give every post its precomputed vector."""
-    return posts.join(embeddings, key)
+    """Every post with its precomputed vector, null where there is none."""
+    return posts.join(embeddings, key, "left")
+
+
+def text_vectors(posts: DataFrame, text: str = "text", dims: int = TEXT_DIMS) -> DataFrame:
+    """``embedding`` of each post from its terms, for posts that come without one: TF-IDF
+    weights folded into ``dims`` places by a signed hash, of unit length. Whole texts count;
+    the weights come from all posts."""
+    terms = unnest(posts.select("post_id", text), ["post_id"], eda.term_list(text), "term")
+    counts = terms.groupBy("post_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    used = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    total = posts.agg(F.count(F.lit(1))).scalar()
+    weight = F.col("tf") * (F.log((total + 1.0) / (F.col("df") + 1.0)) + 1.0)
+    sign = F.when(F.xxhash64(F.lit("sign"), "term") % 2 == 0, 1.0).otherwise(-1.0)
+    folded = counts.join(used, "term").groupBy("post_id", F.pmod(F.xxhash64("term"), F.lit(dims)).alias("at")).agg(F.sum(weight * sign).alias("w"))
+    listed = folded.groupBy("post_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "w"))).alias("w"))
+    places = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("w", i.cast("long")), F.lit(0.0)))
+    made = posts.select("post_id").distinct().join(listed, "post_id", "left").select(
+        "post_id", F.coalesce(places, F.array_repeat(F.lit(0.0), dims)).alias("embedding"))
+    length = vec.norm(F.col("embedding"))
+    return made.withColumn("embedding", F.transform("embedding", lambda x: F.coalesce(F.try_divide(x, length), F.lit(0.0))))
 
 
 def assign_nearest_centroid(vectors: DataFrame, centroids: DataFrame, by: Sequence[str] = (), vector: str = "embedding") -> DataFrame:
@@ -66,72 +87,102 @@ def assign_nearest_centroid(vectors: DataFrame, centroids: DataFrame, by: Sequen
     return paired.withColumn("topic_index", F.array_min(ranked)["t"]).drop("_centroids")
 
 
-def _assign_in_batches(data: DataFrame, centroids: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``assign_nearest_centroid`` for a centroid table of checked size: it goes
-    out with the tasks and whole Arrow batches are compared at once."""
-    key = F.to_json(F.struct(*by))
-    known = centroids.select(key.alias("key"), "topic_index", "centroid").orderBy("key", "topic_index").toPandas()
-    table = {k: (np.stack(g["centroid"].to_numpy()), g["topic_index"].to_numpy()) for k, g in known.groupby("key")}
-
-    @F.pandas_udf("int")
-    def nearest(keys: pd.Series, points: pd.Series) -> pd.Series:
-        out = np.zeros(len(keys), dtype=np.int32)
-        rows = np.stack(points.to_numpy()) if len(points) else None
-        for k, at in keys.groupby(keys).indices.items():
-            places, labels = table[k]
-            gaps = np.stack([((rows[at] - c) ** 2).sum(axis=1) for c in places])
-            out[at] = labels[gaps.argmin(axis=0)]
-        return pd.Series(out)
-
-    return data.withColumn("topic_index", nearest(key, F.col("embedding")))
-
-
-def _spread_seeds(by: Sequence[str]):
-    """Farthest-first choice of k centroids from a group's bounded candidates."""
+def _seeds(data: DataFrame, by: list[str], id: str, seed: int) -> DataFrame:
+    """k-means|| for all groups at once: starting from one row per group, a few rounds each draw
+    rows with a probability that follows their squared distance from the seeds so far
+    (DRAWN times k per group and round on average). The drawn rows, weighted by the rows
+    nearest to them, are then reduced to k by the weighted farthest-likely rule.
+    Every row of a group can be drawn, whatever the group's size.
+    """
+    number = lambda salt: (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col(id)), F.lit(1 << 53)) + 1) / float(1 << 53)
+    first = top_per_key(data.withColumn("_lot", number("first")), by, ["_lot", id])
+    seeds = first.select(*by, F.lit(0).alias("topic_index"), F.col("embedding").alias("centroid"))
+    for step in range(SEED_ROUNDS):
+        gaps = nearest(data, seeds, by)
+        cost = gaps.groupBy(*by).agg(F.sum("_gap").alias("_cost"))
+        chance = F.lit(float(DRAWN)) * F.col("k") * F.try_divide(F.col("_gap"), F.col("_cost"))
+        drawn = gaps.join(cost, by).filter(F.coalesce(chance, F.lit(0.0)) > number(step)).select(*by, "embedding").distinct()
+        numbered = seeds.select(*by, F.col("centroid").alias("embedding")).unionByName(drawn).distinct()
+        at = Window.partitionBy(*by).orderBy("embedding")
+        seeds = materialize(numbered.select(*by, (F.row_number().over(at) - 1).alias("topic_index"), F.col("embedding").alias("centroid")), "kmeans-seeds")
+    weighed = nearest(data, seeds, by).groupBy(*by, "topic_index").agg(F.count(F.lit(1)).alias("weight"), F.first("k").alias("k"))
+    fields = [*[data.schema[c] for c in by], T.StructField("topic_index", T.IntegerType()), T.StructField("centroid", T.ArrayType(T.DoubleType()))]
+    return seeds.join(weighed, [*by, "topic_index"]).groupBy(*by).applyInPandas(_reduced(by, seed), T.StructType(fields))
+
+
+def _reduced(by: Sequence[str], seed: int):
+    """k-means++ with a few Lloyd steps over a group's weighted seeds (a few times k rows)."""
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack(pdf["embedding"].to_numpy()).astype(float)
-        chosen = [0]
-        gap = ((points - points[0]) ** 2).sum(axis=1)
-        while len(chosen) < int(pdf["k"].iloc[0]) and gap.max() > 0:
-            chosen.append(int(gap.argmax()))
-            gap = np.minimum(gap, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
-        out = pdf.iloc[chosen][list(by)].reset_index(drop=True)
-        return out.assign(topic_index=range(len(chosen)), centroid=[points[i] for i in chosen])
+        pdf = pdf.sort_values("topic_index")
+        points, weight, k = np.stack(pdf["centroid"].to_numpy()).astype(float), pdf["weight"].to_numpy().astype(float), int(pdf["k"].iloc[0])
+        best, least = None, np.inf
+        for attempt in range(SEED_ATTEMPTS):
+            rng = np.random.default_rng([seed, attempt])
+            chosen = [int(rng.choice(len(points), p=weight / weight.sum()))]
+            gap = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+            while len(chosen) < k and (weight * gap).sum() > 0:
+                chosen.append(int(rng.choice(len(points), p=weight * gap / (weight * gap).sum())))
+                gap = np.minimum(gap, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+            places = points[chosen]
+            for _ in range(SEED_ATTEMPTS):
+                gaps = ((points[:, None, :] - places[None]) ** 2).sum(axis=2)
+                own = gaps.argmin(axis=1)
+                places = np.stack([np.average(points[own == t], axis=0, weights=weight[own == t]) if (own == t).any() else places[t] for t in range(len(places))])
+            cost = (weight * ((points[:, None, :] - places[None]) ** 2).sum(axis=2).min(axis=1)).sum()
+            if cost < least:
+                best, least = places, cost
+        head = pdf.iloc[[0] * len(best)][list(by)].reset_index(drop=True)
+        return head.assign(topic_index=range(len(best)), centroid=list(best))
 
     return choose
 
 
+def nearest(vectors: DataFrame, centroids: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``topic_index`` of the nearest centroid of the group and the squared distance ``_gap`` to it.
+    A group's centroids are one array; they reach the rows by a join, and whole Arrow
+    batches are compared at once."""
+    listed = F.array_sort(F.collect_list(F.struct("topic_index", "centroid")))
+    flat = centroids.groupBy(*by).agg(listed.alias("_l")).select(
+        *by, F.transform("_l", lambda e: e["topic_index"]).alias("_labels"), F.flatten(F.transform("_l", lambda e: e["centroid"])).alias("_places"))
+    paired = vectors.drop("topic_index", "_gap").join(flat, list(by))
+    found = paired.withColumn("_n", _compare("embedding", "_labels", "_places"))
+    return found.select(*[c for c in vectors.columns if c not in ("topic_index", "_gap")], F.col("_n.topic_index").alias("topic_index"), F.col("_n.gap").alias("_gap"))
+
+
+@F.pandas_udf(T.StructType([T.StructField("topic_index", T.IntegerType()), T.StructField("gap", T.DoubleType())]))
+def _compare(points: pd.Series, labels: pd.Series, places: pd.Series) -> pd.DataFrame:
+    topic, gap = np.zeros(len(points), dtype=np.int32), np.zeros(len(points))
+    if len(points):
+        rows = np.stack(points.to_numpy()).astype(float)
+        # Rows of a group carry the same centroids; equal ones are compared together.
+        for key, at in pd.Series([p.tobytes() for p in places]).to_frame("p").groupby("p").indices.items():
+            table = np.frombuffer(key).reshape(-1, rows.shape[1])
+            gaps = np.stack([((rows[at] - c) ** 2).sum(axis=1) for c in table])
+            own = gaps.argmin(axis=0)
+            topic[at], gap[at] = np.asarray(labels.iloc[at[0]])[own], gaps[own, np.arange(len(at))]
+    return pd.DataFrame({"topic_index": topic, "gap": gap})
+
+
 def kmeans_topics(
     vectors: DataFrame, by: Sequence[str], id: str = "post_id", vector: str = "embedding",
     threshold: int = SINGLE_TOPIC_LIMIT, max_iter: int = 20, tol: float = 1e-4, seed: int = 42,
-    centroid_limit: int = CENTROID_LIMIT,
 ) -> DataFrame:
     """Cluster every group with more than ``threshold`` rows, all at once.
 
     One fit per community would be a driver loop over communities. Here each
     Lloyd step is one job for all groups: the nearest centroid of every row,
     then a partial-aggregated mean per (group, topic), so neither many
-    communities nor one huge community is a bottleneck. Centroids go out with
-    the tasks up to ``centroid_limit`` numbers and by join beyond it. Returns ``by..., id,
-    topic_index``; topics that win no row do not appear.
+    communities nor one huge community is a bottleneck. The first centroids are
+    drawn from all rows (see ``_seeds``). Returns ``by..., id, topic_index``; topics that win no
+    row do not appear.
     """
     by = list(by)
     slim = vectors.select(*by, id, F.col(vector).cast("array<double>").alias("embedding"))
     plan = topic_plan(slim, by, threshold).filter("mode = 'cluster'").select(*by, F.col("num_topics").alias("k"))
     data = materialize(slim.join(plan, by), "kmeans-input")
-
-    # The candidates only seed the search; every row takes part in every step.
-    lottery = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id).cast("string")))
-    candidates = top_per_key(data.withColumn("_lot", lottery), by, ["_lot", id], k=SEED_CANDIDATES, rank="_rank")
-    fields = [*[data.schema[c] for c in by], T.StructField("topic_index", T.IntegerType()),
-              T.StructField("centroid", T.ArrayType(T.DoubleType()))]
-    seeds = candidates.groupBy(*by).applyInPandas(_sorted_by("_rank", _spread_seeds(by)), T.StructType(fields))
-    centroids = materialize(seeds, "kmeans-centroids")
-    numbers = centroids.agg(F.sum(F.size("centroid"))).first()[0] or 0
-    assign = _assign_in_batches if numbers <= centroid_limit else assign_nearest_centroid
+    centroids = materialize(_seeds(data, by, id, seed), "kmeans-centroids")
     for _ in range(max_iter):
-        assigned = assign(data, centroids, by)
-        means = assigned.groupBy(*by, "topic_index").agg(
+        means = nearest(data, centroids, by).groupBy(*by, "topic_index").agg(
             vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("mean"))
         moved = centroids.join(means, [*by, "topic_index"], "left")
         shift = F.coalesce(vec.squared_distance(F.col("centroid"), F.col("mean")), F.lit(0.0))
@@ -141,18 +192,29 @@ def kmeans_topics(
         centroids = moved.drop("shift")
         if largest is None or largest <= tol * tol:
             break
-    return assign(data, centroids, by).select(*by, id, "topic_index")
-
+    return nearest(data, centroids, by).select(*by, id, "topic_index")
 
-def _sorted_by(column: str, fn):
-    return lambda pdf: fn(pdf.sort_values(column))
 
-
-def assign_topics(posts: DataFrame, vectors: DataFrame, by: Sequence[str], id: str = "post_id", threshold: int = SINGLE_TOPIC_LIMIT) -> DataFrame:
-    """Topic of every post: topic 0 in small groups, clusters in large ones."""
-    small = topic_plan(posts, by, threshold).filter("mode = 'single'").select(*by)
-    single = posts.join(small, list(by), "left_semi").select(*by, id, F.lit(0).alias("topic_index"))
-    return single.unionByName(kmeans_topics(vectors, by, id, threshold=threshold))
+def assign_topics(
+    posts: DataFrame, vectors: DataFrame, by: Sequence[str], id: str = "post_id",
+    threshold: int = SINGLE_TOPIC_LIMIT, text: str = "text",
+) -> DataFrame:
+    """``by..., id, topic_index, mode`` of every post: topic 0 in small groups, which need no
+    vectors, clusters in large ones. ``vectors`` (``id, embedding``) may lack posts. A group in which
+    every post has one is clustered by them; one in which some lack it, by vectors of the posts'
+    texts, so that all posts of a group lie in one space."""
+    by = list(by)
+    plan = materialize(topic_plan(posts, by, threshold).select(*by, "mode"), "topic-plan")
+    single = posts.join(plan.filter("mode = 'single'"), by).select(*by, id, F.lit(0).alias("topic_index"), "mode")
+    large = materialize(embed_posts(posts.join(plan.filter("mode = 'cluster'"), by).select(*by, id, "mode"), vectors.select(id, "embedding"), id), "embedded")
+    lacking = large.groupBy(*by).agg(F.max(F.col("embedding").isNull()).alias("_lacking"))
+    own = large.join(lacking.filter(~F.col("_lacking")), by).select(*by, id, "embedding")
+    bare = large.join(lacking.filter("_lacking"), by).select(*by, id)
+    wanted = materialize(posts.join(bare.select(id).distinct(), id, "left_semi").select(id, text).dropDuplicates([id]), "bare-texts")
+    made = bare.join(text_vectors(wanted.withColumnRenamed(id, "post_id"), text).withColumnRenamed("post_id", id), id).select(*by, id, "embedding")
+    parts = [kmeans_topics(part, by, id, threshold=threshold) for part in (own, made)]
+    clustered = parts[0].unionByName(parts[1]).withColumn("mode", F.lit("cluster"))
+    return single.unionByName(clustered)
 
 
 def topic_members(assigned: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:

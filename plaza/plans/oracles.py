@@ -447,6 +447,9 @@ WHERE token <> '' AND token NOT IN ({ENGLISH}) GROUP BY 1 ORDER BY term_count DE
 
 oracle("top_terms", top_terms_of("text", "clean_posts_v"))
 oracle("global_top_terms", top_terms_of("topic_text", "docs_v"))
+oracle("term_features", f"""
+SELECT post_id, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END AS norm, n AS n_terms FROM (
+  SELECT post_id, len(list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0b\\f\\r]'), lambda t: t <> '' AND t NOT IN ({ENGLISH}))) AS n FROM clean_posts_v)""")
 oracle("subreddit_eda", "SELECT subreddit, count(*) AS post_count, round(avg(score), 6) AS avg_score, round(avg(num_comments), 6) AS avg_comments FROM posts_v GROUP BY 1")
 oracle("community_activity", """
 SELECT s.subreddit, round(coalesce(a.activity, 1.0), 6) AS activity FROM (SELECT DISTINCT subreddit FROM messy_subs_v) s LEFT JOIN activity_v a USING (subreddit)""")
@@ -477,10 +480,7 @@ SELECT user_id, feed_rank, post_id FROM (
   SELECT user_id, post_id, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, post_id) AS feed_rank FROM {picks(50, False)}) WHERE feed_rank <= 50""")
 oracle("select_posts", f"SELECT user_id, subreddit, position, post_id FROM {P100}")
 oracle("select_posts_first_run", f"SELECT user_id, subreddit, position, post_id FROM {picks(700, False)}")
-oracle("union_posts", """
-SELECT subreddit, post_id, 'top' AS branch FROM (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, post_id) AS rn FROM posts_v) WHERE rn <= 5
-UNION ALL
-SELECT subreddit, post_id, 'new' FROM (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_at DESC, post_id) AS rn FROM posts_v) WHERE rn <= 5""")
+oracle("union_posts", "SELECT subreddit, post_id, score, CASE WHEN flair = 'en' THEN 'one' ELSE 'other' END AS branch FROM posts_v")
 oracle("distinct_ordered", f"""
 SELECT subreddit, topic_index, post_id, length({as_sentence('text')}) AS n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY subreddit, topic_index, text ORDER BY created_at, post_id) AS copy FROM topic_posts_v WHERE text <> '') WHERE copy = 1""")
@@ -527,6 +527,8 @@ SELECT label, list(m ORDER BY i) AS c FROM (SELECT label, i, avg(x) AS m FROM (
 oracle("assign_nearest_centroid", """
 SELECT v.post_id, n.topic_index FROM vectors_v v JOIN (
   SELECT vec_id, arg_min(c.label, list_distance(CAST(e.embedding AS DOUBLE[]), c.c)) AS topic_index FROM embeddings e, centroids_v c GROUP BY 1) n USING (vec_id)""")
+oracle("kmeans_topics", f"""
+SELECT subreddit, n AS n_posts, CAST({_TIERS} AS INT) AS n_topics, 0 AS n_misplaced FROM (SELECT subreddit, count(*) AS n FROM posts_v GROUP BY 1) WHERE n > 20""")
 oracle("topic_text", "SELECT subreddit, topic_index, topic_text FROM topic_text_v")
 oracle("topic_text_single", topic_text_of("clean_posts_v", "subreddit", "created_at, post_id", False))
 oracle("chunk_text", f"""
@@ -591,33 +593,10 @@ SELECT b.user_id, 'reddit:subreddit_analysis' AS source, 100 AS top_n_total, b.s
   CASE WHEN p.n > 0 THEN 1 ELSE 0 END AS n_topics, t.title, u.bullets, round(p.s, 6) AS avg_score
 FROM {B100} b LEFT JOIN (SELECT k.user_id, k.subreddit, count(*) AS n, avg(v.score) AS s FROM {P100} k JOIN posts_v v USING (post_id) GROUP BY 1, 2) p USING (user_id, subreddit)
 LEFT JOIN {RUN_TITLE} t USING (user_id, subreddit) LEFT JOIN run_bullets_v u USING (user_id, subreddit)""")
+oracle("topic_polarity", "SELECT DISTINCT subreddit, topic_index, true AS scored FROM topic_posts_v")
 oracle("community_errors", """
 SELECT subreddit, CASE WHEN score >= 300 THEN 'score out of range' WHEN num_comments = 0 THEN 'no comments' END AS error, count(*) AS n_posts FROM posts_v GROUP BY ALL""")
 
-
-def draw(*parts: str) -> str:
-    return f"CAST('0x' || substr(md5(concat_ws('|', '42', {', '.join(parts)})), 1, 15) AS BIGINT)"
-
-
-# Every draw is settled against the whole list of other users: first all of them
-# once, then four more times those who share a persona.
-CTES["places_v"] = "SELECT user_id, s, row_number() OVER (ORDER BY s, user_id) - 1 AS g FROM psets_v"
-CTES["draws_v"] = f"""
-SELECT user_id, s, g, r, others FROM (
-  SELECT user_id, s, g, others, {draw('user_id', 'd')} % (others + 4 * close) AS r FROM (
-    SELECT *, unnest(range(1, greatest(1, 5 + {draw('user_id')} % 7) + 1)) AS d FROM (
-      SELECT p.user_id, p.s, p.g, (SELECT count(*) FROM places_v) - 1 AS others, count(q.user_id) AS close
-      FROM places_v p LEFT JOIN places_v q ON q.user_id <> p.user_id AND list_has_any(p.s, q.s) GROUP BY ALL)))"""
-CTES["all_v"] = "SELECT p.user_id, q.user_id AS other, row_number() OVER (PARTITION BY p.user_id ORDER BY q.g) - 1 AS i FROM places_v p JOIN places_v q ON q.user_id <> p.user_id"
-CTES["close_v"] = """
-SELECT p.user_id, q.user_id AS other, row_number() OVER (PARTITION BY p.user_id ORDER BY q.g) - 1 AS i
-FROM places_v p JOIN places_v q ON q.user_id <> p.user_id AND list_has_any(p.s, q.s)"""
-oracle("follow_candidates", """
-SELECT DISTINCT d.user_id AS follower_id, coalesce(a.other, c.other) AS followed_id FROM draws_v d
-LEFT JOIN all_v a ON d.r < d.others AND a.user_id = d.user_id AND a.i = d.r
-LEFT JOIN close_v c ON d.r >= d.others AND c.user_id = d.user_id AND c.i = (d.r - d.others) // 4
-WHERE (d.user_id, coalesce(a.other, c.other)) NOT IN (SELECT (follower_id, followed_id) FROM follows_v)""")
-
 oracle("stream_ingest_posts", """
 SELECT p.post_id, p.author_id, p.subreddit, p.score, CASE WHEN list_contains(u.personas, 'BUILDING') THEN 0 ELSE 2 END AS n_personas
 FROM posts_v p JOIN users_v u ON u.user_id = p.author_id""")
@@ -629,4 +608,4 @@ SELECT user_id, source, last_run_us, output_id FROM (
 oracle("stream_activity", """
 SELECT event_type AS subreddit, epoch_us(date_trunc('day', ts)) AS window_us, count(*) AS n_posts,
   CAST(sum(greatest(0, CAST(floor(value) AS INT))) AS BIGINT) AS score_sum, CAST(sum(CAST(regexp_extract(props, '[0-9]+', 0) AS INT)) AS BIGINT) AS comment_sum
-FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""")
+FROM events GROUP BY 1, 2""")

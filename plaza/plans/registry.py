@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plaza import schemas
@@ -482,14 +484,9 @@ def global_top_terms(spark, root):
 def term_features(spark, root):
     rows = materialize(readable(views.posts(spark, root)).select("post_id", "text"), "texts")
     made = eda.term_features(rows, "text")
-    return made.select("post_id", fixed(vec.norm(vector_values("features"))).alias("norm"), F.size(vector_values("tf")).alias("n_terms"))
-
-
-def vector_values(c: str) -> Column:
-    """Values of a sparse vector, read from its text form ``(size,[at],[values])``.
-    As an array it would have all 2^18 places."""
-    values = F.regexp_extract(F.col(c).cast("string"), r"\[([^\]]*)\]\)$", 1)
-    return F.transform(F.filter(F.split(values, ","), lambda v: v != ""), lambda v: v.cast("double"))
+    # Hash functions differ between engines; the number of counted terms and the unit length do not.
+    norm = F.udf(lambda v: float(v.norm(2)), "double")  # as an array a vector would have all 2^18 places
+    return made.select("post_id", fixed(norm("features")).alias("norm"), F.size("terms").cast("long").alias("n_terms"))
 
 
 @query
@@ -605,10 +602,10 @@ def select_posts_first_run(spark, root):
 
 @query
 def union_posts(spark, root):
-    rows = views.posts(spark, root).select("subreddit", "post_id", "score", "created_at")
-    best = keys.top_per_key(rows, ["subreddit"], [F.col("score").desc(), "post_id"], k=5)
-    newest = keys.top_per_key(rows, ["subreddit"], [F.col("created_at").desc(), "post_id"], k=5)
-    return selection.union_posts(best.withColumn("branch", F.lit("top")), newest.withColumn("branch", F.lit("new"))).select("subreddit", "post_id", "branch")
+    """All posts of two platforms as one frame: English posts as one, the others as the other."""
+    rows = views.posts(spark, root).select("subreddit", "post_id", "score", "flair")
+    here, there = rows.filter("flair = 'en'"), rows.filter("flair <> 'en'").select("score", "flair", "post_id", "subreddit")
+    return selection.union_posts(here.withColumn("branch", F.lit("one")), there.withColumn("branch", F.lit("other"))).drop("flair")
 
 
 @query
@@ -713,14 +710,19 @@ def topic_mode(spark, root):
 @query
 def kmeans_topics(spark, root):
     rows = views.posts(spark, root).select("post_id", "subreddit").join(views.vectors(spark, root).select("post_id", "embedding"), "post_id")
-    return topics.kmeans_topics(rows, ["subreddit"])
+    made = topics.kmeans_topics(rows, ["subreddit"])
+    # What any engine can tell of it: all posts placed, as many topics as planned, and how
+    # many posts are nearer to the mean of another topic than to their own.
+    own = made.join(rows, ["subreddit", "post_id"])
+    means = own.groupBy("subreddit", "topic_index").agg(vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("centroid"))
+    again = topics.assign_nearest_centroid(own.withColumnRenamed("topic_index", "topic"), means, ["subreddit"])
+    return again.groupBy("subreddit").agg(
+        F.count(F.lit(1)).alias("n_posts"), F.countDistinct("topic").alias("n_topics"),
+        F.sum((F.col("topic") != F.col("topic_index")).cast("long")).alias("n_misplaced"))
 
 
 @query
 def assign_nearest_centroid(spark, root):
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
     mean = vector_to_array(Summarizer.mean(array_to_vector("embedding")))
     centroids = views.table(spark, root, "embeddings").groupBy(F.col("label").alias("topic_index")).agg(mean.alias("centroid"))
     return topics.assign_nearest_centroid(views.vectors(spark, root), centroids).select("post_id", "topic_index")
@@ -813,7 +815,9 @@ def summary_metrics(spark, root):
 def topic_polarity(spark, root):
     rows = clean_documents(spark, root).withColumnRenamed("topic_text", "text")
     labelled = rows.join(views.table(spark, root, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
-    return polarity.topic_polarity(topic_summaries(spark, root), polarity.fit_polarity(labelled)).drop("summary")
+    made = polarity.topic_polarity(topic_summaries(spark, root), polarity.fit_polarity(labelled))
+    label, score = F.col("polarity_label"), F.col("polarity_score")
+    return made.select(*TOPIC, (label.isin(polarity.POSITIVE, polarity.NEGATIVE) & score.between(0.5, 1.0)).alias("scored"))
 
 
 @query
@@ -838,11 +842,6 @@ def community_errors(spark, root):
     return errors.unionByName(kept.select(*errors.columns))
 
 
-@query
-def follow_candidates(spark, root):
-    return graph.follow_candidates(views.users(spark, root), views.follows(spark, root))
-
-
 # ---- streams ---------------------------------------------------------------------
 
 def event_stream(spark, root) -> DataFrame:
@@ -878,9 +877,9 @@ def stream_ingest_posts(spark, root):
 @query
 def stream_dedupe(spark, root):
     path, state = new_path(spark, "deduped"), new_path(spark, "dedupe-state")
-    once = streams.stream_dedupe(resent(event_stream(spark, root)), ["event_id"], "ts")
-    streams.drain_to_table(once.select("event_id", "user_id", "event_type"), path, state)
-    return spark.read.schema("event_id bigint, user_id bigint, event_type string").parquet(path)
+    rows = resent(event_stream(spark, root)).select("event_id", "user_id", "event_type", "ts")
+    streams.stream_dedupe(rows, path, state, ["event_id"], "ts")
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type")
 
 
 @query
@@ -898,7 +897,5 @@ def stream_activity(spark, root):
     rows = event_stream(spark, root).select(
         F.col("event_type").alias("subreddit"), F.col("ts").alias("created_at"), F.floor("value").cast("int").alias("score"),
         F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("num_comments"))
-    windows = streams.stream_activity(rows)
-    streams.drain_to_table(windows, path, state)
-    back = spark.read.parquet(path)
-    return back.select("subreddit", micros("window_start").alias("window_us"), "n_posts", "score_sum", "comment_sum")
+    streams.stream_activity(rows, path, state)
+    return streams.activity_windows(spark, path).select("subreddit", micros("window_start").alias("window_us"), "n_posts", "score_sum", "comment_sum")

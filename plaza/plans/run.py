@@ -89,8 +89,7 @@ def run_analysis(posts: DataFrame, users: DataFrame, runs: DataFrame, vectors: D
     split = materialize(budgets(posts, users, runs, s), "budgets")
     picked = materialize(selection.select_posts(posts, split), "picked")
     texts = materialize(selected_texts(posts, picked), "texts")
-    placed = topics.assign_topics(picked.join(vectors, "post_id"), picked.join(vectors, "post_id"), [*GROUP], threshold=s.threshold)
-    placed = placed.join(topics.topic_plan(picked, GROUP, s.threshold).select(*GROUP, "mode"), GROUP)
+    placed = topics.assign_topics(texts, vectors, [*GROUP], threshold=s.threshold)
     placed = materialize(texts.join(placed, [*GROUP, "post_id"]), "placed")
     made = topic_products(placed, model)
     members = placed.groupBy(*TOPIC).agg(F.array_sort(F.collect_list("position")).alias("post_indices"))

@@ -1,7 +1,5 @@
 """Text expressions against plain Python on literal edge cases."""
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,10 +13,11 @@ CASES = [
 ]
 
 
-def cleaned(t: str) -> str:
-    for pattern, to in [(r"http\S+", " "), (r"www\.\S+", " "), (r"([a-z])([A-Z])", r"\1 \2"), (r"\s{2,}", " ")]:
-        t = re.sub(pattern, to, t)
-    return t.encode("ascii", "ignore").decode().strip()
+CLEANED = [
+    "", "", "plain words", "see now", "y", "camel Case and More a Bc D",
+    "tabs and spaces", "one\nline", "two lines", "caf nave", "widespace", "wide run",
+    "after", "", "trail", "emoji   end", "fs fs", "nobreak",
+]
 
 
 def apply(spark, values, expression):
@@ -27,23 +26,23 @@ def apply(spark, values, expression):
 
 
 def test_clean_text(spark):
-    assert apply(spark, CASES, tx.clean_text) == [cleaned(t) for t in CASES]
+    assert apply(spark, CASES, tx.clean_text) == CLEANED
     assert apply(spark, [None], tx.clean_text) == [""]
 
 
 def test_title_case(spark):
     values = ["fine-tuning", "don't", "3d model", "a b-c_d", "ALL CAPS", ""]
-    assert apply(spark, values, tx.title_case) == [v.title() for v in values]
+    assert apply(spark, values, tx.title_case) == ["Fine-Tuning", "Don'T", "3D Model", "A B-C_D", "All Caps", ""]
 
 
 def test_dedupe_key(spark):
     values = [" A  b\tC ", "x  Y", "same"]
-    assert apply(spark, values, tx.dedupe_key) == [re.sub(r"\s+", " ", v.strip().lower()) for v in values]
+    assert apply(spark, values, tx.dedupe_key) == ["a b c", "x y", "same"]
 
 
 def test_split_sentences(spark):
     values = ["One. Two!  Three? four", "no end", "", "a.b. c", "Wait... what?"]
-    expected = [[s.strip() for s in re.split(r"(?<=[.!?])\s+", v) if s.strip()] for v in values]
+    expected = [["One.", "Two!", "Three?", "four"], ["no end"], [], ["a.b.", "c"], ["Wait...", "what?"]]
     assert apply(spark, values, tx.split_sentences) == expected
 
 
@@ -61,8 +60,7 @@ def test_chunks_cover_the_text(spark):
 
 def test_keyword_tokens(spark):
     values = ["The fine-tuning of it's -- models_x and AI's AI", "", "to be"]
-    stop = set(tx.KEYWORD_STOPWORDS)
-    expected = [[t for t in re.findall(r"\b[a-zA-Z0-9\-']+\b", v.lower()) if t not in stop and len(t) > 2] for v in values]
+    expected = [["fine-tuning", "it's", "ai's"], [], []]
     assert apply(spark, values, tx.keyword_tokens) == expected
 
 
