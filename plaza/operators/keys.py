@@ -76,10 +76,14 @@ def unique_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return top_per_key(df, by, [F.col(c) for c in df.columns if c not in by] or list(by))
 
 
-def enforce_keys(users: DataFrame, follows: DataFrame, posts: DataFrame, feed_runs: DataFrame) -> dict[str, DataFrame]:
+def enforce_keys(
+    users: DataFrame, follows: DataFrame, posts: DataFrame, feed_runs: DataFrame,
+    feed_cache: DataFrame | None = None, topics: DataFrame | None = None, mapping: DataFrame | None = None,
+) -> dict[str, DataFrame]:
     """Tables that meet primary and foreign keys: duplicates rejected, orphan
     follows and posts dropped, run rows of unknown users kept without a user.
-    Posts without an author are valid."""
+    Posts without an author are valid. Where given: cache rows of unknown users and
+    mapping rows of topics that are not there are dropped."""
     users = unique_rows(users, ["user_id"])
     follows = unique_rows(follows, ["follower_id", "followed_id"])
     for end in ("follower_id", "followed_id"):
@@ -92,7 +96,12 @@ def enforce_keys(users: DataFrame, follows: DataFrame, posts: DataFrame, feed_ru
     known = users.select("user_id", F.col("user_id").alias("_known"))
     named = named.join(known, "user_id", "left").withColumn("user_id", F.col("_known")).drop("_known")
     runs = named.unionByName(feed_runs.filter("user_id IS NULL"))
-    return {"users": users, "follows": follows, "posts": posts, "feed_runs": runs}
+    out = {"users": users, "follows": follows, "posts": posts, "feed_runs": runs}
+    if feed_cache is not None:
+        out["feed_cache"] = semi_referential(feed_cache, users, "user_id", "user_id")
+    if topics is not None and mapping is not None:
+        out["mapping"] = semi_referential(mapping, topics, "topic_ref", "topic_id")
+    return out
 
 
 def violation_report(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:

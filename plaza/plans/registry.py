@@ -227,7 +227,9 @@ def cache_rows(spark, root) -> DataFrame:
         "user_id", F.concat(F.col("n").cast("string"), F.lit(" posts")).alias("summary"),
         F.lit(None).cast(schemas.FEED_CACHE["topic_data"].dataType).alias("topic_data"),
         F.create_map(F.lit("requested"), F.lit("100")).alias("source_meta"))
-    return results.feed_cache_rows(rows, extras, "reddit", views.RUN_TS)
+    records = views.posts(spark, root).select(
+        "post_id", "author_id", "title", "selftext", "content", "score", "num_comments", "flair")
+    return results.feed_cache_rows(rows.join(records, "post_id"), extras, "reddit", views.RUN_TS)
 
 
 @query
@@ -275,7 +277,8 @@ def persist_topics(spark, root):
 
 @query
 def create_reset_tables(spark, root):
-    folder, database = new_path(spark, "tables"), "plaza_reset"
+    folder = new_path(spark, "tables")
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
     writers.create_tables(spark, folder, database)
     views.users(spark, root).write.insertInto(f"{database}.users")
     views.follows(spark, root).write.insertInto(f"{database}.follows")

@@ -6,11 +6,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from plaza import schemas
 from plaza.functions import text as tx
-from plaza.operators import activity, eda, polarity, products, results, selection, topics
+from plaza.operators import activity, eda, keys, polarity, products, results, selection, topics
 from plaza.session import materialize
+from plaza.sources import readers, writers
 
 GROUP = ["user_id", "subreddit"]
 TOPIC = [*GROUP, "topic_index"]
@@ -72,7 +74,7 @@ def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> Data
     if model is not None:
         return polarity.topic_polarity(out, model)
     return out.withColumns({
-        "polarity_label": F.lit(polarity.EMPTY_LABEL), "polarity_score": F.lit(polarity.EMPTY_SCORE)})
+        "polarity_label": F.lit(None).cast("string"), "polarity_score": F.lit(None).cast("double")})
 
 
 def topic_struct():
@@ -84,8 +86,14 @@ def topic_struct():
     ).alias("topic")
 
 
-def run_analysis(posts: DataFrame, users: DataFrame, runs: DataFrame, vectors: DataFrame, s: RunSettings, model: PipelineModel | None = None) -> dict[str, DataFrame]:
-    """All result tables of one run. ``vectors``: ``post_id, embedding``."""
+def run_analysis(
+    posts: DataFrame, users: DataFrame, runs: DataFrame, vectors: DataFrame, s: RunSettings,
+    model: PipelineModel | None = None, rules: dict[str, Column] | None = None,
+) -> dict[str, DataFrame]:
+    """All result tables of one run. ``vectors``: ``post_id, embedding``. Posts that break one of ``rules``
+    stay out and are counted per community and reason in ``errors``. Without a ``model`` the
+    polarity is null."""
+    posts, errors = results.community_errors(posts, rules or {})
     split = materialize(budgets(posts, users, runs, s), "budgets")
     picked = materialize(selection.select_posts(posts, split), "picked")
     texts = materialize(selected_texts(posts, picked), "texts")
@@ -103,17 +111,43 @@ def run_analysis(posts: DataFrame, users: DataFrame, runs: DataFrame, vectors: D
     stored = results.topic_rows(full, s.run_ts)
     mapping = results.posts_to_topic_ids(placed.select("user_id", source, "topic_index", "post_id"), stored)
     per_group = split.select(*GROUP, "allocated").join(eda.subreddit_eda(texts, GROUP), GROUP, "left").join(
-        full.groupBy(*GROUP).agg(F.array_sort(F.collect_list(
-            F.struct("topic_index", "title", "bullets", "sample_posts"))).alias("topics")), GROUP, "left")
+        full.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct(
+            "topic_index", "title", "bullets", "sample_posts",
+            F.struct("compression_ratio", "lexical_overlap", "summary_length").alias("metrics")))).alias("topics")), GROUP, "left").join(
+        outputs.join(full.select("source", "subreddit").distinct(), "source").select(*GROUP, "output_id"), GROUP, "left").join(
+        errors.groupBy("subreddit").agg(F.array_sort(F.collect_list("error")).alias("errors")), "subreddit", "left")
     result = F.struct(
-        F.coalesce("post_count", F.lit(0)).alias("post_count"), "topics",
-        F.struct("avg_score", "avg_comments").alias("eda"))
+        F.coalesce("post_count", F.lit(0)).alias("post_count"), "allocated", "output_id", "topics", "errors",
+        F.struct(F.coalesce("post_count", F.lit(0)).alias("post_count"), "avg_score", "avg_comments").alias("eda"))
     combined = results.run_payload(per_group.select(*GROUP, "allocated", result.alias("result")), s.top_n_total, s.run_ts,
                                    f"{s.platform}:subreddit_analysis")
+    totals = results.run_totals(per_group.select("user_id", F.coalesce("post_count", F.lit(0)).alias("post_count")))
     counts = community.select("user_id", "source", "post_count")
+    # The user's whole payload is an output of its own, with a run row that has the total.
+    whole = results.output_rows(combined.select(
+        "user_id", "source", F.struct("user_id", "source", "timestamp", "top_n_total", "allocations", "subreddits").alias("payload")), s.run_ts)
+    whole_counts = combined.select("user_id", "source").join(totals.select("user_id", "post_count"), "user_id")
     return {
-        "budgets": split, "picked": picked, "topics": stored, "mapping": mapping, "outputs": outputs,
-        "runs": results.run_rows(outputs, counts), "payload": combined,
-        "totals": results.run_totals(per_group.select("user_id", F.coalesce("post_count", F.lit(0)).alias("post_count"))),
-        "products": full,
+        "budgets": split, "picked": picked, "topics": stored, "mapping": mapping,
+        "outputs": outputs.unionByName(whole),
+        "runs": results.run_rows(outputs, counts).unionByName(results.run_rows(whole, whole_counts)),
+        "payload": combined, "totals": totals, "products": full, "errors": errors,
     }
+
+
+def store_run(made: dict[str, DataFrame], folder: str, runs: DataFrame, run_folder: str) -> DataFrame:
+    """Append topics, mapping and outputs of a run below ``folder``, each row once, and write the next
+    version of the run state to ``run_folder``; returns that state.
+
+    Ids depend on business keys only, so a run that is stored again adds nothing.
+    """
+    spark = runs.sparkSession
+    for name, schema, key in (("topics", schemas.TOPICS, "topic_id"), ("mapping", schemas.POST_TOPICS, "mapping_id"), ("outputs", schemas.OUTPUTS, "output_id")):
+        path = f"{folder}/{name}"
+        writers.append_table(spark.createDataFrame([], schema), path)
+        fresh = readers.rows_with_schema(made[name], schema)
+        order = [F.col(c) for c in schema.names if c not in (key, "sample_posts")]
+        writers.append_table(materialize(keys.new_rows(fresh, spark.read.schema(schema).parquet(path), key, order), f"new-{name}"), path)
+    fresh = readers.rows_with_schema(made["runs"], schemas.RUNS)
+    keys.upsert_latest(readers.rows_with_schema(runs, schemas.RUNS), fresh, ["user_id", "source"], "last_run_at", "output_id").write.parquet(run_folder)
+    return spark.read.schema(schemas.RUNS).parquet(run_folder)

@@ -33,9 +33,10 @@ FEED_RUNS = _struct(run_id=_S, user_id=_S, platform=_S, run_status=_S, fetched_a
 
 FEED_CACHE = _struct(
     cache_id=_S, user_id=_S, platform=_S, fetched_at=_TS,
-    raw_posts=T.ArrayType(_struct(post_id=_S, subreddit=_S, created_at=_TS)),
+    raw_posts=T.ArrayType(_struct(
+        post_id=_S, author_id=_S, subreddit=_S, title=_S, selftext=_S, content=_S, created_at=_TS, score=_I, num_comments=_I, flair=_S)),
     summary=_S,
-    topic_data=T.ArrayType(_struct(topic_index=_I, title=_S)),
+    topic_data=T.ArrayType(_struct(topic_index=_I, title=_S, summary=_S, bullets=_SS, keywords=_SS, post_indices=T.ArrayType(_L))),
     source_meta=T.MapType(_S, _S),
 )
 
@@ -54,6 +55,9 @@ POST_TOPICS = _struct(
 
 ANALYSIS_STATE = _struct(user_id=_S, platform=_S, data=_S, updated_at=_TS)
 
+# Tables that refer to users: emptied together with them.
+USER_TABLES = ("live_feed_runs", "live_feed_cache")
+
 # Core tables are dropped and recreated on reset; live tables are only created when missing.
 CORE_TABLES = {"users": USERS, "follows": FOLLOWS, "posts": POSTS}
 LIVE_TABLES = {

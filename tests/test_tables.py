@@ -46,6 +46,28 @@ def test_enforce_keys(spark):
     assert {r["run_id"]: r["user_id"] for r in made["feed_runs"].collect()} == {"r1": "u1", "r2": None, "r3": None}
 
 
+def test_enforce_keys_of_cache_and_mapping(spark):
+    users = spark.createDataFrame([("u1", "x")], "user_id string, username string")
+    none = spark.createDataFrame([], schemas.FOLLOWS)
+    posts = spark.createDataFrame([], "post_id string, author_id string")
+    cache = spark.createDataFrame([("c1", "u1"), ("c2", "gone")], "cache_id string, user_id string")
+    topics = spark.createDataFrame([("t1",)], "topic_id string")
+    mapping = spark.createDataFrame([("m1", "t1"), ("m2", "gone")], "mapping_id string, topic_ref string")
+    made = keys.enforce_keys(users, none, posts, spark.createDataFrame([], "run_id string, user_id string"), cache, topics, mapping)
+    assert [r["cache_id"] for r in made["feed_cache"].collect()] == ["c1"]
+    assert [r["mapping_id"] for r in made["mapping"].collect()] == ["m1"]
+
+
+def test_reset_empties_what_refers_to_users(spark):
+    folder = new_path(spark, "tables")
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    writers.create_tables(spark, folder, database)
+    spark.sql(f"INSERT INTO {database}.live_feed_runs VALUES ('r', 'u', 'p', 's', NULL, 'n')")
+    spark.sql(f"INSERT INTO {database}.live_runs VALUES ('u', 's', NULL, 1, 'o')")
+    writers.truncate_core(spark, folder, database)
+    assert spark.table(f"{database}.live_feed_runs").count() == 0 and spark.table(f"{database}.live_runs").count() == 1
+
+
 def test_missing_authors(spark):
     posts = spark.createDataFrame([("a",), ("b",), ("b",), ("",), (None,)], "author_id string")
     users = spark.createDataFrame([("a",)], "user_id string")

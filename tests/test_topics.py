@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plaza.operators import graph, products, similarity, topics
 from plaza.plans import run
+from plaza.session import new_path
 
 
 def unit(rows):
@@ -224,7 +225,23 @@ def test_whole_run_with_clusters(spark):
         assert len({(i) % 3 for i in r["post_indices"]}) == 1      # one kind per topic
         assert r["title"] and r["bullets"] and 0 < len(r["sample_posts"]) <= 3
     state = made["runs"].collect()
-    assert [(r["source"], r["post_count"]) for r in state] == [("reddit:news", 40)]
+    assert sorted((r["user_id"], r["source"], r["post_count"]) for r in state) == [
+        ("u1", "reddit:news", 40), ("u1", "reddit:subreddit_analysis", 40), ("u2", "reddit:subreddit_analysis", 0)]
     payload = {r["user_id"]: r for r in made["payload"].collect()}
     assert payload["u1"]["allocations"] == {"news": 40} and len(payload["u1"]["subreddits"]["news"]["topics"]) == 3
     assert payload["u2"]["subreddits"]["nowhere"]["post_count"] == 0
+    news = payload["u1"]["subreddits"]["news"]
+    ids = {r["source"]: r["output_id"] for r in made["outputs"].filter("user_id = 'u1'").collect()}
+    assert news["allocated"] == 40 and news["output_id"] == ids["reddit:news"] and news["eda"]["post_count"] == 40
+    assert all(t["metrics"]["summary_length"] > 0 for t in news["topics"])
+    assert all(r["polarity_label"] is None for r in full)
+    folder = new_path(spark, "stored")
+    for k in range(2):  # a run that is stored twice is there once
+        stored = run.store_run(made, folder, runs, f"{folder}/runs-{k}")
+        assert stored.count() == 3
+        sizes = {n: spark.read.parquet(f"{folder}/{n}").count() for n in ("topics", "mapping", "outputs")}
+        assert sizes == {"topics": 3, "mapping": 40, "outputs": 3}
+    bad = run.run_analysis(posts, users, runs, vecs, run.RunSettings("2024-01-10 00:00:00", "2024-01-11 00:00:00"),
+                           rules={"no comments": F.col("num_comments") == 0})
+    assert [tuple(r) for r in bad["errors"].collect()] == [("news", "no comments", 12)]
+    assert bad["payload"].filter("user_id = 'u1'").first()["subreddits"]["news"]["errors"] == ["no comments"]
