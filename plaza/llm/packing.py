@@ -17,7 +17,9 @@ Contract
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,21 +29,21 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from plaza.llm.common import Scratch, batches_of, pieces_of, whole_text
+from plaza.llm.common import Scratch, batches_of, named, pieces_of, unnamed, whole_text
 
 LENGTH = 1024
 END = 2
 PIECES_PER_GROUP = 30_000
 GROUPS_PER_PASS = 32
 SLICE_CHARS = 6_000_000
-KNOWN_CHUNKS = 600_000
+KNOWN_CHUNKS = 900_000
 
 # The pre-tokenizer's pattern, and characters for which it needs no table
 # of a certain Unicode version.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN = r"[\x21-\x7e\xc0-ɏ]*"
 # Where white space meets white space (or the marker is in the text) a text is not split.
-UNEVEN = r"\s\s|[\x00\r\t\x0b\x0c]"
+UNEVEN = r"[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u2000-\u200b\u2028-\u202f\u205f\u3000\ufeff]"
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, grp long, sequence_id long, offset long, fill long"
@@ -51,7 +53,7 @@ class Encoder:
     """Ids of texts, by the model of a byte-level tokenizer file.
 
     A text falls into chunks at single blanks and line ends, where the pre-tokenizer
-    always splits. The ids of a chunk are worked out once and kept.
+    always splits. The ids of a chunk are worked out once and kept, as bytes.
     """
 
     def __init__(self, path: str):
@@ -59,49 +61,61 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.split, self.plain, self.uneven = regex.compile(PATTERN), regex.compile(PLAIN), regex.compile(UNEVEN)
+        self.model = self.whole.model
+        self.split, self.plain, self.uneven = regex.compile(PATTERN), re.compile(PLAIN), re.compile(UNEVEN)
         # Bytes that have no printed form of their own stand for characters from 256 on.
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         other = [b for b in range(256) if b not in set(own)]
         self.printed = {b: 256 + i for i, b in enumerate(other)}
-        self.known: dict[str, np.ndarray] = {}
+        self.blank, self.line = chr(self.printed[0x20]), chr(self.printed[0x0A])
+        self.known: dict[str, bytes] = {}
 
-    def slow(self, text: str) -> np.ndarray:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    def slow(self, text: str) -> bytes:
+        return _packed_ids(self.whole.encode(text, add_special_tokens=False).ids)
 
-    def piece(self, text: str) -> np.ndarray:
-        found = self.known.get(text)
-        if found is None:
-            printed = text.encode().decode("latin-1").translate(self.printed)
-            found = self.known[text] = np.array([t.id for t in self.whole.model.tokenize(printed)], dtype=np.uint32)
-        return found
+    def pieces(self, printed: list[str]) -> bytes:
+        tokenize = self.model.tokenize
+        return _packed_ids([t.id for p in printed for t in tokenize(p)])
 
-    def chunk(self, chunk: str) -> np.ndarray:
+    def chunk(self, chunk: str) -> bytes:
         """A chunk begins with the marker (nothing before it), a line end, or stands after a blank."""
-        head, rest = chunk[:1], chunk[1:]
-        text = rest if head == "\x00" else chunk if head == "\n" else " " + chunk
-        if not self.plain.fullmatch(rest if head in ("\x00", "\n") else chunk):
-            return self.slow(text)
-        parts = [self.piece(p) for p in self.split.findall(text)]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        head = chunk[:1]
+        bare = head in ("\x00", "\n")
+        rest = chunk[1:] if bare else chunk
+        if not self.plain.fullmatch(rest):
+            return self.slow(rest if head == "\x00" else chunk if bare else " " + chunk)
+        before = ([] if head == "\x00" else [self.line]) if bare else []
+        lead = "" if bare else self.blank
+        # A word, or a word and one mark after it: the pattern's commonest cases.
+        if rest.isalpha():
+            return self.pieces([*before, lead + self.print(rest)])
+        if rest[-1:] in (".", ",") and rest[:-1].isalpha():
+            return self.pieces([*before, lead + self.print(rest[:-1]), rest[-1]])
+        return self.pieces([*before, *(self.print(p) for p in self.split.findall(rest if bare else " " + rest))])
+
+    def print(self, text: str) -> str:
+        if text.isascii():
+            return text.replace(" ", self.blank)
+        return text.encode().decode("latin-1").translate(self.printed)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text begins."""
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        odd = {i: self.slow(t) for i, t in enumerate(texts) if self.uneven.search(t)}
+        known = self.known
+        if len(known) > KNOWN_CHUNKS:
+            known.clear()
+        odd = {i: np.frombuffer(self.slow(t), np.uint32) for i, t in enumerate(texts) if self.uneven.search(t)}
         marked = pa.array(["" if i in odd else "\x00" + t.replace("\n", " \n") for i, t in enumerate(texts)], pa.large_string())
         lists = pc.split_pattern(marked, " ")
         words = lists.values.dictionary_encode()
         ids = []
         for chunk in words.dictionary.to_pylist():
-            found = self.known.get(("c", chunk))
+            found = known.get(chunk)
             if found is None:
-                found = self.known[("c", chunk)] = self.chunk(chunk) if chunk else self.slow(" ")
+                found = known[chunk] = self.chunk(chunk) if chunk else self.slow(" ")
             ids.append(found)
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) >> 2
         base = np.concatenate([[0], np.cumsum(sizes)])
-        pool = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        pool = np.frombuffer(b"".join(ids), dtype=np.uint32)
         codes = words.indices.to_numpy()
         of_word = sizes[codes]
         ends = np.cumsum(of_word)
@@ -114,6 +128,10 @@ class Encoder:
         return flat, at
 
 
+def _packed_ids(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -137,17 +155,15 @@ def _tokenized(path: str, keep_ids: bool):
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     raw = ids[a:b].tobytes()
                     out.append((doc, k, a, b - a, zlib.crc32(raw), raw if keep_ids else None))
-            rows = pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")])
-            rows["doc_id"] = rows.doc_id.astype("Int64")
-            yield rows
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")])
 
     return run
 
 
 def pieces(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     """The pieces of every document, with their ids (little-endian unsigned 32 bit) if asked."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return texts.mapInPandas(_tokenized(path, keep_ids), PIECE)
+    texts = docs.select(named("doc_id"), whole_text().alias("text"))
+    return texts.mapInPandas(_tokenized(path, keep_ids), PIECE).withColumn("doc_id", unnamed("doc_id"))
 
 
 def best_fit(sizes: np.ndarray, length: int = LENGTH) -> list[list[int]]:
@@ -247,7 +263,7 @@ def pack(cut: DataFrame, scratch: Scratch) -> DataFrame:
     if groups >= 2_000_000:
         raise ValueError("more groups than sequence numbers: raise PIECES_PER_GROUP")
     dealt = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups))
-    packed = scratch.write(cut.withColumn("grp", dealt).groupBy("grp").applyInPandas(_packed, PACKED), "packed-0")
+    packed = scratch.write(cut.withColumns({"grp": dealt, "doc_id": named("doc_id")}).groupBy("grp").applyInPandas(_packed, PACKED), "packed-0")
     full, first, step = [packed.filter(F.col("fill") == LENGTH)], groups, 0
     while groups > 1:
         # The next pass numbers its groups after those of the passes before.
@@ -260,7 +276,7 @@ def pack(cut: DataFrame, scratch: Scratch) -> DataFrame:
     out = packed.filter(F.col("fill") < LENGTH)
     for part in full:
         out = out.unionByName(part)
-    return out.drop("grp")
+    return out.drop("grp").withColumn("doc_id", unnamed("doc_id"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
