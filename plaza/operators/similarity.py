@@ -13,9 +13,8 @@ from plaza.functions import vectors as vec
 from plaza.operators.keys import top_per_key
 from plaza.session import materialize
 
-# Similarity from which posts, and parts of a summary, count as repeats.
+# Fixed value: similarity from which posts count as repeats.
 SIMILAR_POSTS = 0.84
-SIMILAR_SUMMARIES = 0.86
 
 PIVOTS = 16
 BLOCK_ROWS = 2048
@@ -44,8 +43,10 @@ def distinct_vectors(df: DataFrame, by: Sequence[str], id: str, vector: str) ->
 def similarity_join(df: DataFrame, by: Sequence[str], id: str, vector: str, threshold: float = SIMILAR_POSTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs within a group with cosine >= ``threshold``: ``by..., id_a, id_b, cosine``.
 
-    Exact. Copies are tied to their first row (cosine 1) instead of being
-    paired with each other. Distinct vectors go to the nearest of a few pivots;
+    Exact, as pairs of representatives and membership: every pair of distinct vectors is
+    there once, between the rows of lowest id; a row whose vector an earlier row has is
+    there once, as ``(that row, it, 1.0)``, and has all links of that row. (Pairs of copies are
+    not listed: a group of n copies would have n * (n - 1) / 2.) Distinct vectors go to the nearest of a few pivots;
     two cells meet only if the angle between their pivots, less both radii,
     leaves room for a pair (triangle inequality). A cell larger than
     ``block_rows`` is split by hash, so a hot group becomes many block pairs

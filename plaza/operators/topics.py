@@ -180,6 +180,8 @@ def kmeans_topics(
     slim = vectors.select(*by, id, F.col(vector).cast("array<double>").alias("embedding"))
     plan = topic_plan(slim, by, threshold).filter("mode = 'cluster'").select(*by, F.col("num_topics").alias("k"))
     data = materialize(slim.join(plan, by), "kmeans-input")
+    if data.isEmpty():  # no group is large enough
+        return data.select(*by, id, F.lit(0).alias("topic_index"))
     centroids = materialize(_seeds(data, by, id, seed), "kmeans-centroids")
     for _ in range(max_iter):
         means = nearest(data, centroids, by).groupBy(*by, "topic_index").agg(

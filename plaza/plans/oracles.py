@@ -460,7 +460,7 @@ oracle("run_totals", f"SELECT user_id, count(*) AS post_count, count(DISTINCT su
 oracle("feed_meta", f"""
 SELECT b.user_id, 100 AS requested_total, coalesce(any_value(p.n), 0) AS actual_fetched_total,
   string_agg(b.subreddit || '=' || b.allocated, '|' ORDER BY b.subreddit) AS allocations,
-  string_agg(b.subreddit || '=' || CAST(trunc(coalesce(a.activity, 1.0)) AS INT), '|' ORDER BY b.subreddit) AS activity_map
+  string_agg(b.subreddit || '=' || CAST(round(coalesce(a.activity, 1.0) * 1000) AS BIGINT), '|' ORDER BY b.subreddit) AS activity_map
 FROM {B100} b LEFT JOIN activity_v a USING (subreddit) LEFT JOIN (SELECT user_id, count(*) AS n FROM {P100} GROUP BY 1) p ON p.user_id = b.user_id GROUP BY 1""")
 oracle("graph_stats", "SELECT (SELECT count(DISTINCT user_id) FROM users_v) AS n_nodes, (SELECT count(*) FROM follows_v) AS n_edges")
 oracle("out_degree", "SELECT follower_id AS user_id, count(*) AS out_degree FROM follows_v GROUP BY 1")

@@ -524,9 +524,10 @@ def run_totals(spark, root):
 def feed_meta(spark, root):
     split = materialize(budgets(spark, root, 100), "budgets")
     meta = selection.feed_meta(split, selection.select_posts(views.posts(spark, root), split))
-    pairs = lambda m: F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("int").cast("string")))
+    whole = lambda v, scale: F.round(v * scale).cast("bigint").cast("string")
+    pairs = lambda m, scale=1: F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit("="), whole(e["value"], scale)))
     return meta.select("user_id", "requested_total", "actual_fetched_total",
-                       listed(pairs("allocations")).alias("allocations"), listed(pairs("activity_map")).alias("activity_map"))
+                       listed(pairs("allocations")).alias("allocations"), listed(pairs("activity_map", 1000)).alias("activity_map"))
 
 
 @query
