@@ -24,6 +24,8 @@ NO_SUMMARY = "(Unable to generate summary.)"
 DEFAULT_TITLE = "Topic Summary"
 
 SUMMARY_SENTENCES = 5
+# Cosine of keyword sets, in hundredths, from which sentences and bullets say the same.
+SIMILAR_SENTENCES, SIMILAR_BULLETS = 86, 84
 
 
 def chunk_text(df: DataFrame, text: str = "topic_text", size: int = CHUNK_CHARS) -> DataFrame:
@@ -70,6 +72,17 @@ def keyword_list(df: DataFrame, by: Sequence[str], text: str, k: int) -> DataFra
         "keywords", F.coalesce("keywords", F.array().cast("array<string>")))
 
 
+def near_words(a: Column, b: Column, hundredths: int) -> Column:
+    """Whether two sets of words have a cosine of ``hundredths`` / 100 or more; in whole numbers, so
+    that a pair at the threshold counts everywhere. Empty sets are near nothing."""
+    common = F.size(F.array_intersect(a, b)).cast("long")
+    return (common > 0) & (common * common * 10_000 >= F.lit(hundredths * hundredths) * F.size(a) * F.size(b))
+
+
+def keyword_set(c: Column) -> Column:
+    return F.array_distinct(tx.keyword_tokens(c))
+
+
 def topic_sentences(texts: DataFrame, by: Sequence[str], order: Sequence[str], text: str = "text") -> DataFrame:
     """Every distinct sentence of a topic at its first place: ``by..., order..., sentence_index,
     sentence``. ``texts`` has one row per post; all of them are read whole."""
@@ -86,11 +99,15 @@ def extractive_summary(texts: DataFrame, by: Sequence[str], order: Sequence[str]
     corpus). Weights are whole numbers, so equal texts rank alike everywhere. Uses are
     counted and joined, so a word that most sentences of a large topic use is not
     gathered in one task; no topic is collected, only its ``n`` winners.
+
+    The winners are taken one by one, for all topics at once: the weightiest sentence that
+    says nearly the same as none taken before (SIMILAR_SENTENCES). That is one pass per
+    winner, however many near copies there are.
     """
     by, order = list(by), list(order)
     place = [*order, "sentence_index"]
     once = topic_sentences(texts, by, order, text)
-    rows = materialize(once.withColumn("words", F.array_distinct(tx.keyword_tokens(F.col("sentence")))), "sentences")
+    rows = materialize(once.withColumn("words", keyword_set(F.col("sentence"))), "sentences")
     per_word = unnest(rows, [*by, *place], F.col("words"), "word")
     corpus = per_word.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = rows.agg(F.count(F.lit(1))).scalar()
@@ -98,8 +115,17 @@ def extractive_summary(texts: DataFrame, by: Sequence[str], order: Sequence[str]
     uses = per_word.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("tf")).join(corpus.select("word", rarity.alias("rarity")), "word")
     scores = per_word.join(uses, [*by, "word"]).groupBy(*by, *place).agg(
         F.floor(F.sum(F.col("tf") * F.col("rarity")) / F.count(F.lit(1))).cast("bigint").alias("score"))
-    scored = rows.drop("words").join(scores, [*by, *place], "left").withColumn("score", F.coalesce("score", F.lit(0)))
-    best = top_per_key(scored, by, [F.col("score").desc(), *place], k=n)
+    scored = materialize(
+        rows.join(scores, [*by, *place], "left").withColumn("score", F.coalesce("score", F.lit(0))).withColumn("_at", F.struct(*place)), "scored")
+    best = None
+    for _ in range(n):
+        rest = scored
+        if best is not None:
+            taken = best.groupBy(*by).agg(F.collect_list(F.struct("_at", "words")).alias("_taken"))
+            free = ~F.exists("_taken", lambda t: (t["_at"] == F.col("_at")) | near_words(t["words"], F.col("words"), SIMILAR_SENTENCES))
+            rest = scored.join(taken, by).filter(free).drop("_taken")
+        pick = top_per_key(rest, by, [F.col("score").desc(), *place])
+        best = materialize(pick if best is None else best.unionByName(pick), "summary-sentences")
     listed = best.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*place, "sentence"))).alias("_s"))
     made = listed.select(*by, F.array_join(F.transform("_s", lambda e: e["sentence"]), " ").alias("summary"))
     topics = texts.groupBy(*by).agg(F.max(F.coalesce(F.col(text), F.lit("")) != "").alias("_had"))
@@ -139,10 +165,13 @@ def topic_title(summaries: DataFrame, by: Sequence[str], summary: str = "summary
 
 
 def topic_bullets(summary: Column, n: int = BULLETS) -> Column:
-    """Up to ``n`` distinct sentences of three words or more, 30 words each."""
+    """Up to ``n`` sentences of three words or more, 30 words each, none nearly the same as one before."""
     bare = F.transform(tx.split_sentences(summary), lambda s: tx.strip(F.regexp_replace(s, r"^\W+", "")))
     long_enough = F.filter(bare, lambda s: F.size(tx.words(s)) >= BULLET_MIN_WORDS)
-    picked = F.slice(tx.distinct_by_key(long_enough), 1, n)
+    near = lambda s, t: near_words(keyword_set(s), keyword_set(t), SIMILAR_BULLETS)
+    apart = F.aggregate(tx.distinct_by_key(long_enough), F.array().cast("array<string>"), lambda kept, s: F.when(
+        F.exists(kept, lambda t: near(s, t)), kept).otherwise(F.concat(kept, F.array(s))))
+    picked = F.slice(apart, 1, n)
     return F.transform(picked, lambda s: F.array_join(F.slice(tx.words(s), 1, BULLET_WORDS), " "))
 
 

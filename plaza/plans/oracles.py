@@ -253,6 +253,11 @@ SELECT {by}, substr(string_agg({as_sentence('text')}, ' ' ORDER BY {order}), 1,
 FROM ({once if unique else plain}) GROUP BY {by}"""
 
 
+def near(a: str, b: str, hundredths: int) -> str:
+    common = f"len(list_intersect({a}, {b}))"
+    return f"({common} > 0 AND {common} * {common} * 10000 >= {hundredths * hundredths} * len({a}) * len({b}))"
+
+
 def summary_blocks(tag: str, rows: str, by: str, order: str) -> str:
     """Extractive summary of ``rows`` (``by..., order..., text``, one per post); returns the last block."""
     place = f"{order}, si"
@@ -267,10 +272,17 @@ SELECT word, CAST(round(ln(((SELECT count(*) FROM sent_{tag}) + 1.0) / (count(*)
     CTES[f"scored_{tag}"] = f"""
 SELECT {by}, {place}, CAST(floor(sum(tf * rarity) / count(*)) AS BIGINT) AS score
 FROM words_{tag} JOIN uses_{tag} USING ({by}, word) JOIN rare_{tag} USING (word) GROUP BY {by}, {place}"""
-    CTES[f"made_{tag}"] = f"""
-SELECT {by}, string_agg(sentence, ' ' ORDER BY {place}) AS summary FROM (
-  SELECT s.*, row_number() OVER (PARTITION BY {by} ORDER BY coalesce(score, 0) DESC, {place}) AS rn
-  FROM sent_{tag} s LEFT JOIN scored_{tag} USING ({by}, {place})) WHERE rn <= {products.SUMMARY_SENTENCES} GROUP BY {by}"""
+    CTES[f"rest_{tag}_0"] = f"""
+SELECT {by}, {place}, sentence, coalesce(score, 0) AS score, list_distinct({keyword_tokens('sentence')}) AS ws
+FROM sent_{tag} LEFT JOIN scored_{tag} USING ({by}, {place})"""
+    for k in range(products.SUMMARY_SENTENCES):
+        CTES[f"pick_{tag}_{k}"] = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY score DESC, {place}) AS rn FROM rest_{tag}_{k}) WHERE rn = 1"""
+        apart = " AND ".join(f"r.{c.strip()} IS NOT DISTINCT FROM p.{c.strip()}" for c in place.split(","))
+        CTES[f"rest_{tag}_{k + 1}"] = f"""
+SELECT r.* FROM rest_{tag}_{k} r JOIN pick_{tag}_{k} p USING ({by}) WHERE NOT ({apart}) AND NOT {near('r.ws', 'p.ws', products.SIMILAR_SENTENCES)}"""
+    picked = " UNION ALL ".join(f"SELECT {by}, {place}, sentence FROM pick_{tag}_{k}" for k in range(products.SUMMARY_SENTENCES))
+    CTES[f"made_{tag}"] = f"SELECT {by}, string_agg(sentence, ' ' ORDER BY {place}) AS summary FROM ({picked}) GROUP BY {by}"
     CTES[f"summary_{tag}"] = f"""
 SELECT {by}, coalesce(nullif(m.summary, ''), CASE WHEN r.had THEN '{products.NO_SUMMARY}' ELSE '{products.NO_CONTENT}' END) AS summary
 FROM (SELECT {by}, max(coalesce(text, '') <> '') AS had FROM {rows} GROUP BY {by}) r LEFT JOIN made_{tag} m USING ({by})"""
@@ -555,8 +567,16 @@ oracle("keywords", f"SELECT doc_id, keyword, n, keyword_rank FROM {keyword_block
 oracle("topic_title", f"SELECT subreddit, topic_index, title FROM {title_blocks('topics', SUMMARY, 'subreddit, topic_index')}")
 CTES["given_v"] = f"SELECT doc_id, topic_text AS summary, array_to_string({words('topic_text')}[1:doc_id % 10], ' ') AS proposed FROM docs_v"
 oracle("topic_title_given", f"SELECT doc_id, title FROM {title_blocks('given', 'given_v', 'doc_id', 'r.proposed')}")
+def bullets_of(l: str) -> str:
+    """The bullets apart from each other, at most three."""
+    once = f"list_filter({l}, lambda s, i: list_position(list_transform({l}, lambda x: {key_of('x')}), {key_of('s')}) = i)"
+    told = near(f"list_distinct({keyword_tokens('u')})", f"list_distinct({keyword_tokens('b[1]')})", products.SIMILAR_BULLETS)
+    apart = f"list_reduce(list_transform({once}, lambda s: [s]), lambda a, b: CASE WHEN len(list_filter(a, lambda u: {told})) > 0 THEN a ELSE list_concat(a, b) END)"
+    return f"CASE WHEN len({l}) = 0 THEN CAST([] AS VARCHAR[]) ELSE {apart}[1:3] END"
+
+
 CTES["bullets_v"] = f"""
-SELECT subreddit, topic_index, list_filter(l, lambda s, i: list_position(list_transform(l, lambda x: {key_of('x')}), {key_of('s')}) = i)[1:3] AS l
+SELECT subreddit, topic_index, {bullets_of('l')} AS l
 FROM (SELECT subreddit, topic_index, {bullet_list('summary')} AS l FROM {SUMMARY})"""
 oracle("topic_bullets", f"""
 SELECT subreddit, topic_index, CAST(i - 1 AS INT) AS bullet_index, array_to_string({words('l[i]')}[1:30], ' ') AS bullet
@@ -585,7 +605,7 @@ RUN_SUMMARY = summary_blocks("run", "run_rows_v", "user_id, subreddit", "positio
 RUN_TITLE = title_blocks("run", RUN_SUMMARY, "user_id, subreddit")
 CTES["run_bullets_v"] = f"""
 SELECT user_id, subreddit, array_to_string(list_transform(
-    list_filter(l, lambda s, i: list_position(list_transform(l, lambda x: {key_of('x')}), {key_of('s')}) = i)[1:3],
+    {bullets_of('l')},
     lambda b: array_to_string({words('b')}[1:30], ' ')), '|') AS bullets
 FROM (SELECT user_id, subreddit, {bullet_list('summary')} AS l FROM {RUN_SUMMARY})"""
 oracle("run_payload", f"""

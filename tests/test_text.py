@@ -96,6 +96,13 @@ def test_bullets(spark):
         "One two three.", "Four five six) seven!", "Last one here?"]
 
 
+def test_near_bullets_are_dropped(spark):
+    text = "Alpha beta gamma delta epsilon zeta eta theta. Beta alpha gamma delta epsilon zeta eta theta iota. Something quite different here."
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(products.topic_bullets(F.col("s")).alias("o")).first()["o"] == [
+        "Alpha beta gamma delta epsilon zeta eta theta.", "Something quite different here."]
+
+
 def test_bullet_lines(spark):
     df = spark.createDataFrame([(1, "- first\n\n* Bullets:  second  item\r\n•third\n   ")], "id int, t string")
     made = products.bullet_clean(df, "t").orderBy("line_index").collect()

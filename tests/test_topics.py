@@ -159,6 +159,14 @@ def test_summary_finds_the_best_sentence_at_the_end_of_long_texts(spark):
     assert len(filler) > 3500 and made[1] == "Compilers turn programs into machine code. Programs need compilers and machine code."
 
 
+def test_summary_passes_over_near_copies(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(1, i, f"{words} number{i}.") for i in range(40)] + [(1, 90, "Quite another thing."), (2, 1, "Something else entirely.")]
+    df = spark.createDataFrame(rows, "id int, o int, text string")
+    made = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
+    assert made[1] == f"{words.capitalize()} number0. Quite another thing."
+
+
 @pytest.mark.parametrize("n_vectors", [0, 18, 30])
 def test_no_post_is_lost_without_a_vector(spark, n_vectors):
     kinds = ["alpha beta gamma", "delta epsilon zeta", "eta theta iota"]
