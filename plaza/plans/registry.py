@@ -865,7 +865,7 @@ def stream_ingest_posts(spark, root):
     schema = readers.rows_with_schema(views.posts(spark, root), schemas.POSTS).schema
     known = views.users(spark, root).filter(~F.array_contains("personas", "BUILDING"))
     writers.append_table(known, users_path)
-    readers.rows_with_schema(views.posts(spark, root), schemas.POSTS).filter("score >= 100").write.parquet(posts_path)
+    streams.append_by_day(readers.rows_with_schema(views.posts(spark, root), schemas.POSTS).filter("score >= 100"), posts_path, "created_at")
 
     def to_posts(batch: DataFrame) -> DataFrame:
         made = views.posts_of(batch, root).withColumn("cleaned_content", tx.cleaned_content(F.col("content")))
