@@ -29,9 +29,10 @@ LOST_PERCENT = 50
 # The characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 # Rules for lines. A line of symbols, brackets and digits rather than letters; a menu of
-# short parts between bars; notices that stand on many pages.
+# short parts between bars; notices that stand on many pages. (The possessive signs change no
+# match; without them a line of thousands of bars would exhaust the matcher's stack.)
 PUNCTUATION_PERCENT = 30
-MENU = r"^[^|>»·•]{0,30}([|>»·•][^|>»·•]{0,30}){2,}$"
+MENU = r"^[^|>»·•]{0,30}+(?:[|>»·•][^|>»·•]{0,30}+){2,}+$"
 NOTICES = (
     r"(?i)\b(all rights reserved|released under the|licensed under|terms of (use|service)|privacy policy"
     r"|accept (all )?cookies|enable javascript|click here|sign up|log ?in|subscribe|share on)\b|©|lorem ipsum"

@@ -56,5 +56,10 @@ def test_a_document_that_loses_most_is_rejected(documents):
     assert got[3]["clean_text"] == PROSE
 
 
+def test_long_lines_of_marks(documents):
+    rows = [(1, "a | " * 50_000, "en"), (2, "| " * 50_000 + "x" * 100, "en"), (3, "#" * 200_000, "en")]
+    assert {r["doc_id"]: r["left_chars"] for r in quality.quality(documents(rows)).select("doc_id", "left_chars").collect()} == {1: 0, 2: 0, 3: 0}
+
+
 def test_empty_table(documents):
     assert quality.quality(documents([])).count() == 0
