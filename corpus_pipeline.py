@@ -71,7 +71,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scratch = Scratch(spark, "pipeline")
+    scratch, before = Scratch(spark, "pipeline"), None
     for name, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)
+        before = name
     return docs

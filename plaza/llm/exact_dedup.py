@@ -138,6 +138,7 @@ def exact_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     classes = scratch.write(
         equal.select(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "n").groupBy("text_sha256").agg(
             F.coalesce(one, F.min("keep_id")).alias("keep_id"), F.sum("n").alias("group_size")).filter("group_size > 1"), "classes")
+    scratch.drop("suspects")
     out = rows.select("doc_id", "text_sha256").join(classes, "text_sha256", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select(

@@ -38,7 +38,7 @@ from plaza.llm.grouping import components, forest, in_runs
 
 PLACES, BAND = 128, 4
 BLOCK = 2_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 # The rows of families as bits: at most this many / 8 bytes (32 MiB) go to every task.
 BITS, BITS_PER_BUCKET = 1 << 28, 32_768
 
@@ -181,6 +181,7 @@ def near_groups(docs: DataFrame, scratch: Scratch, size: int, percent: int) -> D
     whole = _perhaps_in(named, families.select(F.col("node").alias("doc_id"))).join(wanted, "doc_id")
     links = _in_blocks(whole, "root", "n").mapInPandas(_verified(size, percent), "a long, b long")
     groups = scratch.write(components(links, scratch, "links"), "groups")
+    scratch.drop("one-each", "members", "families")
 
     placed = classes.join(groups, classes["doc_id"] == groups["node"], "left").select(
         "whole", F.coalesce("root", "doc_id").alias("component_id"))

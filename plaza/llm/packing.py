@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from plaza.llm.common import Scratch, batches_of, named, pieces_of, unnamed, whole_text
@@ -35,8 +36,8 @@ LENGTH = 1024
 END = 2
 PIECES_PER_GROUP = 30_000
 GROUPS_PER_PASS = 32
-SLICE_CHARS = 6_000_000
-KNOWN_CHUNKS = 900_000
+SLICE_CHARS = 3_000_000
+KNOWN_CHUNKS = 400_000
 
 # The pre-tokenizer's pattern, and characters for which it needs no table
 # of a certain Unicode version.
@@ -45,8 +46,8 @@ PLAIN = r"[\x21-\x7e\xc0-ɏ]*"
 # Where white space meets white space (or the marker is in the text) a text is not split.
 UNEVEN = r"[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u2000-\u200b\u2028-\u202f\u205f\u3000\ufeff]"
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, grp long, sequence_id long, offset long, fill long"
+PIECE = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+PLACED = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, grp long, sequence_id long, offset long, fill long"
 
 
 class Encoder:
@@ -136,7 +137,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One per Python worker; what it knows is only kept to save time."""
+    """One per Python worker."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -144,7 +145,7 @@ def encoder(path: str) -> Encoder:
 
 def _tokenized(path: str, keep_ids: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoder(path)
+        own, key = encoder(path), TaskContext.get().partitionId() << 40
         for frame in batches_of(frames, "text", SLICE_CHARS):
             flat, at = own.encode(frame.text.tolist())
             out = []
@@ -154,14 +155,17 @@ def _tokenized(path: str, keep_ids: bool):
                 cuts = [0, *range(first, len(ids) + 1, LENGTH)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     raw = ids[a:b].tobytes()
-                    out.append((doc, k, a, b - a, zlib.crc32(raw), raw if keep_ids else None))
+                    out.append((key, doc, k, a, b - a, zlib.crc32(raw), raw if keep_ids else None))
+                    key += 1
             yield pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")])
+        own.known.clear()  # a worker that waits for other work holds nothing
 
     return run
 
 
 def pieces(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
-    """The pieces of every document, with their ids (little-endian unsigned 32 bit) if asked."""
+    """The pieces of every document, with their ids (little-endian unsigned 32 bit) if asked, and a
+    number of their own (write the pieces before it is used)."""
     texts = docs.select(named("doc_id"), whole_text().alias("text"))
     return texts.mapInPandas(_tokenized(path, keep_ids), PIECE).withColumn("doc_id", unnamed("doc_id"))
 
@@ -254,29 +258,33 @@ def _packed(frame: pd.DataFrame) -> pd.DataFrame:
             at += sizes[x]
         fill[items] = at
     frame["sequence_id"], frame["offset"], frame["fill"] = sequence * 4_000_000 + group, offset, fill
-    return frame[[c.split()[0] for c in PACKED.split(", ")]]
+    return frame[[c.split()[0] for c in PLACED.split(", ")]]
 
 
-def pack(cut: DataFrame, scratch: Scratch) -> DataFrame:
-    """``cut`` (written pieces) with ``sequence_id``, ``offset`` and the fill of the sequence."""
+def pack(cut: DataFrame, scratch: Scratch, keep_ids: bool = True) -> DataFrame:
+    """``cut`` (written pieces) with ``sequence_id``, ``offset`` and the fill of the sequence. Lengths are
+    packed; ids join at the end."""
+    ids = cut.select("key", "ids")
+    cut = cut.drop("ids")
     groups = pieces_of(cut.count(), PIECES_PER_GROUP, 1)
     if groups >= 2_000_000:
         raise ValueError("more groups than sequence numbers: raise PIECES_PER_GROUP")
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups))
-    packed = scratch.write(cut.withColumns({"grp": dealt, "doc_id": named("doc_id")}).groupBy("grp").applyInPandas(_packed, PACKED), "packed-0")
+    dealt = F.pmod(F.xxhash64("key"), F.lit(groups))
+    packed = scratch.write(cut.withColumns({"grp": dealt, "doc_id": named("doc_id")}).groupBy("grp").applyInPandas(_packed, PLACED), "packed-0")
     full, first, step = [packed.filter(F.col("fill") == LENGTH)], groups, 0
     while groups > 1:
         # The next pass numbers its groups after those of the passes before.
         groups, step = -(-groups // GROUPS_PER_PASS), step + 1
         under = packed.filter(F.col("fill") < LENGTH).drop("sequence_id", "offset", "fill")
         regrouped = F.lit(first) + F.pmod(F.col("grp"), F.lit(groups))
-        packed = scratch.write(under.withColumn("grp", regrouped).groupBy("grp").applyInPandas(_packed, PACKED), f"packed-{step}")
+        packed = scratch.write(under.withColumn("grp", regrouped).groupBy("grp").applyInPandas(_packed, PLACED), f"packed-{step}")
         full.append(packed.filter(F.col("fill") == LENGTH))
         first += groups
     out = packed.filter(F.col("fill") < LENGTH)
     for part in full:
         out = out.unionByName(part)
-    return out.drop("grp").withColumn("doc_id", unnamed("doc_id"))
+    out = out.drop("grp").withColumn("doc_id", unnamed("doc_id"))
+    return (out.join(ids, "key") if keep_ids else out).drop("key")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -287,4 +295,4 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, path: str, scratch: Scratch, keep_ids: bool = True) -> DataFrame:
-    return pack(scratch.write(pieces(docs, path, keep_ids), "pieces"), scratch)
+    return pack(scratch.write(pieces(docs, path, keep_ids), "pieces"), scratch, keep_ids)

@@ -36,12 +36,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from plaza.llm.common import batches_of, named, unnamed, whole_text
+from plaza.llm.common import batches_of, named, small_batches, unnamed, whole_text
 from plaza.llm.shingles import mixed, powers
 
 BLANK = "▁"
 UNKNOWN_COST = 10.0
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 3_000_000
 LONG_UNIT = 48
 UNITS_AT_ONCE = 50_000
 _BASE = 0xD1342543DE82EF95
@@ -332,4 +332,5 @@ def digest(docs: DataFrame, path: str, n: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(named("doc_id"), whole_text().alias("text"))

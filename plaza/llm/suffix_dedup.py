@@ -345,6 +345,7 @@ def without_repeats(docs: DataFrame, scratch: Scratch, keep_text: bool = True) -
     marks = scratch.write(
         bits.groupBy("slab").agg(F.collect_list(F.struct("owner", "bits")).alias("bits")).join(copies, "slab", "full"), "marks")
 
+    scratch.drop("bits")
     marked = slabs.drop("prints").join(marks.hint("merge"), "slab", "left")
     contexts = marked.mapInPandas(_contexts(owners), "owner int, slab long, n long, keys binary, docs binary, ids binary")
     found = scratch.write(contexts.groupBy("owner").applyInPandas(_owner, "slab long, ids binary, before binary, after binary"), "found")
