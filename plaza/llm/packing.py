@@ -5,8 +5,9 @@ length only where they are longer. The pieces are dealt into groups of bounded s
 In a group best-fit gives a first packing; then the emptiest underfull sequence is
 drained: its documents are moved into others, exchanged one for one, or two for one,
 whenever that fills the other sequence further (which increases the sum of squared
-fills), until it is empty or no exchange is left. Sequences that are still underfull
-meet in fewer, again bounded, groups for another pass.
+fills), until it is empty or no exchange is left. The emptiest sequences of each group that are still
+underfull, with at most half of its pieces, are dealt into groups of the same bound for another pass, as many as
+their pieces need; the others are done. So passes at least halve, whatever can be filled, and none adds a sequence.
 
 Contract
 - Null text counts as empty; an empty document is its end id alone. Every row is packed,
@@ -35,9 +36,9 @@ from plaza.llm.common import Scratch, batches_of, named, pieces_of, unnamed, who
 LENGTH = 1024
 END = 2
 PIECES_PER_GROUP = 30_000
-GROUPS_PER_PASS = 32
 SLICE_CHARS = 3_000_000
 KNOWN_CHUNKS = 400_000
+GROUP_NUMBERS = 1 << 40
 
 # The pre-tokenizer's pattern, and characters for which it needs no table
 # of a certain Unicode version.
@@ -47,7 +48,7 @@ PLAIN = r"[\x21-\x7e\xc0-ɏ]*"
 UNEVEN = r"[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u2000-\u200b\u2028-\u202f\u205f\u3000\ufeff]"
 
 PIECE = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-PLACED = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, grp long, sequence_id long, offset long, fill long"
+PLACED = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, grp long, sequence_id long, offset long, fill long, again boolean"
 
 
 class Encoder:
@@ -249,6 +250,10 @@ def local_search(bins: list[list[int]], sizes: np.ndarray, length: int = LENGTH)
 def _packed(frame: pd.DataFrame) -> pd.DataFrame:
     sizes = frame.length.to_numpy().astype(np.int64)
     bins = local_search(best_fit(sizes), sizes)
+    if "sequence_id" in frame:
+        before = list(frame.groupby("sequence_id").indices.values())
+        if len(bins) > len(before):
+            bins = local_search([b.tolist() for b in before], sizes)
     group = int(frame.grp.iloc[0])
     sequence, offset, fill = (np.zeros(len(frame), np.int64) for _ in range(3))
     for number, items in enumerate(bins):
@@ -257,7 +262,13 @@ def _packed(frame: pd.DataFrame) -> pd.DataFrame:
             sequence[x], offset[x] = number, at
             at += sizes[x]
         fill[items] = at
-    frame["sequence_id"], frame["offset"], frame["fill"] = sequence * 4_000_000 + group, offset, fill
+    again, left = np.zeros(len(frame), bool), len(frame) // 2
+    for items in sorted((b for b in bins if fill[b[0]] < LENGTH), key=lambda b: fill[b[0]]):
+        left -= len(items)
+        if left < 0:
+            break
+        again[items] = True
+    frame["sequence_id"], frame["offset"], frame["fill"], frame["again"] = sequence * GROUP_NUMBERS + group, offset, fill, again
     return frame[[c.split()[0] for c in PLACED.split(", ")]]
 
 
@@ -267,23 +278,21 @@ def pack(cut: DataFrame, scratch: Scratch, keep_ids: bool = True) -> DataFrame:
     ids = cut.select("key", "ids")
     cut = cut.drop("ids")
     groups = pieces_of(cut.count(), PIECES_PER_GROUP, 1)
-    if groups >= 2_000_000:
-        raise ValueError("more groups than sequence numbers: raise PIECES_PER_GROUP")
     dealt = F.pmod(F.xxhash64("key"), F.lit(groups))
     packed = scratch.write(cut.withColumns({"grp": dealt, "doc_id": named("doc_id")}).groupBy("grp").applyInPandas(_packed, PLACED), "packed-0")
-    full, first, step = [packed.filter(F.col("fill") == LENGTH)], groups, 0
+    done, first, step = [], groups, 0
     while groups > 1:
-        # The next pass numbers its groups after those of the passes before.
-        groups, step = -(-groups // GROUPS_PER_PASS), step + 1
-        under = packed.filter(F.col("fill") < LENGTH).drop("sequence_id", "offset", "fill")
-        regrouped = F.lit(first) + F.pmod(F.col("grp"), F.lit(groups))
+        done.append(packed.filter(~F.col("again")))
+        under = packed.filter("again").drop("offset", "fill", "again")
+        # The next pass numbers its groups after those of the passes before. Sequences stay together.
+        groups, step = pieces_of(under.count(), PIECES_PER_GROUP, 1), step + 1
+        regrouped = F.lit(first) + F.pmod(F.xxhash64("sequence_id", F.lit(step)), F.lit(groups))
         packed = scratch.write(under.withColumn("grp", regrouped).groupBy("grp").applyInPandas(_packed, PLACED), f"packed-{step}")
-        full.append(packed.filter(F.col("fill") == LENGTH))
         first += groups
-    out = packed.filter(F.col("fill") < LENGTH)
-    for part in full:
+    out = packed
+    for part in done:
         out = out.unionByName(part)
-    out = out.drop("grp").withColumn("doc_id", unnamed("doc_id"))
+    out = out.drop("grp", "again").withColumn("doc_id", unnamed("doc_id"))
     return (out.join(ids, "key") if keep_ids else out).drop("key")
 
 

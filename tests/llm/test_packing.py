@@ -56,6 +56,31 @@ def test_groups_meet_again(documents, scratch, monkeypatch):
     assert used <= bound + 2
 
 
+def test_groups_stay_bounded_where_nothing_fills(spark, scratch, monkeypatch):
+    most, inner = 20, packing._packed
+
+    def counted(frame):
+        out = inner(frame)
+        return out.assign(ids_crc32=len(frame))  # how many pieces met in the group
+
+    monkeypatch.setattr(packing, "PIECES_PER_GROUP", most)
+    monkeypatch.setattr(packing, "_packed", counted)
+    sizes = [600 + i * 7 % 400 for i in range(1200)]
+    cut = spark.createDataFrame([(i, i, 0, 0, n, 0, b"") for i, n in enumerate(sizes)], packing.PIECE)
+    got = packing.pack(cut, scratch, keep_ids=False).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(1200)) and len({r["sequence_id"] for r in got}) == 1200
+    assert max(r["ids_crc32"] for r in got) < 3 * most
+
+
+def test_a_pass_adds_no_sequence(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(packing, "best_fit", lambda sizes: [[i] for i in range(len(sizes))])
+    frame = pd.DataFrame({"key": range(4), "doc_id": range(4), "piece": 0, "start": 0, "length": [511, 512, 511, 512], "ids_crc32": 0, "grp": 5, "sequence_id": [8, 8, 9, 9]})
+    monkeypatch.setattr(packing, "local_search", lambda bins, sizes: bins)
+    assert packing._packed(frame).sequence_id.nunique() == 2
+
+
 def test_sequences_hold_the_ids_in_order(documents, scratch):
     rows = [(i, f"text number {i} " * (i + 1), "en") for i in range(30)]
     packed = packing.packed_documents(documents(rows), PATH, scratch)
