@@ -50,6 +50,47 @@ _BACK = pow(_BASE, -1, 1 << 64)
 ENCODED = "doc_id long, ids array<int>, best_score double, nbest_scores array<double>, nbest_ids array<array<int>>"
 
 
+class _Path:
+    """Pieces taken from the end of a unit: the last one's length, and the path before it.
+
+    Of two paths the one with the longer piece where they first differ is less. Each keeps a
+    second link further back, so that this place is found in steps of the logarithm of the length.
+    """
+
+    __slots__ = ("before", "far", "size", "length")
+
+    def __init__(self, before: _Path | None, length: int):
+        self.before, self.length = before, length
+        if before is None:
+            self.far, self.size = None, 0
+        else:
+            jump = before.far
+            even = jump is not None and jump.far is not None and before.size - jump.size == jump.size - jump.far.size
+            self.far, self.size = jump.far if even else before, before.size + 1
+
+    def _cut(self, size: int) -> _Path:
+        path = self
+        while path.size > size:
+            path = path.far if path.far.size >= size else path.before
+        return path
+
+    def __lt__(self, other: _Path) -> bool:
+        a, b = self._cut(other.size), other._cut(self.size)
+        if a is b:
+            return self.size < other.size
+        while a.before is not b.before:
+            a, b = (a.far, b.far) if a.far is not b.far else (a.before, b.before)
+        return a.length > b.length
+
+    def lengths(self) -> list[int]:
+        """From the start of the unit on."""
+        out, path = [], self
+        while path.before is not None:
+            out.append(path.length)
+            path = path.before
+        return out
+
+
 class Pieces:
     """The normal pieces of a model file with their scores, and its byte pieces."""
 
@@ -132,15 +173,15 @@ class Pieces:
         for end in range(1, len(unit) + 1):
             forward.append(max(forward[end - k] + s for k, _, s in self.edges(unit, end)))
         # What is done from the end, and the most that can still come before it.
-        heap: list[tuple] = [(-forward[-1], (), len(unit), 0.0)]
+        heap: list[tuple] = [(-forward[-1], _Path(None, 0), len(unit), 0.0)]
         out = []
         while heap and len(out) < n:
             _, taken, at, done = heapq.heappop(heap)
             if not at:
-                out.append((done, [-k for k in reversed(taken)]))
+                out.append((done, taken.lengths()))
                 continue
             for k, _, s in self.edges(unit, at):
-                heapq.heappush(heap, (-(done + s + forward[at - k]), (*taken, -k), at - k, done + s))
+                heapq.heappush(heap, (-(done + s + forward[at - k]), _Path(taken, k), at - k, done + s))
         return out
 
     def viterbi(self, units: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:

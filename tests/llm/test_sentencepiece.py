@@ -44,6 +44,28 @@ def test_a_star_meets_the_best_paths_in_order(model):
         assert len({tuple(p) for _, p in got}) == len(got)
 
 
+def test_paths_compare_as_tuples():
+    rng = random.Random(5)
+    made = [(spm._Path(None, 0), ())]
+    for _ in range(400):
+        path, taken = rng.choice(made[-20:])
+        k = rng.randint(1, 3)
+        if (*taken, -k) not in {t for _, t in made}:
+            made.append((spm._Path(path, k), (*taken, -k)))
+    for _ in range(5000):
+        (p, s), (q, t) = rng.choice(made), rng.choice(made)
+        assert p.lengths() == [-k for k in reversed(s)] and (p < q) == (s < t)
+
+
+@pytest.mark.parametrize("letters", ["ABCabcxyz0189+/", "x", "漢字仮名交"])
+def test_one_run_of_100_000_characters(model, letters):
+    rng = random.Random(6)
+    text = "".join(rng.choice(letters) for _ in range(100_000))
+    (ids, total, scores, more), = model.encode([text], 3)
+    assert model.decode(ids).decode() == text and scores[0] == total and scores == sorted(scores, reverse=True)
+    assert len(scores) <= 3 and all(model.decode(__import__("numpy").array(x)).decode() == text and x != ids.tolist() for x in more)
+
+
 def test_viterbi_and_gaps(model, monkeypatch):
     units = ["", "▁", *words(2, 80)]
     for long_unit in (48, 3):
