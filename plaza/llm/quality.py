@@ -29,9 +29,10 @@ LOST_PERCENT = 50
 # The characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 # Rules for lines. A line of symbols, brackets and digits rather than letters; a menu of
-# short parts between bars; notices that stand on many pages. (The possessive signs change no
+# short parts between bars; short lines with a notice that stands on many pages. (The possessive signs change no
 # match; without them a line of thousands of bars would exhaust the matcher's stack.)
 PUNCTUATION_PERCENT = 30
+NOTICE_CHARS = 150
 MENU = r"^[^|>»·•]{0,30}+(?:[|>»·•][^|>»·•]{0,30}+){2,}+$"
 NOTICES = (
     r"(?i)\b(all rights reserved|released under the|licensed under|terms of (use|service)|privacy policy"
@@ -81,7 +82,8 @@ def bad_line(line: Column) -> Column:
     solid = F.length(_solid(line))
     symbols = F.length(line) - F.length(_without(line, SYMBOLS + "{}[]=\\/_~^"))
     punctuation = (letters == 0) | (symbols * 100 > solid * PUNCTUATION_PERCENT)
-    return (solid > 0) & (punctuation | line.rlike(MENU) | line.rlike(NOTICES))
+    notice = (solid <= NOTICE_CHARS) & line.rlike(NOTICES)
+    return (solid > 0) & (punctuation | line.rlike(MENU) | notice)
 
 
 def quality(docs: DataFrame) -> DataFrame:

@@ -56,6 +56,12 @@ def test_a_document_that_loses_most_is_rejected(documents):
     assert got[3]["clean_text"] == PROSE
 
 
+def test_a_notice_in_a_long_line_takes_nothing(documents):
+    text = " ".join(f"word{i} of number{i}" for i in range(500)) + " click here or subscribe © 2024."
+    got = quality.quality(documents([(1, text, "en"), (2, PROSE + "\nClick here to log in", "en")])).orderBy("doc_id").collect()
+    assert got[0]["kept"] and got[0]["clean_text"] == text and got[1]["clean_text"] == PROSE
+
+
 def test_long_lines_of_marks(documents):
     rows = [(1, "a | " * 50_000, "en"), (2, "| " * 50_000 + "x" * 100, "en"), (3, "#" * 200_000, "en")]
     assert {r["doc_id"]: r["left_chars"] for r in quality.quality(documents(rows)).select("doc_id", "left_chars").collect()} == {1: 0, 2: 0, 3: 0}
