@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import chat, exact_dedup, html_text, langid, minhash, packing, pii, quality, sentencepiece, suffix_dedup
+from plaza.llm import chat, decontaminate, exact_dedup, html_text, langid, minhash, packing, pii, quality, sentencepiece, suffix_dedup
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,26 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), Scratch(spark, "op10"), size=3, percent=85)
+
+
+_WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+    items AS (SELECT item_id, ws, least(10, len(ws)) AS k FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+    windows AS (SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS w FROM (
+        SELECT item_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM items)),
+    places AS (SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w FROM (
+        SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM items))),
+    found AS (SELECT doc_id, k, i, item_id FROM places JOIN windows USING (k, w)),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+        FROM found GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op11"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
