@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import chat, decontaminate, exact_dedup, html_text, langid, minhash, packing, pii, quality, sentencepiece, suffix_dedup
+from plaza.llm import chat, chat_repair, decontaminate, exact_dedup, html_text, langid, minhash, packing, pii, quality, sentencepiece, suffix_dedup
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,75 @@ _WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDE
 def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op11"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+# After no turn, system, user, assistant: the state after a turn that may be chosen, and what it is called.
+_CHOSEN, _CALLED = [2, 2, 3, 2], {2: "user:", 3: "assistant:"}
+
+
+def _repair_moves() -> str:
+    """Zero to two insertions and then an edit of a row: state, initial of the row, edits, cost, inserted text, role put in, state after."""
+    out = []
+    for state in range(4):
+        at, edits, text = state, "", ""
+        for _ in range(3):
+            out.append((state, None, edits + "D", 2 * len(edits) + 3, text, None, at))
+            out.append((state, None, edits + "R", 2 * len(edits) + 2, text, _CALLED[_CHOSEN[at]], _CHOSEN[at]))
+            for initial, after in {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[at].items():
+                out.append((state, initial, edits + "K", 2 * len(edits), text, None, after))
+            at, edits = _CHOSEN[at], edits + "I"
+            text += f"|{_CALLED[at]}"
+    say = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+    return ", ".join(f"({', '.join(map(say, m))})" for m in out)
+
+
+@query(f"""
+    WITH RECURSIVE crc AS (
+        SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+    said AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    ways AS (
+        SELECT conv_id, turn, role, text, xor(list_reduce(
+            list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS way FROM said, crc),
+    dealt AS (
+        SELECT conv_id, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+            CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE way WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM ways),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+            regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS mark FROM dealt),
+    faulty AS (
+        SELECT conv_id, turn, role, text, pos, left(role, 1) AS ini, count(*) OVER (PARTITION BY conv_id) AS n,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+            CASE WHEN mark = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                WHEN mark NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault FROM placed),
+    moves(state, ini, edits, cost, put, called, after) AS (VALUES {_repair_moves()}),
+    ways_on AS (
+        SELECT f.conv_id, f.pos, f.n, m.state, m.after, m.edits, m.cost + CASE WHEN fault = 'truncated' AND m.edits NOT LIKE '%D' THEN 1 ELSE 0 END AS cost,
+            m.put || CASE WHEN m.edits LIKE '%D' THEN '' ELSE '|' || coalesce(m.called, f.role || ':') || replace(f.text, '|', chr(1)) END AS put
+        FROM faulty f JOIN moves m ON (m.ini IS NULL OR m.ini = f.ini) AND (m.edits LIKE '%D' OR f.fault IN ('none', 'truncated'))),
+    best AS (
+        SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, n, 0 AS state, {{'cost': 0, 'audit': '', 'put': ''}} AS way FROM faulty
+        UNION ALL
+        SELECT b.conv_id, w.pos, w.n, w.after, min({{'cost': b.way.cost + w.cost, 'audit': b.way.audit || w.edits, 'put': b.way.put || w.put}})
+        FROM best b JOIN ways_on w ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND w.pos = b.pos + 1 AND w.state = b.state
+        GROUP BY b.conv_id, w.pos, w.n, w.after),
+    ended AS (
+        SELECT conv_id, min({{'cost': way.cost + missing.cost, 'audit': way.audit || missing.edits, 'put': way.put || missing.put}}) AS way
+        FROM best JOIN (VALUES (0, 0, '', ''), (1, 4, 'II', '|user:|assistant:'), (2, 2, 'I', '|assistant:'), (3, 0, '', '')) AS missing(state, cost, edits, put)
+            USING (state) WHERE pos = n GROUP BY conv_id),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+            count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+            count(*) FILTER (before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0) AS cost, coalesce(way.audit, '') AS audit,
+        sha256(coalesce(replace(replace(way.put[2:], '|', chr(10)), chr(1), '|'), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM c.conv_id
+""")
+def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return chat_repair.repairs(chat_repair.damaged(conversations), conversations, Scratch(spark, "op12"))
