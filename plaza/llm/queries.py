@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plaza.llm import chat, chat_repair, decontaminate, exact_dedup, html_text, langid, minhash, packing, pii, quality, sentencepiece, suffix_dedup
+from plaza.llm import chat, chat_repair, decontaminate, exact_dedup, html_text, langid, minhash, packing, phrases, pii, quality, sentencepiece, suffix_dedup
 from plaza.llm.common import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,31 @@ def _repair_moves() -> str:
 def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return chat_repair.repairs(chat_repair.damaged(conversations), conversations, Scratch(spark, "op12"))
+
+
+@query("""
+    WITH pieces AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+    f AS (
+        SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS lengths(m)) GROUP BY ALL),
+    totals AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+    candidates AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE m > 1 AND f >= 10),
+    cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS front, array_to_string(ws[k + 1:], ' ') AS back
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+    scored AS (
+        SELECT c.lang, c.phrase, a, k, p.f AS l, q.f AS r, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+        FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = front JOIN f q ON q.lang = c.lang AND q.phrase = back),
+    best AS (SELECT lang, phrase, a, min({'score': score, 'k': k, 'l': l, 'r': r}) AS way FROM scored GROUP BY ALL),
+    covered AS (
+        SELECT lang, phrase, max(a) AS longer FROM (
+            SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM candidates WHERE m = 3) GROUP BY ALL)
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY way.score DESC, a DESC, phrase) AS rank, phrase, a, way.l AS l, way.r AS r, way.score AS score
+        FROM best LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a) JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op13_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"), Scratch(spark, "op13"))
