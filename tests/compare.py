@@ -31,6 +31,10 @@ def plain(value):
         return value
     if isinstance(value, float):
         return None if math.isnan(value) else round(value, 6) + 0.0
+    if isinstance(value, (list, tuple)):  # arrays and structs
+        return tuple(map(plain, value))
+    if isinstance(value, dict):
+        return tuple(sorted(((plain(k), plain(v)) for k, v in value.items()), key=str))
     return value
 
 
