@@ -599,20 +599,35 @@ FROM {SUMMARY} LEFT JOIN (
       SELECT subreddit, topic_index, 'o' AS side, unnest({metric_tokens('text')}) AS token FROM topic_posts_v
       UNION ALL SELECT subreddit, topic_index, 's', unnest({metric_tokens('summary')}) FROM {SUMMARY}) GROUP BY ALL) GROUP BY 1, 2) USING (subreddit, topic_index)""")
 
-# The run: one topic per (user, community), summaries weighed over all of them.
-CTES["run_rows_v"] = f"SELECT k.user_id, k.subreddit, k.position, c.text, c.post_id FROM {P100} k JOIN clean_posts_v c USING (post_id)"
-RUN_SUMMARY = summary_blocks("run", "run_rows_v", "user_id, subreddit", "position")
-RUN_TITLE = title_blocks("run", RUN_SUMMARY, "user_id, subreddit")
+# The run: topics per list of posts, summaries weighed over all lists; users who picked the same posts have the same list.
+def picked_lists(name: str, picks: str) -> None:
+    CTES[f"{name}_lists_v"] = f"""
+SELECT user_id, subreddit, count(*) AS n, subreddit || '/' || string_agg(post_id, ',' ORDER BY position) AS pick FROM {picks} GROUP BY 1, 2"""
+
+
+picked_lists("run", P100)
+CTES["run_rows_v"] = f"""
+SELECT DISTINCT r.pick, k.position, c.text, c.post_id
+FROM {P100} k JOIN run_lists_v r USING (user_id, subreddit) JOIN clean_posts_v c USING (post_id)"""
+RUN_SUMMARY = summary_blocks("run", "run_rows_v", "pick", "position")
+RUN_TITLE = title_blocks("run", RUN_SUMMARY, "pick")
 CTES["run_bullets_v"] = f"""
-SELECT user_id, subreddit, array_to_string(list_transform(
+SELECT pick, array_to_string(list_transform(
     {bullets_of('l')},
     lambda b: array_to_string({words('b')}[1:30], ' ')), '|') AS bullets
-FROM (SELECT user_id, subreddit, {bullet_list('summary')} AS l FROM {RUN_SUMMARY})"""
+FROM (SELECT pick, {bullet_list('summary')} AS l FROM {RUN_SUMMARY})"""
 oracle("run_payload", f"""
 SELECT b.user_id, 'reddit:subreddit_analysis' AS source, 100 AS top_n_total, b.subreddit, b.allocated, coalesce(p.n, 0) AS post_count,
-  CASE WHEN p.n > 0 THEN 1 ELSE 0 END AS n_topics, t.title, u.bullets, round(p.s, 6) AS avg_score
+  CASE WHEN p.n > 0 THEN 1 ELSE 0 END AS n_topics, CASE WHEN p.n > 0 THEN 0 END AS topic_index, t.title, u.bullets,
+  coalesce(p.n, 0) AS n_placed, round(p.s, 6) AS avg_score
 FROM {B100} b LEFT JOIN (SELECT k.user_id, k.subreddit, count(*) AS n, avg(v.score) AS s FROM {P100} k JOIN posts_v v USING (post_id) GROUP BY 1, 2) p USING (user_id, subreddit)
-LEFT JOIN {RUN_TITLE} t USING (user_id, subreddit) LEFT JOIN run_bullets_v u USING (user_id, subreddit)""")
+LEFT JOIN run_lists_v r USING (user_id, subreddit) LEFT JOIN {RUN_TITLE} t USING (pick) LEFT JOIN run_bullets_v u USING (pick)""")
+_PLANNED = f"CASE WHEN n <= {topics.SINGLE_TOPIC_LIMIT} THEN 1 WHEN n <= 40 THEN 3 WHEN n <= 80 THEN 4 ELSE least(6, greatest(4, n // 20)) END"
+oracle("run_payload_clustered", f"""
+SELECT user_id, subreddit, allocated, coalesce(n, 0) AS post_count, CASE WHEN n > 0 THEN {_PLANNED} ELSE 0 END AS n_topics,
+  CASE WHEN n > 0 THEN unnest(range(CASE WHEN n > 0 THEN {_PLANNED} ELSE 1 END)) END AS topic_index, n AS n_placed,
+  CASE WHEN n > 0 THEN true END AS complete, round(s, 6) AS avg_score
+FROM {budget(700)} b LEFT JOIN (SELECT k.user_id, k.subreddit, count(*) AS n, avg(v.score) AS s FROM {picks(700)} k JOIN posts_v v USING (post_id) GROUP BY 1, 2) p USING (user_id, subreddit)""")
 oracle("topic_polarity", "SELECT DISTINCT subreddit, topic_index, true AS scored FROM topic_posts_v")
 oracle("community_errors", """
 SELECT subreddit, CASE WHEN score >= 300 THEN 'score out of range' WHEN num_comments = 0 THEN 'no comments' END AS error, count(*) AS n_posts FROM posts_v GROUP BY ALL""")

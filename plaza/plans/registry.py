@@ -824,18 +824,40 @@ def topic_polarity(spark, root):
     return made.select(*TOPIC, (label.isin(polarity.POSITIVE, polarity.NEGATIVE) & score.between(0.5, 1.0)).alias("scored"))
 
 
-@query
-def run_payload(spark, root):
+def run_topics(spark, root, n: int) -> DataFrame:
+    """Every topic of every (user, community) of a run with a budget of ``n``; communities without posts have one row."""
     posts = materialize(views.posts(spark, root), "posts")
-    s = run.RunSettings(views.AS_OF, views.RUN_TS)
+    s = run.RunSettings(views.AS_OF, views.RUN_TS, n)
     made = run.run_analysis(posts, views.users(spark, root), views.live_runs(spark, root),
                             views.vectors(spark, root).select("post_id", "embedding"), s)
     flat = made["payload"].select("user_id", "source", "top_n_total", "allocations", F.explode("subreddits").alias("subreddit", "result"))
-    topic = F.get("result.topics", F.lit(0))
     return flat.select(
-        "user_id", "source", "top_n_total", "subreddit", F.element_at("allocations", F.col("subreddit")).alias("allocated"), "result.post_count",
-        F.coalesce(F.size("result.topics"), F.lit(0)).alias("n_topics"), topic["title"].alias("title"), listed(topic["bullets"]).alias("bullets"),
-        fixed("result.eda.avg_score").alias("avg_score"))
+        "user_id", "source", "top_n_total", "subreddit", F.element_at("allocations", F.col("subreddit")).alias("allocated"), "result",
+        F.explode_outer("result.topics").alias("topic"))
+
+
+@query
+def run_payload(spark, root):
+    topic = F.col("topic")
+    return run_topics(spark, root, 100).select(
+        "user_id", "source", "top_n_total", "subreddit", "allocated", "result.post_count",
+        F.coalesce(F.size("result.topics"), F.lit(0)).alias("n_topics"), topic["topic_index"].alias("topic_index"),
+        topic["title"].alias("title"), listed(topic["bullets"]).alias("bullets"),
+        F.coalesce(F.size(topic["post_indices"]), F.lit(0)).alias("n_placed"), fixed("result.eda.avg_score").alias("avg_score"))
+
+
+@query
+def run_payload_clustered(spark, root):
+    """A budget large enough to be clustered. Which topic a post falls into no other engine can tell, but how many
+    topics there are, that every post is in one of them, and what each topic comes with."""
+    topic = F.col("topic")
+    placed = F.flatten(F.transform("result.topics", lambda t: t["post_indices"]))
+    complete = (F.length(topic["title"]) > 0) & F.size(topic["sample_posts"]).between(1, 3) & (
+        topic["metrics"]["summary_length"] > 0)
+    return run_topics(spark, root, 700).select(
+        "user_id", "subreddit", "allocated", "result.post_count", F.coalesce(F.size("result.topics"), F.lit(0)).alias("n_topics"),
+        topic["topic_index"].alias("topic_index"), F.size(F.array_distinct(placed)).cast("long").alias("n_placed"),
+        complete.alias("complete"), fixed("result.eda.avg_score").alias("avg_score"))
 
 
 @query

@@ -15,7 +15,8 @@ from plaza.session import materialize
 from plaza.sources import readers, writers
 
 GROUP = ["user_id", "subreddit"]
-TOPIC = [*GROUP, "topic_index"]
+LIST = ["list_id"]
+TOPIC = [*LIST, "topic_index"]
 
 
 @dataclass(frozen=True)
@@ -38,21 +39,38 @@ def budgets(posts: DataFrame, users: DataFrame, runs: DataFrame, s: RunSettings)
     return selection.last_high_water_mark(split, runs, s.platform)
 
 
-def selected_texts(posts: DataFrame, picked: DataFrame) -> DataFrame:
-    """The picked posts with their readable text. Picks come from two short lists
+def pick_lists(picked: DataFrame, threshold: int = topics.SINGLE_TOPIC_LIMIT) -> DataFrame:
+    """``user_id, subreddit, list_id, post_count, post_ids``: what each user picked in each community, named by its
+    content: community, way of finding topics, and posts in order. A list has at most as many posts as
+    the user's budget for the community."""
+    listed = picked.groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("post_count"),
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "post_id"))), lambda e: e["post_id"]).alias("post_ids"))
+    content = F.concat_ws("\x1f", "subreddit", topics.topic_mode(F.col("post_count"), threshold), F.array_join("post_ids", "\x1f"))
+    return listed.select(*GROUP, F.sha2(content, 256).alias("list_id"), "post_count", "post_ids")
+
+
+def list_posts(lists: DataFrame) -> DataFrame:
+    """``list_id, subreddit, position, post_id`` of each list once, however many users have it."""
+    once = lists.groupBy(*LIST).agg(F.first("subreddit").alias("subreddit"), F.first("post_ids").alias("post_ids"))
+    return once.select(*LIST, "subreddit", F.posexplode("post_ids").alias("position", "post_id"))
+
+
+def selected_texts(posts: DataFrame, listed: DataFrame) -> DataFrame:
+    """The posts of the lists with their readable text. Picks come from two short lists
     per community, so the text of most posts need not be cleaned. What is
     cleaned is written before the join: in one generated stage with it, the
-    text would be worked out again for every user who picked the post."""
+    text would be worked out again for every list that has the post."""
     content = tx.post_content(F.col("content"), F.col("title"), F.col("selftext"))
-    wanted = posts.join(picked.select("post_id").distinct(), "post_id", "left_semi")
+    wanted = posts.join(listed.select("post_id").distinct(), "post_id", "left_semi")
     body = materialize(wanted.select("post_id", tx.clean_text(content).alias("text"), "score", "num_comments"), "picked-texts")
-    return picked.join(body, "post_id")
+    return listed.join(body, "post_id")
 
 
 def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> DataFrame:
     """Summary, title, bullets, keywords, samples, metrics and polarity per topic.
 
-    ``texts``: ``user_id, subreddit, topic_index, mode, position, text``. Small
+    ``texts``: ``list_id, topic_index, mode, position, text``. Small
     groups keep repeated posts, clustered ones count each text once.
     """
     single, clustered = texts.filter("mode = 'single'"), texts.filter("mode = 'cluster'")
@@ -92,29 +110,36 @@ def run_analysis(
 ) -> dict[str, DataFrame]:
     """All result tables of one run. ``vectors``: ``post_id, embedding``. Posts that break one of ``rules``
     stay out and are counted per community and reason in ``errors``. Without a ``model`` the
-    polarity is null."""
+    polarity is null.
+
+    Users who picked the same posts of a community share one list (``lists``), and ``products`` has the topics
+    of every distinct list once: the work follows lists, not users. Word rarities are counted over the lists."""
     posts, errors = results.community_errors(posts, rules or {})
     split = materialize(budgets(posts, users, runs, s), "budgets")
     picked = materialize(selection.select_posts(posts, split), "picked")
-    texts = materialize(selected_texts(posts, picked), "texts")
-    placed = topics.assign_topics(texts, vectors, [*GROUP], threshold=s.threshold)
-    placed = materialize(texts.join(placed, [*GROUP, "post_id"]), "placed")
-    made = topic_products(placed, model)
-    members = placed.groupBy(*TOPIC).agg(F.array_sort(F.collect_list("position")).alias("post_indices"))
     source = selection.source_of(F.col("subreddit"), s.platform).alias("source")
-    full = materialize(made.join(members, TOPIC).select("*", source), "topics")
+    lists = materialize(pick_lists(picked, s.threshold).select("*", source), "lists")
+
+    # Topics and products belong to lists; users come in at the end.
+    texts = materialize(selected_texts(posts, list_posts(lists)), "texts")
+    placed = materialize(texts.join(topics.assign_topics(texts, vectors, LIST, threshold=s.threshold), [*LIST, "post_id"]), "placed")
+    members = placed.groupBy(*TOPIC).agg(F.array_sort(F.collect_list("position")).alias("post_indices"))  # positions of one list
+    full = materialize(topic_products(placed, model).join(members, TOPIC), "topics")
 
-    listed = picked.select("*", source)
-    community = results.community_payload(full.select("user_id", "source", topic_struct()), listed, s.run_ts)
+    owners = lists.select("user_id", "source", "subreddit", *LIST)
+    community = results.community_payload(lists, full.select(*LIST, topic_struct()), s.run_ts)
     outputs = results.output_rows(community.select(
         "user_id", "source", F.struct("user_id", "source", "created_at", "post_count", "result_topics", "post_ids").alias("payload")), s.run_ts)
-    stored = results.topic_rows(full, s.run_ts)
-    mapping = results.posts_to_topic_ids(placed.select("user_id", source, "topic_index", "post_id"), stored)
-    per_group = split.select(*GROUP, "allocated").join(eda.subreddit_eda(texts, GROUP), GROUP, "left").join(
-        full.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct(
-            "topic_index", "title", "bullets", "sample_posts",
-            F.struct("compression_ratio", "lexical_overlap", "summary_length").alias("metrics")))).alias("topics")), GROUP, "left").join(
-        outputs.join(full.select("source", "subreddit").distinct(), "source").select(*GROUP, "output_id"), GROUP, "left").join(
+    stored = results.topic_rows(owners.join(full.select(*TOPIC, "title", "summary", "sample_posts"), LIST), s.run_ts)
+    mapping = results.posts_to_topic_ids(
+        owners.join(placed.select(*TOPIC, "post_id"), LIST).select("user_id", "source", "topic_index", "post_id"), stored)
+    short = full.groupBy(*LIST).agg(F.array_sort(F.collect_list(F.struct(
+        "topic_index", "title", "bullets", "sample_posts",
+        F.struct("compression_ratio", "lexical_overlap", "summary_length").alias("metrics"), "post_indices"))).alias("topics"))
+    of_list = eda.subreddit_eda(texts, LIST).join(short, LIST)
+    per_group = split.select(*GROUP, "allocated", source).join(
+        lists.select(*GROUP, *LIST).join(of_list, LIST), GROUP, "left").join(
+        outputs.select("user_id", "source", "output_id"), ["user_id", "source"], "left").join(
         errors.groupBy("subreddit").agg(F.array_sort(F.collect_list("error")).alias("errors")), "subreddit", "left")
     result = F.struct(
         F.coalesce("post_count", F.lit(0)).alias("post_count"), "allocated", "output_id", "topics", "errors",
@@ -128,7 +153,7 @@ def run_analysis(
         "user_id", "source", F.struct("user_id", "source", "timestamp", "top_n_total", "allocations", "subreddits").alias("payload")), s.run_ts)
     whole_counts = combined.select("user_id", "source").join(totals.select("user_id", "post_count"), "user_id")
     return {
-        "budgets": split, "picked": picked, "topics": stored, "mapping": mapping,
+        "budgets": split, "picked": picked, "lists": lists, "topics": stored, "mapping": mapping,
         "outputs": outputs.unionByName(whole),
         "runs": results.run_rows(outputs, counts).unionByName(results.run_rows(whole, whole_counts)),
         "payload": combined, "totals": totals, "products": full, "errors": errors,
