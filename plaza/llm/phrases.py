@@ -38,7 +38,7 @@ from plaza.operators.ranking import positions
 SLICE, CHUNK = 1 << 20, 1 << 20  # bytes of a text and words at a time
 HELD = 1 << 19  # different words counted before they are sent on
 KEYS, KEYS_PER_OWNER = 1 << 22, 1 << 21
-PART_WORDS, PART = 1 << 20, 1 << 21
+PART_WORDS, PART = 1 << 19, 1 << 20
 WORD_BITS, DIGIT = 31, 11
 SALTS = 64
 
@@ -154,6 +154,16 @@ def _numbered(shared):
     return number
 
 
+def _runs(words: DataFrame) -> list[tuple[str, int, bytes]]:
+    """Language, first number and words of each language. Numbers go up by language."""
+    got = words.select("lang", "word", "gid").toArrow().sort_by("gid")
+    lang = got["lang"].combine_chunks().dictionary_encode()
+    codes = lang.indices.to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)] if len(codes) else []
+    word, gid = got["word"], got["gid"]
+    return [(lang[lo].as_py(), gid[lo].as_py(), " ".join(word.slice(lo, hi - lo).to_pylist()).encode()) for lo, hi in zip(cuts, cuts[1:])]
+
+
 def _chunks(texts: DataFrame, words: DataFrame, scratch: Scratch) -> DataFrame:
     """``n, codes``: the texts as numbers of the frequent ``words`` (lang, word, gid)."""
     context = texts.sparkSession.sparkContext
@@ -165,9 +175,7 @@ def _chunks(texts: DataFrame, words: DataFrame, scratch: Scratch) -> DataFrame:
     for part in range(parts):
         # At most PART_WORDS words.
         found = words.filter((F.col("gid") > part * PART_WORDS) & (F.col("gid") <= (part + 1) * PART_WORDS))
-        got = found.select("lang", "word", "gid").toArrow().sort_by("gid").to_pandas()
-        runs = [(lang, int(run.gid.iloc[0]), " ".join(run.word).encode()) for lang, run in got.groupby("lang", sort=False)]
-        shared = context.broadcast({"name": f"{scratch.root}-{part}", "words": runs})
+        shared = context.broadcast({"name": f"{scratch.root}-{part}", "words": _runs(found)})
         if part < parts - 1:
             rows = scratch.write(rows.mapInPandas(_numbered(shared), "lang string, text binary, ids binary"), f"numbered-{part}")
         else:
