@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from plaza.functions import text as tx, vectors as vec
 from plaza.functions.arrays import unnest
-from plaza.operators import eda
+from plaza.operators import clustering, eda
 from plaza.operators.keys import top_per_key
 from plaza.operators.ranking import positions
 from plaza.session import materialize
@@ -26,9 +22,6 @@ TOPIC_TEXT_CHARS = 3500
 SAMPLE_POSTS = 3
 TEXT_DIMS = 64
 
-# Seeding: rounds, rows drawn per round and topic on average, tries at reducing them.
-SEED_ROUNDS, DRAWN, SEED_ATTEMPTS = 4, 2, 8
-
 
 def num_topics(n: Column) -> Column:
     tiers = F.least(F.lit(TOPICS_MAX), F.greatest(F.lit(TOPICS_MIN), F.floor(n / POSTS_PER_TOPIC).cast("int")))
@@ -87,114 +80,23 @@ def assign_nearest_centroid(vectors: DataFrame, centroids: DataFrame, by: Sequen
     return paired.withColumn("topic_index", F.array_min(ranked)["t"]).drop("_centroids")
 
 
-def _seeds(data: DataFrame, by: list[str], id: str, seed: int) -> DataFrame:
-    """k-means|| for all groups at once: starting from one row per group, a few rounds each draw
-    rows with a probability that follows their squared distance from the seeds so far
-    (DRAWN times k per group and round on average). The drawn rows, weighted by the rows
-    nearest to them, are then reduced to k by the weighted farthest-likely rule.
-    Every row of a group can be drawn, whatever the group's size.
-    """
-    number = lambda salt: (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col(id)), F.lit(1 << 53)) + 1) / float(1 << 53)
-    first = top_per_key(data.withColumn("_lot", number("first")), by, ["_lot", id])
-    seeds = first.select(*by, F.lit(0).alias("topic_index"), F.col("embedding").alias("centroid"))
-    for step in range(SEED_ROUNDS):
-        gaps = nearest(data, seeds, by)
-        cost = gaps.groupBy(*by).agg(F.sum("_gap").alias("_cost"))
-        chance = F.lit(float(DRAWN)) * F.col("k") * F.try_divide(F.col("_gap"), F.col("_cost"))
-        drawn = gaps.join(cost, by).filter(F.coalesce(chance, F.lit(0.0)) > number(step)).select(*by, "embedding").distinct()
-        numbered = seeds.select(*by, F.col("centroid").alias("embedding")).unionByName(drawn).distinct()
-        at = Window.partitionBy(*by).orderBy("embedding")
-        seeds = materialize(numbered.select(*by, (F.row_number().over(at) - 1).alias("topic_index"), F.col("embedding").alias("centroid")), "kmeans-seeds")
-    weighed = nearest(data, seeds, by).groupBy(*by, "topic_index").agg(F.count(F.lit(1)).alias("weight"), F.first("k").alias("k"))
-    fields = [*[data.schema[c] for c in by], T.StructField("topic_index", T.IntegerType()), T.StructField("centroid", T.ArrayType(T.DoubleType()))]
-    return seeds.join(weighed, [*by, "topic_index"]).groupBy(*by).applyInPandas(_reduced(by, seed), T.StructType(fields))
-
-
-def _reduced(by: Sequence[str], seed: int):
-    """k-means++ with a few Lloyd steps over a group's weighted seeds (a few times k rows)."""
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("topic_index")
-        points, weight, k = np.stack(pdf["centroid"].to_numpy()).astype(float), pdf["weight"].to_numpy().astype(float), int(pdf["k"].iloc[0])
-        best, least = None, np.inf
-        for attempt in range(SEED_ATTEMPTS):
-            rng = np.random.default_rng([seed, attempt])
-            chosen = [int(rng.choice(len(points), p=weight / weight.sum()))]
-            gap = ((points - points[chosen[0]]) ** 2).sum(axis=1)
-            while len(chosen) < k and (weight * gap).sum() > 0:
-                chosen.append(int(rng.choice(len(points), p=weight * gap / (weight * gap).sum())))
-                gap = np.minimum(gap, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
-            places = points[chosen]
-            for _ in range(SEED_ATTEMPTS):
-                gaps = ((points[:, None, :] - places[None]) ** 2).sum(axis=2)
-                own = gaps.argmin(axis=1)
-                places = np.stack([np.average(points[own == t], axis=0, weights=weight[own == t]) if (own == t).any() else places[t] for t in range(len(places))])
-            cost = (weight * ((points[:, None, :] - places[None]) ** 2).sum(axis=2).min(axis=1)).sum()
-            if cost < least:
-                best, least = places, cost
-        head = pdf.iloc[[0] * len(best)][list(by)].reset_index(drop=True)
-        return head.assign(topic_index=range(len(best)), centroid=list(best))
-
-    return choose
-
-
-def nearest(vectors: DataFrame, centroids: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``topic_index`` of the nearest centroid of the group and the squared distance ``_gap`` to it.
-    A group's centroids are one array; they reach the rows by a join, and whole Arrow
-    batches are compared at once."""
-    listed = F.array_sort(F.collect_list(F.struct("topic_index", "centroid")))
-    flat = centroids.groupBy(*by).agg(listed.alias("_l")).select(
-        *by, F.transform("_l", lambda e: e["topic_index"]).alias("_labels"), F.flatten(F.transform("_l", lambda e: e["centroid"])).alias("_places"))
-    paired = vectors.drop("topic_index", "_gap").join(flat, list(by))
-    found = paired.withColumn("_n", _compare("embedding", "_labels", "_places"))
-    return found.select(*[c for c in vectors.columns if c not in ("topic_index", "_gap")], F.col("_n.topic_index").alias("topic_index"), F.col("_n.gap").alias("_gap"))
-
-
-@F.pandas_udf(T.StructType([T.StructField("topic_index", T.IntegerType()), T.StructField("gap", T.DoubleType())]))
-def _compare(points: pd.Series, labels: pd.Series, places: pd.Series) -> pd.DataFrame:
-    topic, gap = np.zeros(len(points), dtype=np.int32), np.zeros(len(points))
-    if len(points):
-        rows = np.stack(points.to_numpy()).astype(float)
-        # Rows of a group carry the same centroids; equal ones are compared together.
-        for key, at in pd.Series([p.tobytes() for p in places]).to_frame("p").groupby("p").indices.items():
-            table = np.frombuffer(key).reshape(-1, rows.shape[1])
-            gaps = np.stack([((rows[at] - c) ** 2).sum(axis=1) for c in table])
-            own = gaps.argmin(axis=0)
-            topic[at], gap[at] = np.asarray(labels.iloc[at[0]])[own], gaps[own, np.arange(len(at))]
-    return pd.DataFrame({"topic_index": topic, "gap": gap})
-
-
 def kmeans_topics(
     vectors: DataFrame, by: Sequence[str], id: str = "post_id", vector: str = "embedding",
-    threshold: int = SINGLE_TOPIC_LIMIT, max_iter: int = 20, tol: float = 1e-4, seed: int = 42,
+    threshold: int = SINGLE_TOPIC_LIMIT, max_iter: int = 20, seed: int = 42,
 ) -> DataFrame:
     """Cluster every group with more than ``threshold`` rows, all at once.
 
-    One fit per community would be a driver loop over communities. Here each
-    Lloyd step is one job for all groups: the nearest centroid of every row,
-    then a partial-aggregated mean per (group, topic), so neither many
-    communities nor one huge community is a bottleneck. The first centroids are
-    drawn from all rows (see ``_seeds``). Returns ``by..., id, topic_index``; topics that win no
-    row do not appear.
+    One fit per community would be a driver loop over communities. Here groups are blocks of rows (see
+    ``clustering``): small ones are clustered in one pass, blocks of large ones make the first centroids, and up to
+    ``max_iter`` Lloyd steps over all of them follow, so neither many communities nor one huge one is a bottleneck. Every
+    row counts, whatever the group's size. ``id`` has to be unique within a group. Returns ``by..., id, topic_index``; topics
+    that win no row do not appear.
     """
     by = list(by)
     slim = vectors.select(*by, id, F.col(vector).cast("array<double>").alias("embedding"))
-    plan = topic_plan(slim, by, threshold).filter("mode = 'cluster'").select(*by, F.col("num_topics").alias("k"))
-    data = materialize(slim.join(plan, by), "kmeans-input")
-    if data.isEmpty():  # no group is large enough
-        return data.select(*by, id, F.lit(0).alias("topic_index"))
-    centroids = materialize(_seeds(data, by, id, seed), "kmeans-centroids")
-    for _ in range(max_iter):
-        means = nearest(data, centroids, by).groupBy(*by, "topic_index").agg(
-            vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("mean"))
-        moved = centroids.join(means, [*by, "topic_index"], "left")
-        shift = F.coalesce(vec.squared_distance(F.col("centroid"), F.col("mean")), F.lit(0.0))
-        moved = materialize(moved.select(*by, "topic_index", F.coalesce("mean", "centroid").alias("centroid"),
-                                         shift.alias("shift")), "kmeans-centroids")
-        largest = moved.agg(F.max("shift")).first()[0]
-        centroids = moved.drop("shift")
-        if largest is None or largest <= tol * tol:
-            break
-    return nearest(data, centroids, by).select(*by, id, "topic_index")
+    plan = topic_plan(slim, by, threshold).filter("mode = 'cluster'").select(
+        *by, F.col("num_topics").alias("k"), clustering.block_count(F.col("n_posts")).alias("blocks"))
+    return clustering.kmeans(slim.join(plan, by), by, id, "embedding", max_iter, seed)
 
 
 def assign_topics(

@@ -5,9 +5,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from plaza.operators import graph, products, similarity, topics
+from plaza.operators import clustering, graph, products, similarity, topics
 from plaza.plans import run
 from plaza.session import new_path
 
@@ -87,8 +90,6 @@ def squared_error(made, value):
 
 def test_small_clusters_are_seeded(spark):
     """One large and five small, far clusters: the error is within a tenth of MLlib's best of several starts."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
 
     rnd = np.random.default_rng(8)
     points = [rnd.normal(size=2) for _ in range(4000)]
@@ -253,3 +254,53 @@ def test_whole_run_with_clusters(spark):
                            rules={"no comments": F.col("num_comments") == 0})
     assert [tuple(r) for r in bad["errors"].collect()] == [("news", "no comments", 12)]
     assert bad["payload"].filter("user_id = 'u1'").first()["subreddits"]["news"]["errors"] == ["no comments"]
+
+
+@given(st.integers(0, 10**6), st.integers(2, 6), st.integers(30, 400))
+@settings(max_examples=40, deadline=None)
+def test_bounds_skip_rows_and_nothing_else(seed, k, n):
+    """Steps with bounds give what comparing every row with every centroid gives, and compare fewer."""
+    rnd = np.random.default_rng(seed)
+    points = rnd.normal(size=(k, 5))[rnd.integers(k, size=n)] * 4 + rnd.normal(size=(n, 5))
+    centers = points[:k].copy()
+    bounds, steps = clustering.Bounds(points).first(centers), 0
+    for steps in range(1, 60):
+        means = bounds.means(centers)
+        shift, centers = np.sqrt(((means - centers) ** 2).sum(axis=1)), means
+        moved = bounds.step(centers, shift)
+        gaps = clustering.squared_gaps(points, centers)
+        assert np.allclose(gaps[bounds.own, np.arange(n)], gaps.min(axis=0))
+        for t in range(k):
+            assert bounds.counts[t] == (bounds.own == t).sum() and np.allclose(bounds.sums[t], points[bounds.own == t].sum(axis=0))
+        if not moved:
+            break
+    assert bounds.compared <= n * (steps + 1)
+
+
+def test_kmeans_over_many_blocks(spark, monkeypatch):
+    """Groups of many blocks, merged in levels, beside groups of one: the error of MLlib, and a fixed point."""
+    monkeypatch.setattr(clustering, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(clustering, "BLOCKS_AT_ONCE", 4)
+    rnd = np.random.default_rng(4)
+    centers = rnd.normal(size=(6, 8)) * 3
+    points = centers[rnd.choice(6, p=[0.5, 0.3, 0.1, 0.05, 0.03, 0.02], size=3000)] + rnd.normal(size=(3000, 8))
+    rows = [("big" if i < 2900 else "small", f"p{i:05}", [float(x) for x in p]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "g string, post_id string, embedding array<double>").repartition(5)
+    made = topics.kmeans_topics(df, ["g"], max_iter=60).collect()
+    assert sorted(r["post_id"] for r in made) == sorted(r[1] for r in rows)
+    value = {r[1]: np.array(r[2]) for r in rows}
+    big = [r for r in made if r["g"] == "big"]
+    vectors_of = df.filter("g = 'big'").select(array_to_vector("embedding").alias("features"))
+    theirs = min(KMeans(k=6, maxIter=20, seed=s).fit(vectors_of).summary.trainingCost for s in (42, 1, 2))
+    assert squared_error(big, value) <= 1.02 * theirs
+    means = {t: np.mean([value[r["post_id"]] for r in big if r["topic_index"] == t], axis=0) for t in range(6)}
+    assert all(min(means, key=lambda t: ((value[r["post_id"]] - means[t]) ** 2).sum()) == r["topic_index"] for r in big)
+
+
+def test_blocks_get_one_copy_of_the_centroids(spark):
+    """Vectors are dealt out once; no plan of a step has a column of centroids beside single rows."""
+    rows = [("g", f"p{i:05}", [float(i % 7), float(i % 5), 1.0]) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, post_id string, embedding array<double>")
+    packed = clustering.blocks(df.selectExpr("*", "3 AS k", "5 AS blocks"), ["g"], "post_id", "embedding")
+    assert packed.count() == 5 and sum(len(r["ids"]) for r in packed.collect()) == 500
+    assert "centers" not in packed.columns
