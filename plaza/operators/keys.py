@@ -55,13 +55,16 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: str, order: Sequence[Co
     return top_per_key(anti_existing(batch, existing, key), [key], order)
 
 
-def missing_authors(posts: DataFrame, users: DataFrame) -> DataFrame:
-    """A stub user for every author of a post who is not a user yet."""
+def author_stubs(posts: DataFrame) -> DataFrame:
+    """A stub user for every author of a post."""
     none = F.array().cast(T.ArrayType(T.StringType()))
     authors = posts.select(F.col("author_id").alias("user_id")).filter(F.col("user_id") != "").distinct()
-    return anti_existing(authors, users, "user_id").select(
-        "user_id", F.col("user_id").alias("username"), none.alias("personas"), none.alias("subreddits")
-    )
+    return authors.select("user_id", F.col("user_id").alias("username"), none.alias("personas"), none.alias("subreddits"))
+
+
+def missing_authors(posts: DataFrame, users: DataFrame) -> DataFrame:
+    """A stub user for every author of a post who is not a user yet."""
+    return anti_existing(author_stubs(posts), users, "user_id")
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, by: Sequence[str], ts: str, tie: str) -> DataFrame:

@@ -877,8 +877,9 @@ def event_stream(spark, root) -> DataFrame:
 
 
 def resent(stream: DataFrame) -> DataFrame:
-    """Every row twice, as after a retry at the source."""
-    return stream.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
+    """Every row twice, as after a retry at the source; of some the copy has a later time."""
+    again = F.when(F.col("event_type") == "error", F.col("ts") + F.expr("INTERVAL 3 DAYS")).otherwise(F.col("ts"))
+    return stream.withColumn("ts", F.explode(F.array(F.col("ts"), again)))
 
 
 @query
@@ -913,8 +914,8 @@ def stream_run_state(spark, root):
     rows = event_stream(spark, root).select(
         views.user_name(F.col("user_id")).alias("user_id"), F.concat(F.lit("reddit:"), "event_type").alias("source"),
         F.col("ts").alias("last_run_at"), F.col("event_id").cast("string").alias("output_id"))
-    path = streams.stream_run_state(rows, new_path(spark, "state"), new_path(spark, "state-log"), ["user_id", "source"], "last_run_at", "output_id")
-    return spark.read.parquet(path).select("user_id", "source", micros("last_run_at").alias("last_run_us"), "output_id")
+    made = streams.stream_run_state(rows, new_path(spark, "state"), new_path(spark, "state-log"), ["user_id", "source"], "last_run_at", "output_id")
+    return made.select("user_id", "source", micros("last_run_at").alias("last_run_us"), "output_id")
 
 
 @query
