@@ -304,3 +304,44 @@ def test_blocks_get_one_copy_of_the_centroids(spark):
     packed = clustering.blocks(df.selectExpr("*", "3 AS k", "5 AS blocks"), ["g"], "post_id", "embedding")
     assert packed.count() == 5 and sum(len(r["ids"]) for r in packed.collect()) == 500
     assert "centers" not in packed.columns
+
+
+def test_tree_grows_with_the_group(spark):
+    """Leaves stay bounded, and fewer pairs of them meet than there are."""
+    rnd = np.random.default_rng(6)
+    points = unit(rnd.normal(size=(40, 16)))[rnd.integers(40, size=3000)] + 0.03 * rnd.normal(size=(3000, 16))
+    df = vectors(spark, {"g": list(enumerate(points))})
+    rows, levels = similarity._split(df.select("g", "id", similarity._unit("v").alias("u")), ["g"], "id", 50)
+    sizes = [r["count"] for r in rows.groupBy("cell").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 50 and len(levels) >= 2
+    meet = similarity._meeting(df.select("g").distinct(), levels, ["g"], np.arccos(0.95)).count()
+    assert meet < len(sizes) * (len(sizes) + 1) / 2 / 2
+    got = {(r["id_a"], r["id_b"]) for r in similarity.similarity_join(df, ["g"], "id", "v", 0.95, 50).collect()}
+    assert got == brute_pairs(list(enumerate(points)), 0.95)
+
+
+def test_settling_takes_few_rounds(spark):
+    """Fifty thousand rows with random neighbours before them: the greedy answer in fewer than ten rounds."""
+    rnd = np.random.default_rng(7)
+    n = 50_000
+    a, b = rnd.integers(n, size=(2, 100_000))
+    edges = sorted({(int(min(x, y)), int(max(x, y))) for x, y in zip(a, b) if x != y})
+    before = {}
+    for early, late in edges:
+        before.setdefault(late, []).append(early)
+    kept = set()
+    for row in range(n):
+        if not any(e in kept for e in before.get(row, [])):
+            kept.add(row)
+    df = spark.createDataFrame([("g", *e) for e in edges], "g string, early int, late int")
+    gone, rounds = similarity._settled(df, ["g"])
+    assert {r["_row"] for r in gone.collect()} == set(range(n)) - kept
+    assert rounds < 10
+
+
+def test_dedupe_with_copies_and_no_length(spark):
+    points = [[1.0, 0.0], [0.0, 0.0], [2.0, 0.0], [0.0, 1.0], [0.0, 0.0], [0.0, 3.0], [1.0, 1.0]]
+    df = vectors(spark, {"g": list(enumerate(points))})
+    for leaders in (1, 1000):
+        kept = similarity.dedupe_similar(df, ["g"], ["id"], "id", "v", 0.9, leaders=leaders)
+        assert sorted(r["id"] for r in kept.collect()) == [0, 1, 3, 4, 6]
