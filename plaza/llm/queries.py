@@ -61,7 +61,8 @@ _BAD_LINE = f"""(length({_SOLID.format("x")}) > 0 AND (
     length(regexp_replace(x, '[^\\p{{L}}]+', '', 'g')) = 0
     OR (length(x) - length(regexp_replace(x, '[{_LINE_SYMBOLS}]', '', 'g'))) * 100
         > length({_SOLID.format("x")}) * {quality.PUNCTUATION_PERCENT}
-    OR regexp_matches(x, '{quality.MENU.replace('}+', '}')}') OR regexp_matches(x, '{quality.NOTICES}')))"""
+    OR regexp_matches(x, '{quality.MENU.replace('}+', '}')}')
+    OR (length({_SOLID.format("x")}) <= {quality.NOTICE_CHARS} AND regexp_matches(x, '{quality.NOTICES}'))))"""
 
 
 @query(f"""

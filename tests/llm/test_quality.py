@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 import pytest
 
 from plaza.llm import quality
@@ -69,3 +70,20 @@ def test_long_lines_of_marks(documents):
 
 def test_empty_table(documents):
     assert quality.quality(documents([])).count() == 0
+
+
+def test_twin_judges_long_lines_alike(spark, documents, tmp_path):
+    """A notice in a line of 402 words, in one of 150 characters and in one of 151, next to the twin."""
+    from plaza.llm.queries import ORACLES, QUERIES
+    from tests.compare import difference
+
+
+
+    line = lambda n: ("click here " + "ab " * 200).replace(" ", "")[:n - 9] + " click here"
+    rows = [(1, " ".join(f"w{i}" for i in range(400)) + " click here", "en"), (2, PROSE + "\n" + line(150), "en"), (3, PROSE + "\n" + line(151), "en"),
+            (4, "\n".join([PROSE[:300], line(150), line(151), "Click here"]), "en"), (5, None, None)]
+    documents(rows, extra=False).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    _, wrong = difference(spark, con, str(tmp_path), "op5", QUERIES["op5_quality_rules"], ORACLES["op5_quality_rules"])
+    assert wrong == ""
