@@ -628,6 +628,12 @@ SELECT user_id, subreddit, allocated, coalesce(n, 0) AS post_count, CASE WHEN n
   CASE WHEN n > 0 THEN unnest(range(CASE WHEN n > 0 THEN {_PLANNED} ELSE 1 END)) END AS topic_index, n AS n_placed,
   CASE WHEN n > 0 THEN true END AS complete, round(s, 6) AS avg_score
 FROM {budget(700)} b LEFT JOIN (SELECT k.user_id, k.subreddit, count(*) AS n, avg(v.score) AS s FROM {picks(700)} k JOIN posts_v v USING (post_id) GROUP BY 1, 2) p USING (user_id, subreddit)""")
+oracle("land_feed", f"""
+SELECT 'users' AS table_name, user_id AS key, CAST(CASE WHEN list_contains(personas, 'BUILDING') THEN 0 ELSE 2 END AS BIGINT) AS value FROM users_v
+  WHERE NOT list_contains(personas, 'BUILDING') OR user_id IN (SELECT author_id FROM posts_v WHERE post_id IN (SELECT post_id FROM {P100}))
+UNION ALL SELECT 'posts', post_id, score FROM posts_v WHERE post_id IN (SELECT post_id FROM {P100})
+UNION ALL SELECT 'feed_cache', user_id, count(*) FROM {P100} GROUP BY user_id
+UNION ALL SELECT 'feed_runs', user_id, CAST(user_id IN (SELECT user_id FROM {P100}) AS BIGINT) FROM users_v WHERE NOT list_contains(personas, 'BUILDING')""")
 oracle("topic_polarity", "SELECT DISTINCT subreddit, topic_index, true AS scored FROM topic_posts_v")
 oracle("community_errors", """
 SELECT subreddit, CASE WHEN score >= 300 THEN 'score out of range' WHEN num_comments = 0 THEN 'no comments' END AS error, count(*) AS n_posts FROM posts_v GROUP BY ALL""")

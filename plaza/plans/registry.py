@@ -102,7 +102,10 @@ def read_follows(spark, root):
 def read_edgelist(spark, root):
     path = new_path(spark, "edges")
     edges = views.follows(spark, root)
-    writers.write_edgelist(edges.unionByName(edges), path)
+    writers.write_edgelist(edges, path)
+    # The same edges once more, as other programs write them.
+    other = F.concat(F.lit("  "), "follower_id", F.lit("\t \t"), "followed_id", F.lit("  {'weight': 1} # seen"))
+    edges.select(other).unionByName(edges.limit(1).select(F.lit("# a comment").alias(edges.select(other).columns[0]))).write.mode("append").text(path)
     return readers.read_edgelist(spark, path)
 
 
@@ -860,6 +863,24 @@ def run_payload_clustered(spark, root):
         complete.alias("complete"), fixed("result.eda.avg_score").alias("avg_score"))
 
 
+@query
+def land_feed(spark, root):
+    """What a run stores of its feed, twice, as after a failure: tables, rows and what each row comes with."""
+    posts = materialize(views.posts(spark, root).drop("event_id"), "posts")
+    s = run.RunSettings(views.AS_OF, views.RUN_TS)
+    users = views.users(spark, root)
+    made = run.run_analysis(posts, users, views.live_runs(spark, root), views.vectors(spark, root).select("post_id", "embedding"), s)
+    folder = new_path(spark, "landed-feed")
+    subscribers = users.filter(~F.array_contains("personas", "BUILDING"))
+    for _ in range(2):
+        tables = run.land_feed(made, posts, subscribers, folder, s)
+    rows = {
+        "users": (F.col("user_id"), F.size("personas")), "posts": (F.col("post_id"), F.col("score")),
+        "feed_cache": (F.col("user_id"), F.size("raw_posts")), "feed_runs": (F.col("user_id"), (F.col("run_status") == "success").cast("int"))}
+    return selection.union_posts(*[
+        tables[name].select(F.lit(name).alias("table_name"), key.alias("key"), value.cast("long").alias("value")) for name, (key, value) in rows.items()])
+
+
 @query
 def community_errors(spark, root):
     rules = {"score out of range": F.col("score") >= 300, "no comments": F.col("num_comments") == 0}

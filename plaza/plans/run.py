@@ -6,7 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plaza import schemas
 from plaza.functions import text as tx
@@ -160,19 +160,57 @@ def run_analysis(
     }
 
 
+def _append_once(folder: str, name: str, schema: T.StructType, key: str, rows: DataFrame) -> DataFrame:
+    """Append the rows whose key is not stored below ``folder`` yet; returns the table."""
+    spark, path = rows.sparkSession, f"{folder}/{name}"
+    writers.append_table(spark.createDataFrame([], schema), path)
+    fresh = readers.rows_with_schema(rows, schema)
+    order = [F.col(f.name) for f in schema if f.name != key and not isinstance(f.dataType, (T.ArrayType, T.MapType))]
+    stored = spark.read.schema(schema).parquet(path)
+    writers.append_table(materialize(keys.new_rows(fresh, stored, key, order), f"new-{name}"), path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def feed_cache(made: dict[str, DataFrame], posts: DataFrame, s: RunSettings) -> DataFrame:
+    """The cache row of every user who picked posts: whole records, the topics of the user's lists (a few per
+    community) and what was asked for and fetched."""
+    topic = F.struct("topic_index", "title", "summary", "bullets", "keywords", F.col("post_indices").cast("array<bigint>").alias("post_indices"))
+    found = made["lists"].select(*GROUP, *LIST).join(made["products"].select(*LIST, topic.alias("topic")), LIST)
+    listed = found.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("subreddit", "topic.topic_index", "topic"))).alias("_t")).select(
+        "user_id", F.transform("_t", lambda t: t["topic"]).alias("topic_data"))
+    meta = selection.feed_meta(made["budgets"], made["picked"], s.top_n_total)
+    told = F.create_map(
+        F.lit("requested_total"), F.col("requested_total").cast("string"),
+        F.lit("actual_fetched_total"), F.col("actual_fetched_total").cast("string"), F.lit("timestamp"), F.lit(s.run_ts))
+    extras = meta.select("user_id", F.lit(None).cast("string").alias("summary"), told.alias("source_meta")).join(listed, "user_id", "left")
+    wanted = posts.join(made["picked"].select("post_id").distinct(), "post_id", "left_semi").drop("subreddit", "created_at")
+    return results.feed_cache_rows(made["picked"].join(wanted, "post_id"), extras, s.platform, s.run_ts)
+
+
+def land_feed(made: dict[str, DataFrame], posts: DataFrame, users: DataFrame, folder: str, s: RunSettings) -> dict[str, DataFrame]:
+    """Store what a run fetched below ``folder``, each row once: stubs of unknown authors before the posts, the posts any user
+    picked, a cache row per user with posts, and a log row per user. Returns the four tables."""
+    fetched = posts.join(made["picked"].select("post_id").distinct(), "post_id", "left_semi")
+    fetched = materialize(fetched.withColumn("cleaned_content", tx.cleaned_content(F.col("content"))), "fetched")
+    known = _append_once(folder, "users", schemas.USERS, "user_id", users)
+    out = {"users": _append_once(folder, "users", schemas.USERS, "user_id", keys.missing_authors(fetched, known))}
+    out["posts"] = _append_once(folder, "posts", schemas.POSTS, "post_id", fetched)
+    cache = materialize(feed_cache(made, posts, s), "cache")
+    out["feed_cache"] = _append_once(folder, "feed_cache", schemas.FEED_CACHE, "cache_id", cache)
+    log = results.run_log_rows(users.select("user_id").distinct(), cache, s.platform, s.run_ts)
+    out["feed_runs"] = _append_once(folder, "feed_runs", schemas.FEED_RUNS, "run_id", log)
+    return out
+
+
 def store_run(made: dict[str, DataFrame], folder: str, runs: DataFrame, run_folder: str) -> DataFrame:
     """Append topics, mapping and outputs of a run below ``folder``, each row once, and write the next
-    version of the run state to ``run_folder``; returns that state.
+    version of the run state to ``run_folder``; returns that state. (``land_feed`` stores what the run fetched.)
 
     Ids depend on business keys only, so a run that is stored again adds nothing.
     """
     spark = runs.sparkSession
     for name, schema, key in (("topics", schemas.TOPICS, "topic_id"), ("mapping", schemas.POST_TOPICS, "mapping_id"), ("outputs", schemas.OUTPUTS, "output_id")):
-        path = f"{folder}/{name}"
-        writers.append_table(spark.createDataFrame([], schema), path)
-        fresh = readers.rows_with_schema(made[name], schema)
-        order = [F.col(c) for c in schema.names if c not in (key, "sample_posts")]
-        writers.append_table(materialize(keys.new_rows(fresh, spark.read.schema(schema).parquet(path), key, order), f"new-{name}"), path)
+        _append_once(folder, name, schema, key, made[name])
     fresh = readers.rows_with_schema(made["runs"], schemas.RUNS)
     keys.upsert_latest(readers.rows_with_schema(runs, schemas.RUNS), fresh, ["user_id", "source"], "last_run_at", "output_id").write.parquet(run_folder)
     return spark.read.schema(schemas.RUNS).parquet(run_folder)

@@ -180,3 +180,11 @@ def test_errors_do_not_stop_the_run(spark):
     valid, errors = results.community_errors(df, {"no score": F.col("score").isNull(), "negative": F.col("score") < 0})
     assert [tuple(r) for r in valid.collect()] == [("s", 1)]
     assert sorted(tuple(r) for r in errors.collect()) == [("s", "no score", 1), ("t", "negative", 1)]
+
+
+def test_edges_between_any_white_space(spark):
+    path = new_path(spark, "edges")
+    lines = ["a b", "c\td", "e   f", " g h ", "a b", "# only a comment", "", "alone", "i j {'weight': 3} # said", "k#l m"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = {tuple(r) for r in readers.read_edgelist(spark, path).collect()}
+    assert got == {("a", "b"), ("c", "d"), ("e", "f"), ("g", "h"), ("i", "j")}
