@@ -24,6 +24,8 @@ NO_SUMMARY = "(Unable to generate summary.)"
 DEFAULT_TITLE = "Topic Summary"
 
 SUMMARY_SENTENCES = 5
+# Sentences per topic that are compared with each other in one pass.
+CANDIDATES = 60
 # Cosine of keyword sets, in hundredths, from which sentences and bullets say the same.
 SIMILAR_SENTENCES, SIMILAR_BULLETS = 86, 84
 
@@ -91,6 +93,20 @@ def topic_sentences(texts: DataFrame, by: Sequence[str], order: Sequence[str], t
     return dedupe_exact(sentences(rows, "_whole"), by, "sentence", [*order, "sentence_index"])
 
 
+def _one_by_one(scored: DataFrame, by: list[str], place: list[str], n: int) -> DataFrame:
+    """The ``n`` weightiest sentences of each topic that are apart, one pass per winner, however many near copies there are."""
+    best = None
+    for _ in range(n):
+        rest = scored
+        if best is not None:
+            taken = best.groupBy(*by).agg(F.collect_list(F.struct("_at", "words")).alias("_taken"))
+            free = ~F.exists("_taken", lambda t: (t["_at"] == F.col("_at")) | near_words(t["words"], F.col("words"), SIMILAR_SENTENCES))
+            rest = scored.join(taken, by).filter(free).drop("_taken")
+        pick = top_per_key(rest, by, [F.col("score").desc(), *place])
+        best = materialize(pick if best is None else best.unionByName(pick), "summary-sentences")
+    return best
+
+
 def extractive_summary(texts: DataFrame, by: Sequence[str], order: Sequence[str], text: str = "text", n: int = SUMMARY_SENTENCES) -> DataFrame:
     """The ``n`` weightiest distinct sentences of every topic, in text order.
 
@@ -100,9 +116,9 @@ def extractive_summary(texts: DataFrame, by: Sequence[str], order: Sequence[str]
     counted and joined, so a word that most sentences of a large topic use is not
     gathered in one task; no topic is collected, only its ``n`` winners.
 
-    The winners are taken one by one, for all topics at once: the weightiest sentence that
-    says nearly the same as none taken before (SIMILAR_SENTENCES). That is one pass per
-    winner, however many near copies there are.
+    The winners are, in order of weight, the sentences that say nearly the same as none taken before (SIMILAR_SENTENCES).
+    The CANDIDATES weightiest of each topic settle that in one pass, unless they are so often near copies that fewer
+    than ``n`` are apart and lighter sentences are left: only such topics take another pass per winner.
     """
     by, order = list(by), list(order)
     place = [*order, "sentence_index"]
@@ -113,19 +129,22 @@ def extractive_summary(texts: DataFrame, by: Sequence[str], order: Sequence[str]
     total = rows.agg(F.count(F.lit(1))).scalar()
     rarity = F.round(F.log((total + 1.0) / (F.col("df") + 1.0)) * 1000).cast("bigint")
     uses = per_word.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("tf")).join(corpus.select("word", rarity.alias("rarity")), "word")
-    scores = per_word.join(uses, [*by, "word"]).groupBy(*by, *place).agg(
-        F.floor(F.sum(F.col("tf") * F.col("rarity")) / F.count(F.lit(1))).cast("bigint").alias("score"))
-    scored = materialize(
-        rows.join(scores, [*by, *place], "left").withColumn("score", F.coalesce("score", F.lit(0))).withColumn("_at", F.struct(*place)), "scored")
-    best = None
-    for _ in range(n):
-        rest = scored
-        if best is not None:
-            taken = best.groupBy(*by).agg(F.collect_list(F.struct("_at", "words")).alias("_taken"))
-            free = ~F.exists("_taken", lambda t: (t["_at"] == F.col("_at")) | near_words(t["words"], F.col("words"), SIMILAR_SENTENCES))
-            rest = scored.join(taken, by).filter(free).drop("_taken")
-        pick = top_per_key(rest, by, [F.col("score").desc(), *place])
-        best = materialize(pick if best is None else best.unionByName(pick), "summary-sentences")
+    scores = materialize(per_word.join(uses, [*by, "word"]).groupBy(*by, *place).agg(
+        F.floor(F.sum(F.col("tf") * F.col("rarity")) / F.count(F.lit(1))).cast("bigint").alias("score")), "scores")
+    scored = rows.join(scores, [*by, *place], "left").withColumn("score", F.coalesce("score", F.lit(0))).withColumn("_at", F.struct(*place))
+    # Ranked without their words and texts, which follow for the few that lead.
+    lead = top_per_key(scored.select(*by, *place, "score"), by, [F.col("score").desc(), *place], k=CANDIDATES + 1, rank="_rank")
+    heads = rows.join(lead, [*by, *place]).groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct("_rank", *place, "sentence", "words"))).alias("_c"))
+    apart = lambda taken, c: (F.size(taken) < n) & ~F.exists(taken, lambda t: near_words(t["words"], c["words"], SIMILAR_SENTENCES))
+    taken = F.aggregate(F.slice("_c", 1, CANDIDATES), F.slice("_c", 1, 0), lambda t, c: F.when(apart(t, c), F.concat(t, F.array(c))).otherwise(t))
+    judged = materialize(heads.select(*by, taken.alias("_t"), (F.size("_c") > CANDIDATES).alias("_more")), "summary-candidates")
+    settled = judged.filter((F.size("_t") >= n) | ~F.col("_more"))
+    best = settled.select(*by, F.explode("_t").alias("_s")).select(*by, *[f"_s.{c}" for c in (*place, "sentence")])
+    open_topics = judged.filter((F.size("_t") < n) & F.col("_more")).select(*by)
+    if not open_topics.isEmpty():
+        rest = materialize(scored.join(open_topics, by), "scored")
+        best = best.unionByName(_one_by_one(rest, by, place, n).select(*best.columns))
     listed = best.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*place, "sentence"))).alias("_s"))
     made = listed.select(*by, F.array_join(F.transform("_s", lambda e: e["sentence"]), " ").alias("summary"))
     topics = texts.groupBy(*by).agg(F.max(F.coalesce(F.col(text), F.lit("")) != "").alias("_had"))

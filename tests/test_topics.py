@@ -345,3 +345,16 @@ def test_dedupe_with_copies_and_no_length(spark):
     for leaders in (1, 1000):
         kept = similarity.dedupe_similar(df, ["g"], ["id"], "id", "v", 0.9, leaders=leaders)
         assert sorted(r["id"] for r in kept.collect()) == [0, 1, 3, 4, 6]
+
+
+def test_summary_beyond_a_run_of_near_copies(spark, monkeypatch):
+    """More near copies than candidates: the topic takes more passes and gives the same sentences."""
+    words = "engine motor piston valve crank gear shaft wheel brake clutch".split()
+    copies = [f"{' '.join(words)} number{i}." for i in range(80)]
+    others = [f"Apples{i} pears{i} plums{i}." for i in range(6)]
+    rows = [(1, i, t) for i, t in enumerate([*copies, *others])] + [(2, i, f"Only{i} this{i} topic{i}.") for i in range(10)]
+    df = spark.createDataFrame(rows, "id int, o int, text string")
+    few = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
+    monkeypatch.setattr(products, "CANDIDATES", 900)
+    many = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
+    assert few == many and few[1].count("piston") == 1 and few[1].count("Apples") == 4 and few[2].count("topic") == 5
