@@ -62,8 +62,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.model = self.whole.model
+        # A text that holds a token of its own kind, such as the mark of a text's end, is not split.
+        own_kind = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(own_kind) or r"(?!)")
         self.split, self.plain, self.uneven = regex.compile(PATTERN), re.compile(PLAIN), re.compile(UNEVEN)
         # Bytes that have no printed form of their own stand for characters from 256 on.
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -105,7 +107,7 @@ class Encoder:
         known = self.known
         if len(known) > KNOWN_CHUNKS:
             known.clear()
-        odd = {i: np.frombuffer(self.slow(t), np.uint32) for i, t in enumerate(texts) if self.uneven.search(t)}
+        odd = {i: np.frombuffer(self.slow(t), np.uint32) for i, t in enumerate(texts) if self.uneven.search(t) or self.special.search(t)}
         marked = pa.array(["" if i in odd else "\x00" + t.replace("\n", " \n") for i, t in enumerate(texts)], pa.large_string())
         lists = pc.split_pattern(marked, " ")
         words = lists.values.dictionary_encode()

@@ -9,16 +9,20 @@ from plaza.llm.queries import tokenizer_file
 PATH = tokenizer_file("byte_bpe_50k.json")
 
 ODD = [
-    "", "a  b", "\n x", "x\n\ny", "é b", "don't it's 'tis", "1234 56a7", "<|endoftext|> x", "漢字 仮名", "a\tb", " lead", "trail ",
+    "", "a  b", "\n x", "x\n\ny", "é b", "don't it's 'tis", "1234 56a7", "<|endoftext|> x", "hello <|endoftext|> world", "a<|endoftext|>b", "<|endoftext", "漢字 仮名", "a\tb", " lead", "trail ",
     "\x00a b", "ñÑ×÷ß.", "A.B,C", "hello\n", "...", "a,b. c,", "½ ²", "ﬁx ǅ", "x\xa0y z", "  line",
 ]
 
 
 def test_encoder_equals_the_tokenizer():
-    own = packing.Encoder(PATH)
+    """A tokenizer read anew, as the contract has it: a token of its own kind in a text is one id."""
+    from tokenizers import Tokenizer
+
+    whole, own = Tokenizer.from_file(PATH), packing.Encoder(PATH)
     flat, at = own.encode(ODD)
     for text, lo, hi in zip(ODD, at[:-1], at[1:]):
-        assert flat[lo:hi].tolist() == own.whole.encode(text, add_special_tokens=False).ids, text
+        assert flat[lo:hi].tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert own.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, 50256, 995]
 
 
 def check(rows, got):
