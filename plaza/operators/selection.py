@@ -46,7 +46,8 @@ def select_posts(posts: DataFrame, budgets: DataFrame) -> DataFrame:
     the largest budget asks for, so a user row needs one equi-join and row-local
     array work, whatever the community's size.
 
-    ``budgets``: ``user_id, subreddit, allocated`` and optionally ``since``.
+    ``budgets``: ``user_id, subreddit, allocated`` and optionally ``since``; a written table, as it is
+    read twice.
     Returns ids with their ``position`` in the pick; join posts for content.
     """
     if "since" not in budgets.columns:

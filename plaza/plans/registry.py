@@ -72,7 +72,7 @@ def budgets(spark: SparkSession, root: str, n: int, users: DataFrame | None = No
 
 
 def picks(spark: SparkSession, root: str, n: int = 100, since: bool = True) -> DataFrame:
-    split = budgets(spark, root, n)
+    split = materialize(budgets(spark, root, n), "budgets")  # read twice: for the largest budget, and for the picks
     if not since:
         split = split.drop("since")
     return selection.select_posts(views.posts(spark, root), split)
