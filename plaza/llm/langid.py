@@ -10,7 +10,7 @@ outside what labelled rows show is rejected.
 Bounds: the model has at most MODEL_GRAMS n-grams per order, shared evenly by the languages; only it
 is sent to the driver and to the tasks. Counts and Kneser-Ney counts are made of all rows; where a language has more
 n-grams of an order, the rarest go, by a least count, and their share of a context goes to its back-off. The temperature and the limits are fitted
-on about CALIBRATION_ROWS rows chosen by a hash of their id.
+on all labelled training rows.
 
 Contract
 - Rows whose ``crc32(doc_id)`` leaves 1 modulo 3 (``held_out``), or whose ``lang`` or ``text``
@@ -25,6 +25,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -32,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plaza.llm.common import Scratch, batches_of, small_batches, whole_text
+from plaza.operators.keys import top_per_key
 
 ORDER = 4
 MODEL_GRAMS = 1 << 21
 SLICE_CHARS = 500_000
-CALIBRATION_ROWS = 5_000
 TEMPERATURES = [1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0]
 # The share of a language's labelled rows that lies beyond its limits, and the room beyond that quantile.
 REJECTED_SHARE, ROOM = 0.001, 1.25
@@ -304,21 +306,82 @@ def train(docs: DataFrame) -> Model | None:
     bound = max(1, MODEL_GRAMS // len(langs))
     model = _kneser_ney((_kept(levels[order], len(langs), bound) for order in range(1, ORDER + 1)), langs)
     scratch.drop(*[f"level-{order}" for order in levels])
-    share = min(1.0, CALIBRATION_ROWS / max(1, rows.count()))
-    chosen = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < int(share * 1_000_000) + 1
     shared = spark.sparkContext.broadcast(model)
 
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, total, size in _sums(shared.value, frames):
             yield pd.DataFrame({"lang": frame.lang.to_numpy(), "total": list(total), "size": size})
 
-    sample = rows.filter(chosen).select("lang", "text").mapInPandas(measured, "lang string, total array<double>, size long").toPandas()
+    sums = scratch.write(rows.select(number.alias("lang"), "text").mapInPandas(measured, "lang int, total array<double>, size long").filter("size > 0"), "sums")
     shared.destroy()
-    return calibrated(model, sample[sample["size"] > 0])
+    model = calibrated_on(model, sums)
+    scratch.drop("sums")
+    return model
+
+
+def _losses(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows and summed loss of each temperature."""
+    loss = np.zeros(len(TEMPERATURES))
+    n = 0
+    for frame in frames:
+        if len(frame):
+            total, truth = np.stack(frame.total.to_numpy()), frame.lang.to_numpy()
+            gap = -(total - total.min(axis=1, keepdims=True))
+            for i, temperature in enumerate(TEMPERATURES):
+                odds = gap / temperature
+                loss[i] += (np.log(np.exp(odds).sum(axis=1)) - odds[np.arange(len(truth)), truth]).sum()
+            n += len(frame)
+    yield pd.DataFrame({"n": [n] * len(loss), "at": range(len(loss)), "loss": loss})
+
+
+def _recognised(model: Model):
+    """Score and entropy of the rows whose language is found."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                best, score, entropy, _ = verdicts(model, np.stack(frame.total.to_numpy()), frame["size"].to_numpy())
+                right = best == frame.lang.to_numpy()
+                yield pd.DataFrame({"lang": frame.lang.to_numpy()[right], "score": score[right], "entropy": entropy[right]})
+
+    return run
+
+
+def _limits(right: DataFrame) -> dict[int, tuple[float, float]]:
+    """Per language the score below and the entropy above which REJECTED_SHARE of its rows lie, with some room. Exact quantiles,
+    by rank: only the rows beyond them are ranked."""
+    sizes = {r["lang"]: r["n"] for r in right.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return {}
+    place = {lang: REJECTED_SHARE * (n - 1) for lang, n in sizes.items()}
+    tails = {}
+    for name, order in (("score", F.col("score")), ("entropy", F.col("entropy").desc())):
+        first = top_per_key(right.select("lang", name), ["lang"], [order], k=int(max(place.values())) + 2, rank="rank")
+        ends = [(F.col("lang") == lang) & F.col("rank").isin(int(at) + 1, int(at) + 2) for lang, at in place.items()]
+        found = {(r["lang"], r["rank"]): r[name] for r in first.filter(reduce(or_, ends)).collect()}
+        for lang, at in place.items():
+            low = found[lang, int(at) + 1]
+            tails[lang, name] = low + (found.get((lang, int(at) + 2), low) - low) * (at - int(at))
+    return {lang: (tails[lang, "score"] / ROOM, tails[lang, "entropy"] * ROOM) for lang in sizes}
+
+
+def calibrated_on(model: Model, sums: DataFrame) -> Model:
+    """Temperature of least loss on all labelled rows (``lang, total, size``, a written table), and the limits that reject hardly any."""
+    losses = sums.mapInPandas(_losses, "n long, at int, loss double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("loss").alias("loss")).collect()
+    if not sum(r["n"] for r in losses):
+        return model
+    model.temperature = TEMPERATURES[min(losses, key=lambda r: (r["loss"], r["at"]))["at"]]
+    fitted = Model(model.langs, [], [], [], [], model.floor, model.temperature)  # without the n-grams, which a verdict does not need
+    right = sums.mapInPandas(_recognised(fitted), "lang int, score double, entropy double")
+    own = _limits(right)
+    if own:
+        # A language without a recognised row takes the limits of all.
+        every = _limits(right.withColumn("lang", F.lit(-1))) if len(own) < len(model.langs) else {}
+        model.least_score, model.most_entropy = np.array([own.get(i) or every[-1] for i in range(len(model.langs))]).T
+    return model
 
 
 def calibrated(model: Model, sample: pd.DataFrame) -> Model:
-    """Temperature of least loss on labelled rows, and the limits that reject hardly any of them."""
+    """``calibrated_on`` for a few labelled rows in memory."""
     if sample.empty:
         return model
     total, size = np.stack(sample.total.to_numpy()), sample["size"].to_numpy()

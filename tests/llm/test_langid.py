@@ -153,3 +153,21 @@ def test_letters_above_the_first_plane_stay_apart():
     codes = lambda text: langid.symbols([text])[0].tolist()[1:]
     assert codes("\U00020041") != codes("a") and codes("\U00020041") != codes("A") and codes("\U00020000") != [0]
     assert codes("\U00020000")[0] >= langid.HIGH
+
+
+def test_calibration_reads_all_rows(spark):
+    """Exact limits, to the rarest row, and those of all for a language without a recognised row."""
+    rng = np.random.default_rng(3)
+    n = 9_000
+    truth = rng.integers(0, 2, n)
+    total = rng.uniform(40, 60, (n, 3)) + 25.0
+    total[np.arange(n), truth] -= 25.0
+    size = np.full(n, 10)
+    total[7] = [90.0, 900.0, 900.0] if truth[7] == 0 else [900.0, 90.0, 900.0]  # one row of high entropy
+    own = langid.Model(["de", "en", "ru"], [], [], [], [], np.zeros(3, np.float32))
+    rows = [(int(t), [float(x) for x in v], int(k)) for t, v, k in zip(truth, total, size)]
+    made = langid.calibrated_on(own, spark.createDataFrame(rows, "lang int, total array<double>, size long").repartition(5))
+    frame = pd.DataFrame({"lang": np.array(["de", "en", "ru"])[truth], "total": list(total), "size": size})
+    want = langid.calibrated(langid.Model(["de", "en", "ru"], [], [], [], [], np.zeros(3, np.float32)), frame)
+    assert made.temperature == want.temperature
+    assert made.least_score == pytest.approx(want.least_score) and made.most_entropy == pytest.approx(want.most_entropy)
