@@ -62,7 +62,7 @@ def selected_texts(posts: DataFrame, listed: DataFrame) -> DataFrame:
     cleaned is written before the join: in one generated stage with it, the
     text would be worked out again for every list that has the post."""
     content = tx.post_content(F.col("content"), F.col("title"), F.col("selftext"))
-    wanted = posts.join(listed.select("post_id").distinct(), "post_id", "left_semi")
+    wanted = posts.join(materialize(listed.select("post_id").distinct(), "listed-ids"), "post_id", "left_semi")
     body = materialize(wanted.select("post_id", tx.clean_text(content).alias("text"), "score", "num_comments"), "picked-texts")
     return listed.join(body, "post_id")
 
@@ -183,14 +183,16 @@ def feed_cache(made: dict[str, DataFrame], posts: DataFrame, s: RunSettings) ->
         F.lit("requested_total"), F.col("requested_total").cast("string"),
         F.lit("actual_fetched_total"), F.col("actual_fetched_total").cast("string"), F.lit("timestamp"), F.lit(s.run_ts))
     extras = meta.select("user_id", F.lit(None).cast("string").alias("summary"), told.alias("source_meta")).join(listed, "user_id", "left")
-    wanted = posts.join(made["picked"].select("post_id").distinct(), "post_id", "left_semi").drop("subreddit", "created_at")
-    return results.feed_cache_rows(made["picked"].join(wanted, "post_id"), extras, s.platform, s.run_ts)
+    ids = materialize(made["picked"].select("post_id").distinct(), "picked-ids")
+    wanted = materialize(posts.join(ids, "post_id", "left_semi").drop("subreddit", "created_at"), "picked-records")
+    # Dealt by user before the join, which broadcasts the records where they are few: grouping then moves no record.
+    return results.feed_cache_rows(made["picked"].repartition("user_id").join(wanted, "post_id"), extras, s.platform, s.run_ts)
 
 
 def land_feed(made: dict[str, DataFrame], posts: DataFrame, users: DataFrame, folder: str, s: RunSettings) -> dict[str, DataFrame]:
     """Store what a run fetched below ``folder``, each row once: stubs of unknown authors before the posts, the posts any user
     picked, a cache row per user with posts, and a log row per user. Returns the four tables."""
-    fetched = posts.join(made["picked"].select("post_id").distinct(), "post_id", "left_semi")
+    fetched = posts.join(materialize(made["picked"].select("post_id").distinct(), "picked-ids"), "post_id", "left_semi")
     fetched = materialize(fetched.withColumn("cleaned_content", tx.cleaned_content(F.col("content"))), "fetched")
     known = _append_once(folder, "users", schemas.USERS, "user_id", users)
     out = {"users": _append_once(folder, "users", schemas.USERS, "user_id", keys.missing_authors(fetched, known))}

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plaza import schemas
-from plaza.operators import eda, keys, ranking, reports, results
+from plaza.operators import eda, keys, products, ranking, reports, results
+from plaza.plans import views
 from plaza.session import new_path
 from plaza.sources import readers, writers
 
@@ -188,3 +189,43 @@ def test_edges_between_any_white_space(spark):
     spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
     got = {tuple(r) for r in readers.read_edgelist(spark, path).collect()}
     assert got == {("a", "b"), ("c", "d"), ("e", "f"), ("g", "h"), ("i", "j")}
+
+
+def test_insert_moves_unseen_rows_only(spark):
+    """Keys are told apart by themselves, null ones too; the rows follow for unseen keys."""
+    schema = "id string, ts int, v string"
+    stored = spark.createDataFrame([("a", 1, "old"), (None, 1, "old")], schema)
+    batch = spark.createDataFrame([("a", 9, "new"), ("b", 2, "later"), ("b", 1, "first"), (None, 3, "x"), (None, 2, "y")], schema)
+    made = keys.new_rows(batch, stored, "id", ["ts"])
+    assert "LeftAnti" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(made.collect(), key=str) == [("b", 1, "first"), (None, 2, "y")]
+
+
+def test_json_files_are_compressed(spark):
+    path = new_path(spark, "json")
+    rows = spark.range(200).select(F.col("id").alias("n"), F.lit("a text" * 50).alias("text"))
+    writers.write_json(rows, path)
+    files = [f.rsplit("/", 1)[1] for f in spark.read.text(path).inputFiles()]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert spark.read.schema(rows.schema).json(path).count() == 200
+
+
+def test_post_texts_are_joined_last(spark, tmp_path):
+    """What a post takes from other tables joins its event; the text comes after, so that it is not shuffled with the post."""
+    root = str(tmp_path)
+    spark.sql("SELECT id AS event_id, timestamp_ntz'2024-01-20 00:00:00' AS ts, id % 3 AS user_id, 'view' AS event_type, 1.5D AS value, 'k 1' AS props FROM range(8)").write.parquet(f"{root}/events.parquet")
+    spark.sql("SELECT id AS doc_id, repeat('w ', 60) AS text, 'en' AS lang, 'src0' AS source FROM range(4)").write.parquet(f"{root}/documents.parquet")
+    spark.sql("SELECT id AS page_id, concat('http://h/', id) AS url, '' AS html FROM range(2)").write.parquet(f"{root}/pages.parquet")
+    spark.sql("SELECT id AS vec_id, array(1.0F) AS embedding, CAST(id AS INT) AS label FROM range(2)").write.parquet(f"{root}/embeddings.parquet")
+    for made in (views.posts(spark, root), views.topic_posts(spark, root)):
+        joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+        assert "doc_id" in joins[0] and not any("doc_id" in j for j in joins[1:])
+    assert {(r["post_id"], r["topic_index"], r["selftext"].split()[-1]) for r in views.topic_posts(spark, root).collect()} == {
+        (f"p_{i}", i % 2, f"http://h/{i % 2}") for i in range(8)}
+
+
+def test_keywords_shuffle_texts_only(spark):
+    rows = spark.createDataFrame([(1, "pear apple pear"), (2, "plum"), (None, "fig tree")], "doc_id long, t string")
+    made = products.keywords(rows, ["doc_id"], "t")
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(made.collect(), key=str) == [(1, "apple", 1, 2), (1, "pear", 2, 1), (2, "plum", 1, 1), (None, "fig", 1, 1), (None, "tree", 1, 2)]
