@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from plaza import schemas
 from plaza.functions import text as tx
 from plaza.operators import activity, eda, keys, polarity, products, results, selection, topics
-from plaza.session import materialize
+from plaza.session import dealt, materialize
 from plaza.sources import readers, writers
 
 GROUP = ["user_id", "subreddit"]
@@ -64,7 +64,7 @@ def selected_texts(posts: DataFrame, listed: DataFrame) -> DataFrame:
     content = tx.post_content(F.col("content"), F.col("title"), F.col("selftext"))
     wanted = posts.join(materialize(listed.select("post_id").distinct(), "listed-ids"), "post_id", "left_semi")
     body = materialize(wanted.select("post_id", tx.clean_text(content).alias("text"), "score", "num_comments"), "picked-texts")
-    return listed.join(body, "post_id")
+    return listed.join(dealt(body), "post_id")
 
 
 def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> DataFrame:
@@ -87,7 +87,7 @@ def topic_products(texts: DataFrame, model: PipelineModel | None = None) -> Data
             "bullets": products.topic_bullets(F.col("summary")),
             "keywords": F.slice("keywords", 1, products.KEYWORDS_STORED)})
         .join(products.summary_metrics(measured, summaries, TOPIC), TOPIC)
-        .join(samples, TOPIC, "left")
+        .join(dealt(samples), TOPIC, "left")
     )
     if model is not None:
         return polarity.topic_polarity(out, model)
@@ -130,17 +130,19 @@ def run_analysis(
     community = results.community_payload(lists, full.select(*LIST, topic_struct()), s.run_ts)
     outputs = results.output_rows(community.select(
         "user_id", "source", F.struct("user_id", "source", "created_at", "post_count", "result_topics", "post_ids").alias("payload")), s.run_ts)
-    stored = results.topic_rows(owners.join(full.select(*TOPIC, "title", "summary", "sample_posts"), LIST), s.run_ts)
+    stored = results.topic_rows(owners.join(dealt(full.select(*TOPIC, "title", "summary", "sample_posts")), LIST), s.run_ts)
     mapping = results.posts_to_topic_ids(
         owners.join(placed.select(*TOPIC, "post_id"), LIST).select("user_id", "source", "topic_index", "post_id"), stored)
     short = full.groupBy(*LIST).agg(F.array_sort(F.collect_list(F.struct(
         "topic_index", "title", "bullets", "sample_posts",
         F.struct("compression_ratio", "lexical_overlap", "summary_length").alias("metrics"), "post_indices"))).alias("topics"))
-    of_list = eda.subreddit_eda(texts, LIST).join(short, LIST)
-    per_group = split.select(*GROUP, "allocated", source).join(
-        lists.select(*GROUP, *LIST).join(of_list, LIST), GROUP, "left").join(
+    of_list = eda.subreddit_eda(texts, LIST).join(dealt(short), LIST)
+    # Everything narrow is joined first. The topics of a list come last, dealt by list, so that they are copied to the users
+    # on the way to the one shuffle that groups them.
+    narrow = split.select(*GROUP, "allocated", source).join(lists.select(*GROUP, *LIST), GROUP, "left").join(
         outputs.select("user_id", "source", "output_id"), ["user_id", "source"], "left").join(
         errors.groupBy("subreddit").agg(F.array_sort(F.collect_list("error")).alias("errors")), "subreddit", "left")
+    per_group = narrow.join(dealt(of_list), LIST, "left")
     result = F.struct(
         F.coalesce("post_count", F.lit(0)).alias("post_count"), "allocated", "output_id", "topics", "errors",
         F.struct(F.coalesce("post_count", F.lit(0)).alias("post_count"), "avg_score", "avg_comments").alias("eda"))
@@ -175,7 +177,7 @@ def feed_cache(made: dict[str, DataFrame], posts: DataFrame, s: RunSettings) ->
     """The cache row of every user who picked posts: whole records, the topics of the user's lists (a few per
     community) and what was asked for and fetched."""
     topic = F.struct("topic_index", "title", "summary", "bullets", "keywords", F.col("post_indices").cast("array<bigint>").alias("post_indices"))
-    found = made["lists"].select(*GROUP, *LIST).join(made["products"].select(*LIST, topic.alias("topic")), LIST)
+    found = made["lists"].select(*GROUP, *LIST).join(dealt(made["products"].select(*LIST, topic.alias("topic"))), LIST)
     listed = found.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("subreddit", "topic.topic_index", "topic"))).alias("_t")).select(
         "user_id", F.transform("_t", lambda t: t["topic"]).alias("topic_data"))
     meta = selection.feed_meta(made["budgets"], made["picked"], s.top_n_total)

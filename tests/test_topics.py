@@ -10,7 +10,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from plaza.operators import clustering, graph, products, similarity, topics
+from plaza.operators import clustering, graph, products, results, similarity, topics
 from plaza.plans import run
 from plaza.session import new_path
 
@@ -358,3 +358,50 @@ def test_summary_beyond_a_run_of_near_copies(spark, monkeypatch):
     monkeypatch.setattr(products, "CANDIDATES", 900)
     many = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
     assert few == many and few[1].count("piston") == 1 and few[1].count("Apples") == 4 and few[2].count("topic") == 5
+
+
+def broadcast_parts(df):
+    """What a plan broadcasts: the text of each broadcast exchange and all below it."""
+    lines, parts = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = line.index("BroadcastExchange")
+            below = [l for l in lines[i + 1:]]
+            end = next((k for k, l in enumerate(below) if len(l) - len(l.lstrip(" :+-*()0123456789")) <= depth), len(below))
+            parts.append("\n".join([line, *below[:end]]))
+    return parts
+
+
+def test_topics_of_lists_are_never_broadcast(spark):
+    text = "the same words over and over " * 50
+    lists = spark.createDataFrame([(f"u{i}", "reddit:a", "x", 1, ["p"]) for i in range(20)], "user_id string, source string, list_id string, post_count long, post_ids array<string>")
+    made = results.community_payload(lists, spark.createDataFrame([("x", (0, [text] * 3))], "list_id string, topic struct<topic_index:int,sample_posts:array<string>>"), "2024-01-01 00:00:00")
+    assert not broadcast_parts(made)
+    assert [len(r["result_topics"][0]["sample_posts"]) for r in made.collect()] == [3] * 20
+    posts = spark.createDataFrame([(f"p{i}", f"u{i % 3}", "a", "t", text, text, f"2024-01-0{1 + i % 8} 00:00:00", i, i) for i in range(12)],
+                                  "post_id string, author_id string, subreddit string, title string, selftext string, content string, created_at string, score int, num_comments int"
+                                  ).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    users = spark.createDataFrame([(f"u{i}", f"u{i}", ["x"], ["a"]) for i in range(3)], "user_id string, username string, personas array<string>, subreddits array<string>")
+    runs = spark.createDataFrame([], "user_id string, source string, last_run_at timestamp")
+    vecs = spark.createDataFrame([], "post_id string, embedding array<float>")
+    out = run.run_analysis(posts, users, runs, vecs, run.RunSettings("2024-01-10 00:00:00", "2024-01-11 00:00:00"))
+    assert not [p for p in broadcast_parts(out["payload"]) if "sample_posts" in p]
+    rows = out["payload"].collect()
+    assert len(rows) == 3 and all(r["subreddits"]["a"]["post_count"] == 12 and len(r["subreddits"]["a"]["topics"]) == 1 for r in rows)
+
+
+def test_samples_and_topic_texts_shuffle_no_texts(spark):
+    rnd = np.random.default_rng(2)
+    rows = [(i % 4, i, " ".join(map(str, rnd.integers(0, 10**9, 30)))) for i in range(3000)]
+    path = new_path(spark, "posts")
+    spark.createDataFrame(rows, "t int, i int, text string").write.parquet(path)
+    df, before = spark.read.schema("t int, i int, text string").parquet(path), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32k")  # less than the posts, more than the few that are picked
+    try:
+        samples, texts = topics.sample_posts(df, ["t"], ["i"]), topics.topic_text(df, ["t"], ["i"])
+        for made in (samples, texts):
+            assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+        got = {r["t"]: r["sample_posts"] for r in samples.collect()}
+        assert got == {t: [rows[t + 4 * k][2] for k in range(3)] for t in range(4)} and texts.count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
