@@ -7,8 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plaza.functions import times
 from plaza.functions.arrays import unnest
 from plaza.operators.keys import top_per_key
+from plaza.session import materialize
 
 _PICK = "array<struct<post_id:string,created_at:timestamp>>"
+# Picks that one task spreads out, at most (a user's are together).
+PICKS_AT_ONCE = 500_000
 
 
 def source_of(subreddit: Column, platform: str = "reddit") -> Column:
@@ -54,9 +57,12 @@ def select_posts(posts: DataFrame, budgets: DataFrame) -> DataFrame:
         budgets = budgets.withColumn("since", F.lit(None).cast("timestamp"))
     newest = [F.col("created_at").desc_nulls_last(), F.col("post_id")]
     best = [F.col("score").desc_nulls_last(), *newest]
-    largest = budgets.agg(F.max("allocated")).first()[0] or 0
-    heads = _head(posts, best, largest, "top").join(_head(posts, newest, largest, "new"), "subreddit")
+    largest, picks = (n or 0 for n in budgets.agg(F.max("allocated"), F.sum("allocated")).first())
+    heads = materialize(_head(posts, best, largest, "top").join(_head(posts, newest, largest, "new"), "subreddit"), "heads")
     wanted = budgets.select("user_id", "subreddit", "allocated", "since").filter(F.col("allocated") > 0)
+    # A file of budgets is small and brings many picks, so tasks are dealt by picks: a task's share does not grow with the users.
+    sc = budgets.sparkSession.sparkContext
+    wanted = wanted.repartition(max(sc.defaultParallelism, -(-picks // PICKS_AT_ONCE)), "user_id")
     paired = wanted.join(heads, "subreddit")
 
     def fresh(e: Column) -> Column:

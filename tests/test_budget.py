@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from plaza.operators import activity, selection
 
@@ -110,6 +111,15 @@ def test_select_posts(spark):
     assert got == expected
 
 
+def test_tasks_follow_the_picks(spark, monkeypatch):
+    monkeypatch.setattr(selection, "PICKS_AT_ONCE", 50)
+    rows = [("s", f"p{i:03}", at(1 + i % 20), i % 6, 0) for i in range(40)]
+    wanted = spark.createDataFrame([(f"u{i}", "s", 20, None) for i in range(60)], "user_id string, subreddit string, allocated int, since timestamp")
+    made = selection.select_posts(posts(spark, rows), wanted.coalesce(1))
+    sizes = made.groupBy(F.spark_partition_id()).count().collect()
+    assert made.rdd.getNumPartitions() == 24 and sum(r["count"] for r in sizes) == 1200 and max(r["count"] for r in sizes) < 300
+
+
 def test_since_is_strict(spark):
     df = spark.createDataFrame([("eq", at(2), at(2)), ("new", at(3), at(2)), ("none", at(1), None), ("bad", None, at(2))],
                                "id string, created_at timestamp, since timestamp")
