@@ -36,16 +36,16 @@ from plaza.llm.common import Scratch, batches_of, named, pieces_of, unnamed, who
 LENGTH = 1024
 END = 2
 PIECES_PER_GROUP = 30_000
-SLICE_CHARS = 3_000_000
-KNOWN_CHUNKS = 400_000
+SLICE_CHARS = 8_000_000
+KNOWN_CHUNKS = 600_000
 GROUP_NUMBERS = 1 << 40
 
 # The pre-tokenizer's pattern, and characters for which it needs no table
 # of a certain Unicode version.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN = r"[\x21-\x7e\xc0-ɏ]*"
-# Where white space meets white space (or the marker is in the text) a text is not split.
-UNEVEN = r"[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u2000-\u200b\u2028-\u202f\u205f\u3000\ufeff]"
+# Where white space meets white space (or the marker is in the text) a text is not split. (In the words of RE2.)
+UNEVEN = r"[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f-\x{a0}\x{1680}\x{2000}-\x{200b}\x{2028}-\x{202f}\x{205f}\x{3000}\x{feff}]"
 
 PIECE = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 PLACED = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, grp long, sequence_id long, offset long, fill long, again boolean"
@@ -55,7 +55,7 @@ class Encoder:
     """Ids of texts, by the model of a byte-level tokenizer file.
 
     A text falls into chunks at single blanks and line ends, where the pre-tokenizer
-    always splits. The ids of a chunk are worked out once and kept, as bytes.
+    always splits. The ids of a chunk are worked out once and kept with those of the others, one after another.
     """
 
     def __init__(self, path: str):
@@ -66,13 +66,15 @@ class Encoder:
         # A text that holds a token of its own kind, such as the mark of a text's end, is not split.
         own_kind = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(own_kind) or r"(?!)")
-        self.split, self.plain, self.uneven = regex.compile(PATTERN), re.compile(PLAIN), re.compile(UNEVEN)
+        self.split, self.plain = regex.compile(PATTERN), re.compile(PLAIN)
         # Bytes that have no printed form of their own stand for characters from 256 on.
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         other = [b for b in range(256) if b not in set(own)]
         self.printed = {b: 256 + i for i, b in enumerate(other)}
         self.blank, self.line = chr(self.printed[0x20]), chr(self.printed[0x0A])
-        self.known: dict[str, bytes] = {}
+        # Known chunks, their ids, where these begin and end, and the call that last met each.
+        self.known, self.pool = pa.array([], pa.large_string()), np.zeros(0, np.uint32)
+        self.ends, self.met, self.calls = np.zeros(1, np.int64), np.zeros(0, np.int64), 0
 
     def slow(self, text: str) -> bytes:
         return _packed_ids(self.whole.encode(text, add_special_tokens=False).ids)
@@ -102,29 +104,44 @@ class Encoder:
             return text.replace(" ", self.blank)
         return text.encode().decode("latin-1").translate(self.printed)
 
+    def forget(self) -> None:
+        """The half met last stays."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[:KNOWN_CHUNKS // 2])
+        sizes = np.diff(self.ends)[kept]
+        self.known, self.pool = self.known.take(pa.array(kept)), self.pool[_ranges(self.ends[kept], sizes)]
+        self.ends, self.met = np.append(0, np.cumsum(sizes)), self.met[kept]
+
+    def places(self, chunks: pa.Array) -> np.ndarray:
+        """Where distinct chunks stand among the known; ids of new ones are worked out."""
+        if len(self.known) > KNOWN_CHUNKS:
+            self.forget()
+        self.calls += 1
+        found = pc.index_in(chunks, value_set=self.known)
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = at < 0
+        self.met[at[~new]] = self.calls
+        if new.any():
+            at[new] = len(self.known) + np.arange(new.sum())
+            chunks = chunks.filter(pa.array(new))
+            ids = [self.chunk(c) if c else self.slow(" ") for c in chunks.to_pylist()]
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) >> 2
+            self.known = pa.concat_arrays([self.known, chunks])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), np.uint32)])
+            self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
+            self.met = np.append(self.met, np.full(len(ids), self.calls))
+        return at
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text begins."""
-        known = self.known
-        if len(known) > KNOWN_CHUNKS:
-            known.clear()
-        odd = {i: np.frombuffer(self.slow(t), np.uint32) for i, t in enumerate(texts) if self.uneven.search(t) or self.special.search(t)}
+        uneven = pc.match_substring_regex(pa.array(texts, pa.large_string()), UNEVEN).to_pylist()
+        odd = {i: np.frombuffer(self.slow(t), np.uint32) for i, t in enumerate(texts) if uneven[i] or self.special.search(t)}
         marked = pa.array(["" if i in odd else "\x00" + t.replace("\n", " \n") for i, t in enumerate(texts)], pa.large_string())
         lists = pc.split_pattern(marked, " ")
         words = lists.values.dictionary_encode()
-        ids = []
-        for chunk in words.dictionary.to_pylist():
-            found = known.get(chunk)
-            if found is None:
-                found = known[chunk] = self.chunk(chunk) if chunk else self.slow(" ")
-            ids.append(found)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) >> 2
-        base = np.concatenate([[0], np.cumsum(sizes)])
-        pool = np.frombuffer(b"".join(ids), dtype=np.uint32)
-        codes = words.indices.to_numpy()
-        of_word = sizes[codes]
-        ends = np.cumsum(of_word)
-        flat = pool[np.repeat(base[codes] - (ends - of_word), of_word) + np.arange(ends[-1] if len(ends) else 0)]
-        at = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
+        place = self.places(words.dictionary)[words.indices.to_numpy()]
+        of_word = np.diff(self.ends)[place]
+        flat = self.pool[_ranges(self.ends[place], of_word)]
+        at = np.append(0, np.cumsum(of_word))[lists.offsets.to_numpy()]
         if odd:
             parts = [odd.get(i, flat[at[i]:at[i + 1]]) for i in range(len(texts))]
             flat = np.concatenate(parts)
@@ -132,6 +149,12 @@ class Encoder:
         return flat, at
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _packed_ids(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
@@ -161,7 +184,6 @@ def _tokenized(path: str, keep_ids: bool):
                     out.append((key, doc, k, a, b - a, zlib.crc32(raw), raw if keep_ids else None))
                     key += 1
             yield pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")])
-        own.known.clear()  # a worker that waits for other work holds nothing
 
     return run
 

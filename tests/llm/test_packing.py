@@ -25,6 +25,23 @@ def test_encoder_equals_the_tokenizer():
     assert own.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, 50256, 995]
 
 
+def test_chunks_are_worked_out_once_while_they_are_known(monkeypatch):
+    """Known chunks outlive a call; beyond the limit those met last stay, and the ids are the same."""
+    monkeypatch.setattr(packing, "KNOWN_CHUNKS", 40)
+    own, asked = packing.Encoder(PATH), []
+    work = own.chunk
+    monkeypatch.setattr(own, "chunk", lambda c: asked.append(c) or work(c))
+    texts = [[" ".join(f"word{j}" for j in range(i, i + 12)) + ". common, É" for i in range(k, k + 5)] for k in range(0, 60, 3)]
+    for some in texts:
+        flat, at = own.encode(some)
+        assert [flat[lo:hi].tolist() for lo, hi in zip(at[:-1], at[1:])] == [own.whole.encode(t, add_special_tokens=False).ids for t in some]
+        assert len(own.known) <= 40 + 60
+    assert asked.count("common,") == asked.count("É") == 1
+    before = len(asked)
+    own.encode(texts[-1])
+    assert len(asked) == before
+
+
 def check(rows, got):
     own = packing.Encoder(PATH)
     ids = {(d, t): [*own.whole.encode(t or "", add_special_tokens=False).ids, packing.END] for d, t, _ in rows}
