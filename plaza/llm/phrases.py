@@ -9,7 +9,7 @@ or a rare word, which no frequent phrase can hold). Then length by length:
 2. Candidates, in order and numbered, are cut into parts of ``PART`` and each part is laid out as a double-array trie:
    a child's slot is its parent's base plus the word, and holds the parent for a check.
 3. A trie is broadcast and numpy moves all positions of a chunk of text from level to level at once. The leaves reached are counted
-   (``bincount``) and summed over tasks; where a leaf is reached at a place and at the next, a phrase one word longer goes to step 1.
+   (``bincount``) and the counts sent, packed like the keys, to owners that sum them over tasks; where a leaf is reached at a place and at the next, a phrase one word longer goes to step 1.
 
 Size: a trie has at most ``PART`` phrases plus one slot for each first word in its range, a part of the vocabulary
 ``PART_WORDS`` words; larger ones take one pass over the coded texts (or texts) for each part. Scores are worked out in decimals of 38 digits.
@@ -314,19 +314,24 @@ def _laid_out(depth: int):
     return lay
 
 
-_SENT = "number long, n long, owner int, size int, keys binary, seen binary"
+_SENT = "counted boolean, owner int, size int, keys binary, seen binary"
 
 
-def _messages(held: list[np.ndarray], owners: int, least: int) -> pd.DataFrame:
-    """Distinct keys with their counts up to ``least``, by owner."""
-    keys, n = np.unique(np.concatenate(held), return_counts=True)
+def _packed(keys: np.ndarray, n: np.ndarray, owners: int, counted: bool) -> pd.DataFrame:
+    """Sorted keys and their counts, packed by owner. ``counted``: numbers of phrases with all their places, not keys of longer ones."""
     owner = (mixed(keys.view(np.uint64)) % np.uint64(owners)).astype(np.int32)
     order = np.argsort(owner, kind="stable")
-    keys, n, owner = keys[order], np.minimum(n[order], least).astype(np.uint16), owner[order]
+    keys, n, owner = keys[order], n[order].astype(np.int64), owner[order]
     cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
-    out = [(int(owner[lo]), hi - lo, squeezed(np.diff(keys[lo:hi], prepend=0).tobytes()), squeezed(n[lo:hi].tobytes()))
+    out = [(counted, int(owner[lo]), hi - lo, squeezed(np.diff(keys[lo:hi], prepend=0).tobytes()), squeezed(n[lo:hi].tobytes()))
            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])]
-    return pd.DataFrame(out, columns=["owner", "size", "keys", "seen"]).reindex(columns=[c.split()[0] for c in _SENT.split(", ")])
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _SENT.split(", ")])
+
+
+def _messages(held: list[np.ndarray], owners: int, least: int) -> pd.DataFrame:
+    """Distinct keys with their counts up to ``least``, by owner."""
+    keys, n = np.unique(np.concatenate(held), return_counts=True)
+    return _packed(keys, np.minimum(n, least), owners, False)
 
 
 def _decoded(packed: bytes) -> np.ndarray:
@@ -353,24 +358,34 @@ def _pairs(owners: int, least: int):
     return send
 
 
+def _sums(messages: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of an owner's messages, and what their counts add up to."""
+    keys = np.concatenate([np.cumsum(np.frombuffer(unsqueezed(bytes(k)), np.int64)) for k in messages["keys"]])
+    seen = np.concatenate([np.frombuffer(unsqueezed(bytes(s)), np.int64) for s in messages.seen])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[starts], np.add.reduceat(seen[order], starts)
+
+
 def _frequent(least: int):
     def add_up(messages: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.cumsum(np.frombuffer(unsqueezed(bytes(k)), np.int64)) for k in messages["keys"]])
-        seen = np.concatenate([np.frombuffer(unsqueezed(bytes(s)), np.uint16) for s in messages.seen])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        total = np.add.reduceat(seen[order].astype(np.int64), starts)
-        return pd.DataFrame({"key": keys[starts[total >= least]]})
+        keys, total = _sums(messages)
+        return pd.DataFrame({"key": keys[total >= least]})
 
     return add_up
 
 
+def _totals(messages: pd.DataFrame) -> pd.DataFrame:
+    number, n = _sums(messages)
+    return pd.DataFrame({"number": number, "n": n})
+
+
 def _passed(shared, owners: int, least: int, longer: bool):
     """Count the phrases of a trie, and send on those one word longer that it allows."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size, names = [], 0, [c.split()[0] for c in _SENT.split(", ")]
+        held, size = [], 0
         n, trie, edges = shared.value
         total = np.zeros(n, np.int64)
         for frame in frames:
@@ -388,7 +403,7 @@ def _passed(shared, owners: int, least: int, longer: bool):
         if size:
             yield _messages(held, owners, least)
         some = np.flatnonzero(total)
-        yield pd.DataFrame({"number": some + trie.first, "n": total[some]}).reindex(columns=names)
+        yield _packed(some + trie.first, total[some], owners, True)
 
     return count
 
@@ -409,7 +424,7 @@ def _longer(codes: np.ndarray, at: np.ndarray, leaf: np.ndarray, trie: Trie, edg
 
 def _candidates(sent: DataFrame, least: int, shorter: DataFrame | None, depth: int, scratch: Scratch) -> DataFrame:
     """``number, part, w1 ... w<depth>`` of the phrases that add up to ``least``, numbered in order."""
-    keys = sent.filter("owner IS NOT NULL").select("owner", "keys", "seen").groupBy("owner").applyInPandas(_frequent(least), "key long")
+    keys = sent.filter("NOT counted").select("owner", "keys", "seen").groupBy("owner").applyInPandas(_frequent(least), "key long")
     keys = positions(keys, [], ["key"], "number").select(
         "number", F.floor(F.col("number") / PART).cast("int").alias("part"),
         F.shiftright("key", WORD_BITS).alias("front"), (F.col("key") % (1 << WORD_BITS)).alias("last"))
@@ -441,7 +456,7 @@ def counted_phrases(chunks: DataFrame, scratch: Scratch, least: int, longest: in
             sent = some if sent is None else sent.unionByName(some)
         if sent is None:
             break
-        counts = sent.filter("number IS NOT NULL").groupBy("number").agg(F.sum("n").alias("n"))
+        counts = sent.filter("counted").select("owner", "keys", "seen").groupBy("owner").applyInPandas(_totals, "number long, n long")
         shorter = scratch.write(found.drop("part").join(counts, "number"), f"phrases-{depth}")
         out.append(shorter)
     return out

@@ -90,6 +90,23 @@ def test_parts_slices_and_flushes(documents, scratch, monkeypatch):
     assert found(phrases.mine(documents(rows).repartition(3), scratch, least=3)) == expected(rows, 3)
 
 
+def test_counts_are_sent_packed(documents, scratch, monkeypatch):
+    """A task sends a few rows, however many phrases it has met: counts are packed by owner."""
+    written, write = {}, scratch.write
+
+    def noted(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(scratch, "write", noted)
+    monkeypatch.setattr(phrases, "pieces_of", lambda rows, each, least=16: 2)
+    rows = [(i, " ".join(f"a{j} b{j} c{j}" for j in range(200)), "en") for i in range(12)]
+    assert found(phrases.mine(documents(rows).repartition(3), scratch)) == expected(rows)
+    passed = [df.collect() for name, df in written.items() if name.startswith("passed")]
+    assert len(passed) == 2 and all(len(got) <= 4 * 4 for got in passed)
+    assert [sum(r["size"] for r in got if r["counted"]) >= 598 for got in passed] == [True, True]
+
+
 def test_slices_do_not_part_phrases(monkeypatch):
     text = " ".join(f"word{i}," if i % 7 == 0 else f"Word{i}\t" for i in range(500)).encode()
     whole = [t for some in phrases.tokens(text) for t in some]
