@@ -31,7 +31,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from plaza.llm.common import Scratch, batches_of, named, pieces_of, unnamed, whole_text
+from plaza.llm.common import Scratch, batches_of, give_back, named, pieces_of, unnamed, whole_text
 
 LENGTH = 1024
 END = 2
@@ -137,11 +137,13 @@ class Encoder:
         odd = {i: np.frombuffer(self.slow(t), np.uint32) for i, t in enumerate(texts) if uneven[i] or self.special.search(t)}
         marked = pa.array(["" if i in odd else "\x00" + t.replace("\n", " \n") for i, t in enumerate(texts)], pa.large_string())
         lists = pc.split_pattern(marked, " ")
-        words = lists.values.dictionary_encode()
+        offsets, words = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+        del marked, lists
         place = self.places(words.dictionary)[words.indices.to_numpy()]
+        del words
         of_word = np.diff(self.ends)[place]
+        at = np.append(0, np.cumsum(of_word))[offsets]
         flat = self.pool[_ranges(self.ends[place], of_word)]
-        at = np.append(0, np.cumsum(of_word))[lists.offsets.to_numpy()]
         if odd:
             parts = [odd.get(i, flat[at[i]:at[i + 1]]) for i in range(len(texts))]
             flat = np.concatenate(parts)
@@ -152,7 +154,9 @@ class Encoder:
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of ranges, one after another."""
     ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return places
 
 
 def _packed_ids(ids: list[int]) -> bytes:
@@ -169,21 +173,29 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _pieces_of(own: Encoder, frame: pd.DataFrame, key: int) -> pd.DataFrame:
+    flat, at = own.encode(frame.text.tolist())
+    out = []
+    for doc, lo, hi in zip(frame.doc_id.tolist(), at[:-1], at[1:]):
+        ids = np.append(flat[lo:hi], np.uint32(END)).astype("<u4")
+        first = (len(ids) - 1) % LENGTH + 1
+        cuts = [0, *range(first, len(ids) + 1, LENGTH)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            raw = ids[a:b].tobytes()
+            out.append((key + len(out), doc, k, a, b - a, zlib.crc32(raw), raw))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")])
+
+
 def _tokenized(path: str, keep_ids: bool):
+    """Of a slice only its pieces outlive it, and what it took goes back before the next: idle workers stay beside later steps."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, key = encoder(path), TaskContext.get().partitionId() << 40
         for frame in batches_of(frames, "text", SLICE_CHARS):
-            flat, at = own.encode(frame.text.tolist())
-            out = []
-            for doc, lo, hi in zip(frame.doc_id.tolist(), at[:-1], at[1:]):
-                ids = np.append(flat[lo:hi], np.uint32(END)).astype("<u4")
-                first = (len(ids) - 1) % LENGTH + 1
-                cuts = [0, *range(first, len(ids) + 1, LENGTH)]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    raw = ids[a:b].tobytes()
-                    out.append((key, doc, k, a, b - a, zlib.crc32(raw), raw if keep_ids else None))
-                    key += 1
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in PIECE.split(", ")])
+            made = _pieces_of(own, frame, key)
+            key += len(made)
+            yield made if keep_ids else made.assign(ids=None)
+            del frame, made
+            give_back()
 
     return run
 

@@ -1,9 +1,13 @@
+import os
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from plaza.llm import packing
+from plaza.llm.common import give_back
 from plaza.llm.queries import tokenizer_file
 
 PATH = tokenizer_file("byte_bpe_50k.json")
@@ -42,6 +46,36 @@ def test_chunks_are_worked_out_once_while_they_are_known(monkeypatch):
     assert len(asked) == before
 
 
+def held():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+
+def test_memory_held_free_goes_back():
+    """What lies under something still in use stays with C's allocator unless asked for."""
+    parts = [bytes(4_000) for _ in range(30_000)]
+    last = bytes(4_000)
+    full = held()
+    del parts
+    give_back()
+    assert held() < full - 80_000_000 and len(last) == 4_000
+
+
+def test_a_slice_goes_back_before_the_next(monkeypatch):
+    events = []
+    monkeypatch.setattr(packing, "SLICE_CHARS", 40)
+    monkeypatch.setattr(packing, "give_back", lambda: events.append("back"))
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 2)))
+    frame = pd.DataFrame({"doc_id": range(12), "text": ["some words here", "", "word " * 2000] * 4})
+    made = []
+    for part in packing._tokenized(PATH, False)(iter([frame])):
+        events.append("made")
+        assert part.ids.isna().all()
+        made.append(part)
+    assert len(made) > 3 and events == ["made", "back"] * len(made)
+    assert pd.concat(made).key.tolist() == [(2 << 40) + i for i in range(sum(map(len, made)))]
+
+
 def check(rows, got):
     own = packing.Encoder(PATH)
     ids = {(d, t): [*own.whole.encode(t or "", add_special_tokens=False).ids, packing.END] for d, t, _ in rows}
