@@ -7,10 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plaza import schemas
+from plaza import schemas, session
 from plaza.operators import eda, keys, products, ranking, reports, results
 from plaza.plans import views
-from plaza.session import new_path
+from plaza.session import materialize, new_path, shared_texts
 from plaza.sources import readers, writers
 
 
@@ -229,3 +229,40 @@ def test_keywords_shuffle_texts_only(spark):
     made = products.keywords(rows, ["doc_id"], "t")
     assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert sorted(made.collect(), key=str) == [(1, "apple", 1, 2), (1, "pear", 2, 1), (2, "plum", 1, 1), (None, "fig", 1, 1), (None, "tree", 1, 2)]
+
+
+@pytest.fixture
+def sorted_joins(spark):
+    """No side of a join is small enough to be broadcast unasked."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shared_texts_do_not_follow_rows(spark, sorted_joins, monkeypatch):
+    rows = materialize(spark.createDataFrame([(f"u{i % 7}", f"p{i % 5}") for i in range(40)] + [("u0", None), (None, "p1"), ("u1", "gone")], "user_id string, post_id string"), "rows")
+    texts = materialize(spark.createDataFrame([(f"p{i}", "text " * 9 + str(i)) for i in range(6)] + [("p1", "again"), (None, "x")], "post_id string, text string"), "texts")
+    for how in ("inner", "left"):
+        made = shared_texts(rows, texts, "post_id", "user_id", how)
+        grouped = made.groupBy("user_id").agg(F.collect_list("text"))
+        plan = grouped._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+        with monkeypatch.context() as m:
+            m.setattr(session, "SHARED_BYTES", 0)
+            dealt = shared_texts(rows, texts, "post_id", "user_id", how)
+        assert "SortMergeJoin" in dealt._jdf.queryExecution().executedPlan().toString()
+        plain = rows.join(texts, "post_id", how)
+        assert sorted(made.collect(), key=str) == sorted(dealt.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_cache_rows_move_no_record(spark, sorted_joins):
+    """Whole records are neither dealt to users nor dealt again when the extras of the users join."""
+    picks = materialize(spark.createDataFrame([(f"u{i % 3}", "s", f"p{i}") for i in range(9)], "user_id string, subreddit string, post_id string"), "picks")
+    records = materialize(spark.createDataFrame([(f"p{i}", f"text {i}") for i in range(9)], "post_id string, content string"), "records")
+    extras = picks.groupBy("user_id").agg(F.lit("s").alias("summary")).selectExpr("*", "null AS topic_data", "map('a', 'b') AS source_meta")
+    made = results.feed_cache_rows(shared_texts(picks, records, "post_id", "user_id"), extras, "reddit", "2024-01-01 00:00:00")
+    plan = made._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = plan[:next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)]
+    assert not any("Exchange" in line for line in above)
+    assert {(r["user_id"], tuple(p["content"] for p in r["raw_posts"])) for r in made.collect()} == {
+        (f"u{k}", tuple(f"text {i}" for i in range(9) if i % 3 == k)) for k in range(3)}
