@@ -246,7 +246,9 @@ def append_feed_cache(spark, root):
     stored = spark.read.schema(schemas.FEED_CACHE).parquet(path)
     # A repeated run adds nothing: the cache is unique by (user, platform, time).
     writers.append_table(keys.new_rows(fresh, stored, "cache_id", ["user_id"]), path)
-    newest = results.last_cache(spark.read.schema(schemas.FEED_CACHE).parquet(path))
+    # Of the stored posts only ids are told, so only these are read and ranked.
+    ids = F.transform(F.col("raw_posts.post_id"), lambda i: F.struct(i.alias("post_id")))
+    newest = results.last_cache(spark.read.schema(schemas.FEED_CACHE).parquet(path).withColumn("raw_posts", ids))
     return newest.select("cache_id", "user_id", "platform", micros("fetched_at").alias("fetched_us"),
                          F.size("raw_posts").alias("n_posts"), listed(F.transform("raw_posts", lambda p: p["post_id"])).alias("post_ids"),
                          "summary", F.size("topic_data").alias("n_topics"), F.element_at("source_meta", "requested").alias("requested"))

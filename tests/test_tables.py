@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plaza import schemas, session
 from plaza.operators import eda, keys, products, ranking, reports, results
-from plaza.plans import views
+from plaza.plans import registry, views
 from plaza.session import materialize, new_path, shared_texts
 from plaza.sources import readers, writers
 
@@ -266,3 +266,16 @@ def test_cache_rows_move_no_record(spark, sorted_joins):
     assert not any("Exchange" in line for line in above)
     assert {(r["user_id"], tuple(p["content"] for p in r["raw_posts"])) for r in made.collect()} == {
         (f"u{k}", tuple(f"text {i}" for i in range(9) if i % 3 == k)) for k in range(3)}
+
+
+def test_newest_cache_ranks_ids_only(spark, tmp_path, sorted_joins, monkeypatch):
+    """The stored texts of cached posts are not read to tell which cache row is the newest."""
+    fields = schemas.FEED_CACHE["raw_posts"].dataType.elementType
+    post = lambda i: tuple(f"p{i}" if f.name == "post_id" else "text" if f.name in ("title", "content") else None for f in fields)
+    rows = [(f"c{u}", f"u{u}", "reddit", dt.datetime(2024, 1, 1), [post(i) for i in range(u)], "s", None, {"requested": "100"}) for u in range(3)]
+    rows.append(("c9", "u9", "reddit", dt.datetime(2024, 1, 1), None, None, None, None))
+    monkeypatch.setattr(registry, "cache_rows", lambda s, root: s.createDataFrame(rows, schemas.FEED_CACHE))
+    made = registry.append_feed_cache(spark, str(tmp_path))
+    assert "content" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["cache_id"], r["n_posts"], r["post_ids"], r["requested"]) for r in made.collect()) == [
+        ("c0", 0, "", "100"), ("c1", 1, "p0", "100"), ("c2", 2, "p0|p1", "100"), ("c9", 0, "", None)]
