@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from plaza import schemas
 from plaza.functions import text as tx
 from plaza.operators import activity, eda, keys, polarity, products, results, selection, topics
-from plaza.session import dealt, materialize
+from plaza.session import dealt, materialize, shared_texts
 from plaza.sources import readers, writers
 
 GROUP = ["user_id", "subreddit"]
@@ -163,13 +163,13 @@ def run_analysis(
 
 
 def _append_once(folder: str, name: str, schema: T.StructType, key: str, rows: DataFrame) -> DataFrame:
-    """Append the rows whose key is not stored below ``folder`` yet; returns the table."""
+    """Append the rows whose key is not stored below ``folder`` yet; returns the table. The rows may not be read from it."""
     spark, path = rows.sparkSession, f"{folder}/{name}"
     writers.append_table(spark.createDataFrame([], schema), path)
     fresh = readers.rows_with_schema(rows, schema)
     order = [F.col(f.name) for f in schema if f.name != key and not isinstance(f.dataType, (T.ArrayType, T.MapType))]
     stored = spark.read.schema(schema).parquet(path)
-    writers.append_table(materialize(keys.new_rows(fresh, stored, key, order), f"new-{name}"), path)
+    writers.append_table(keys.new_rows(fresh, stored, key, order), path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -177,7 +177,7 @@ def feed_cache(made: dict[str, DataFrame], posts: DataFrame, s: RunSettings) ->
     """The cache row of every user who picked posts: whole records, the topics of the user's lists (a few per
     community) and what was asked for and fetched."""
     topic = F.struct("topic_index", "title", "summary", "bullets", "keywords", F.col("post_indices").cast("array<bigint>").alias("post_indices"))
-    found = made["lists"].select(*GROUP, *LIST).join(dealt(made["products"].select(*LIST, topic.alias("topic"))), LIST)
+    found = shared_texts(made["lists"].select(*GROUP, *LIST), made["products"].select(*LIST, topic.alias("topic")), LIST[0], "user_id")
     listed = found.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("subreddit", "topic.topic_index", "topic"))).alias("_t")).select(
         "user_id", F.transform("_t", lambda t: t["topic"]).alias("topic_data"))
     meta = selection.feed_meta(made["budgets"], made["picked"], s.top_n_total)
@@ -187,8 +187,8 @@ def feed_cache(made: dict[str, DataFrame], posts: DataFrame, s: RunSettings) ->
     extras = meta.select("user_id", F.lit(None).cast("string").alias("summary"), told.alias("source_meta")).join(listed, "user_id", "left")
     ids = materialize(made["picked"].select("post_id").distinct(), "picked-ids")
     wanted = materialize(posts.join(ids, "post_id", "left_semi").drop("subreddit", "created_at"), "picked-records")
-    # Dealt by user before the join, which broadcasts the records where they are few: grouping then moves no record.
-    return results.feed_cache_rows(made["picked"].repartition("user_id").join(wanted, "post_id"), extras, s.platform, s.run_ts)
+    # Users share the records of leading posts: grouping by user moves no record.
+    return results.feed_cache_rows(shared_texts(made["picked"], wanted, "post_id", "user_id"), extras, s.platform, s.run_ts)
 
 
 def land_feed(made: dict[str, DataFrame], posts: DataFrame, users: DataFrame, folder: str, s: RunSettings) -> dict[str, DataFrame]:
@@ -197,7 +197,8 @@ def land_feed(made: dict[str, DataFrame], posts: DataFrame, users: DataFrame, fo
     fetched = posts.join(materialize(made["picked"].select("post_id").distinct(), "picked-ids"), "post_id", "left_semi")
     fetched = materialize(fetched.withColumn("cleaned_content", tx.cleaned_content(F.col("content"))), "fetched")
     known = _append_once(folder, "users", schemas.USERS, "user_id", users)
-    out = {"users": _append_once(folder, "users", schemas.USERS, "user_id", keys.missing_authors(fetched, known))}
+    stubs = materialize(keys.missing_authors(fetched, known), "stubs")  # told by the table they go to
+    out = {"users": _append_once(folder, "users", schemas.USERS, "user_id", stubs)}
     out["posts"] = _append_once(folder, "posts", schemas.POSTS, "post_id", fetched)
     cache = materialize(feed_cache(made, posts, s), "cache")
     out["feed_cache"] = _append_once(folder, "feed_cache", schemas.FEED_CACHE, "cache_id", cache)

@@ -279,3 +279,16 @@ def test_newest_cache_ranks_ids_only(spark, tmp_path, sorted_joins, monkeypatch)
     assert "content" not in made._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["cache_id"], r["n_posts"], r["post_ids"], r["requested"]) for r in made.collect()) == [
         ("c0", 0, "", "100"), ("c1", 1, "p0", "100"), ("c2", 2, "p0|p1", "100"), ("c9", 0, "", None)]
+
+
+def test_new_rows_as_a_whole_are_not_shuffled(spark):
+    """A batch whose keys are all unseen and stand once is added as it lies; a null key counts as one."""
+    schema = "id string, ts int, v string"
+    stored = spark.createDataFrame([("a", 1, "old")], schema)
+    batch = spark.createDataFrame([("b", 2, "x"), ("c", 1, "y"), (None, 3, "z")], schema)
+    made = keys.new_rows(batch, stored, "id", ["ts"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert sorted(made.collect(), key=str) == sorted(batch.collect(), key=str)
+    assert sorted(keys.new_rows(batch.unionByName(stored), stored, "id", ["ts"]).collect(), key=str) == sorted(batch.collect(), key=str)
+    assert keys.new_rows(batch.limit(0), stored, "id", ["ts"]).count() == 0
