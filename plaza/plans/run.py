@@ -137,12 +137,11 @@ def run_analysis(
         "topic_index", "title", "bullets", "sample_posts",
         F.struct("compression_ratio", "lexical_overlap", "summary_length").alias("metrics"), "post_indices"))).alias("topics"))
     of_list = eda.subreddit_eda(texts, LIST).join(dealt(short), LIST)
-    # Everything narrow is joined first. The topics of a list come last, dealt by list, so that they are copied to the users
-    # on the way to the one shuffle that groups them.
+    # Everything narrow is joined first. The topics of a list come last, to tasks that hold whole users.
     narrow = split.select(*GROUP, "allocated", source).join(lists.select(*GROUP, *LIST), GROUP, "left").join(
         outputs.select("user_id", "source", "output_id"), ["user_id", "source"], "left").join(
         errors.groupBy("subreddit").agg(F.array_sort(F.collect_list("error")).alias("errors")), "subreddit", "left")
-    per_group = narrow.join(dealt(of_list), LIST, "left")
+    per_group = shared_texts(materialize(narrow, "narrow"), materialize(of_list, "list-results"), LIST[0], "user_id", "left")
     result = F.struct(
         F.coalesce("post_count", F.lit(0)).alias("post_count"), "allocated", "output_id", "topics", "errors",
         F.struct(F.coalesce("post_count", F.lit(0)).alias("post_count"), "avg_score", "avg_comments").alias("eda"))

@@ -256,6 +256,26 @@ def test_whole_run_with_clusters(spark):
     assert bad["payload"].filter("user_id = 'u1'").first()["subreddits"]["news"]["errors"] == ["no comments"]
 
 
+def test_payload_moves_no_topic(spark):
+    """The topics of a list come to the users in the tasks that group them."""
+    posts = spark.createDataFrame([(f"p{i}", "a", "news", f"Story {i}", "It has details. More follows here.", None, dt.datetime(2024, 1, 1, i), i, 1)
+                                   for i in range(6)], "post_id string, author_id string, subreddit string, title string, selftext string, "
+                                                       "content string, created_at timestamp, score int, num_comments int")
+    users = spark.createDataFrame([("u1", ["news"]), ("u2", ["news", "nowhere"])], "user_id string, subreddits array<string>")
+    runs = spark.createDataFrame([], "user_id string, source string, last_run_at timestamp")
+    vecs = spark.createDataFrame([], "post_id string, embedding array<double>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = run.run_analysis(posts, users, runs, vecs, run.RunSettings("2024-01-10 00:00:00", "2024-01-11 00:00:00"))
+        plan = made["payload"]._jdf.queryExecution().executedPlan().toString().splitlines()
+        above = plan[:next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)]
+        assert not any("Exchange" in line for line in above)
+        got = {r["user_id"]: {s: len(x["topics"] or []) for s, x in r["subreddits"].items()} for r in made["payload"].collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {"u1": {"news": 1}, "u2": {"news": 1, "nowhere": 0}}
+
+
 @given(st.integers(0, 10**6), st.integers(2, 6), st.integers(30, 400))
 @settings(max_examples=40, deadline=None)
 def test_bounds_skip_rows_and_nothing_else(seed, k, n):
