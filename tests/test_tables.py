@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import pathlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -292,3 +294,19 @@ def test_new_rows_as_a_whole_are_not_shuffled(spark):
     assert sorted(made.collect(), key=str) == sorted(batch.collect(), key=str)
     assert sorted(keys.new_rows(batch.unionByName(stored), stored, "id", ["ts"]).collect(), key=str) == sorted(batch.collect(), key=str)
     assert keys.new_rows(batch.limit(0), stored, "id", ["ts"]).count() == 0
+
+
+def test_shuffles_of_written_tables_go(spark, tmp_path):
+    """What was shuffled for a table that is written is deleted with the query, and the setting is as before."""
+    local = pathlib.Path(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0])
+    files = lambda: {f for f in local.rglob("shuffle_*.data")}
+    before, rows = files(), spark.range(20_000).selectExpr("id % 5000 AS k", "uuid() AS text")
+    kept = rows.groupBy("k").agg(F.collect_list("text").alias("t"))
+    made = materialize(kept, "grouped")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and made.count() == 5000
+    assert kept.count() == 5000 and files() - before  # as any other query's
+    assert spark.conf.get(session.SHUFFLES_GO, "false") == "false"

@@ -380,6 +380,23 @@ def test_summary_beyond_a_run_of_near_copies(spark, monkeypatch):
     assert few == many and few[1].count("piston") == 1 and few[1].count("Apples") == 4 and few[2].count("topic") == 5
 
 
+def test_more_candidates_before_a_pass_per_winner(spark, monkeypatch):
+    """A topic whose leading sentences are near copies is settled by more of them; a pass per winner gives the same."""
+    rows = [(1, i, f"engine motor piston valve crank gear shaft wheel brake number{i}.") for i in range(40)]
+    rows += [(1, 50 + i, f"Apples{i} pears{i} plums{i}.") for i in range(6)] + [(2, i, f"Only{i} this{i}.") for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, o int, text string")
+    made = {}
+    one_by_one = products._one_by_one
+    for name, first, more in (("more", 4, 16), ("winner", 4, 1)):
+        calls = []
+        monkeypatch.setattr(products, "CANDIDATES", first)
+        monkeypatch.setattr(products, "MORE_CANDIDATES", more)
+        monkeypatch.setattr(products, "_one_by_one", lambda *a: calls.append(1) or one_by_one(*a))
+        made[name] = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
+        assert len(calls) == (name == "winner")
+    assert made["more"] == made["winner"] and made["more"][1].count("piston") == 1 and made["more"][1].count("Apples") == 4
+
+
 def broadcast_parts(df):
     """What a plan broadcasts: the text of each broadcast exchange and all below it."""
     lines, parts = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
