@@ -145,6 +145,19 @@ def test_topic_text(spark):
     assert plain == {"t": " ".join(f"Post number {i % 60}." for i in range(400))[:3500], "u": "Only! Only!"}
 
 
+def test_topic_text_makes_leading_texts_only(spark):
+    """Of a group with many posts only those texts are made that may be in its topic text; groups of mostly empty posts are made whole."""
+    rows = spark.range(3000).unionByName(spark.range(10_000, 13_000)).selectExpr("int(id div 10000) AS t", "int(id) AS o").repartition(4)
+    # Making one of the later texts fails.
+    dear = rows.filter("t = 0").withColumn("text", F.expr("IF(o >= 2000, string(int(concat('x', o))), concat('post number ', o))"))
+    got = {r["t"]: r["topic_text"] for r in topics.topic_text(dear, ["t"], ["o"], unique=False, max_chars=300).collect()}
+    want = {0: " ".join(f"Post number {i}." for i in range(300))[:300]}
+    assert got == want
+    df = rows.withColumn("text", F.expr("IF(o >= 10000 AND o < 10900, '', concat('post number ', o))"))
+    got = {r["t"]: r["topic_text"] for r in topics.topic_text(df, ["t"], ["o"], unique=False, max_chars=300).collect()}
+    assert got == want | {1: " ".join(f"Post number {i}." for i in range(10_900, 11_200))[:300]}
+
+
 def test_summary_of_nothing(spark):
     df = spark.createDataFrame([(1, 1, ""), (2, 1, "Rust compilers improve. Compilers need rust tests."), (1, 2, None)], "id int, o int, text string")
     made = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
