@@ -393,6 +393,14 @@ def test_summary_beyond_a_run_of_near_copies(spark, monkeypatch):
     assert few == many and few[1].count("piston") == 1 and few[1].count("Apples") == 4 and few[2].count("topic") == 5
 
 
+def test_sentences_without_a_place_do_not_lead(spark):
+    rows = [(1, None, "Compilers turn programs into machine code."), (1, 2, "Programs need compilers and machine code."), (1, 3, "Quite another thing."),
+            (None, 1, "Programs need compilers.")]
+    df = spark.createDataFrame(rows, "id int, o int, text string")
+    made = {r["id"]: r["summary"] for r in products.extractive_summary(df, ["id"], ["o"]).collect()}
+    assert made == {1: "Programs need compilers and machine code. Quite another thing.", None: products.NO_SUMMARY}
+
+
 def test_more_candidates_before_a_pass_per_winner(spark, monkeypatch):
     """A topic whose leading sentences are near copies is settled by more of them; a pass per winner gives the same."""
     rows = [(1, i, f"engine motor piston valve crank gear shaft wheel brake number{i}.") for i in range(40)]
